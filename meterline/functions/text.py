@@ -31,7 +31,7 @@ def has_fraction(moment: Column) -> Column:
 def number_text(number: Column) -> Column:
     """A double in plain notation where a fixed-point text is usual (1e-4 to 1e16)."""
     size = F.abs(number)
-    plain = F.rtrim(number.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.rtrim(number.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     awkward = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
     return F.when(awkward, plain).otherwise(number.cast("string"))

@@ -31,7 +31,7 @@ def hourly_fares(trips: DataFrame, event_time: str = "timestamp") -> DataFrame:
         F.window(event_time, WINDOW).alias("window"),
     ).agg(
         F.avg("fare_amount").alias("average_fare"),
-        F.count("*").cast("int").alias("trip_count"),
+        F.count("*").alias("trip_count"),
     )
     return grouped.select(
         "hour",
@@ -46,7 +46,7 @@ def overall_fare(trips: DataFrame) -> DataFrame:
     """Mean fare and count of all trips; an empty input gives 0.0 and 0."""
     return trips.agg(
         F.coalesce(F.avg("fare_amount"), F.lit(0.0)).alias("average_fare"),
-        F.count("*").cast("int").alias("trip_count"),
+        F.count("*").alias("trip_count"),
     )
 
 

@@ -66,12 +66,14 @@ DECODED = _record(
     *((name, DOUBLE) for name in AMOUNTS),
 )
 
+# The count is a long: a replay puts a whole history into one window of record
+# time, and more than 2^31 trips must not end the job.
 HOURLY = _record(
     ("hour", INT),
     ("window_start", TIME),
     ("window_end", TIME),
     ("average_fare", DOUBLE),
-    ("trip_count", INT),
+    ("trip_count", LONG),
 )
 
 # The header of the trip files, in file order.
