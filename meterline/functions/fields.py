@@ -8,6 +8,10 @@ which differ from a plain Spark cast at the edges:
 * date-times: exactly six fraction digits or none, the same form in both
   fields of a trip; a day past the end of its month means the last day, and
   ``24:00:00`` means the next midnight.
+
+Fields of one type are cast together, as an array. That keeps the generated
+method of the parsing stage below the 8,000 bytes above which the JVM does not
+compile it, and the edge cases are only looked at in the rows that have them.
 """
 
 from __future__ import annotations
@@ -18,10 +22,28 @@ from pyspark.sql import functions as F
 # Everything up to and including the space counts as blank at either end.
 BLANKS = "".join(chr(code) for code in range(33))
 DELETE = chr(127)
+INFINITY = float("inf")
 
 # Accepted shapes. The year 0000 is not a year of the era.
-DATETIME_SHAPE = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{6})?\z"
-NUMERIC_SHAPE = r"[0-9]|^[+-]?(NaN|Infinity)\z"
+WHOLE = r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
+MICROS = WHOLE + r"\.[0-9]{6}"
+PAIR_SHAPE = rf"^(?:{MICROS},{MICROS}|{WHOLE},{WHOLE})\z"
+
+# A not-a-number or infinity among joined fields in a spelling other than the accepted one.
+BLANK_RUN = r"[\x00-\x20]*+"
+ODD_SPELLING = (
+    rf"(?:^|,){BLANK_RUN}(?![+-]?(?:NaN|Infinity){BLANK_RUN}(?:,|\z))"
+    rf"[+-]?(?i:nan|inf|infinity){BLANK_RUN}(?:,|\z)"
+)
+
+# Days past the end of a month: years whose February has 29 days, and all others.
+LEAP_YEAR = r"(?:[0-9]{2}(?:0[48]|[2468][048]|[13579][26])|(?:[02468][048]|[13579][26])00)"
+MONTH_ENDS = [
+    (r"-(04|06|09|11)-31 ", r"-$1-30 "),
+    (rf"(?<![0-9])({LEAP_YEAR})-02-3[01] ", r"$1-02-29 "),
+    (rf"(?<![0-9])(?!{LEAP_YEAR})([0-9]{{4}})-02-(?:29|3[01]) ", r"$1-02-28 "),
+    (r" 24:00:00(\.000000)?(?![.0-9])", r" 00:00:00$1"),
+]
 
 
 def trimmed(text: Column) -> Column:
@@ -33,48 +55,49 @@ def split_fields(line: Column) -> Column:
     return F.split(F.rtrim(line, F.lit(",")), ",")
 
 
-def strict_int(text: Column) -> Column:
-    # The cast itself drops the blanks at both ends. It would drop DEL as well,
-    # which is no blank, so DEL is turned into something it rejects.
-    return F.replace(text, F.lit(DELETE), F.lit("?")).try_cast("int")
-
-
-def strict_double(text: Column) -> Column:
-    # The cast also takes nan, inf and other spellings; only results that are
-    # not finite need the look at the text.
-    number = text.try_cast("double")
-    finite = F.abs(number) < F.lit(float("inf"))
-    return F.when(finite | trimmed(text).rlike(NUMERIC_SHAPE), number)
-
-
-def _calendar(text: Column) -> Column:
-    """Day and hour overflows of a well-shaped date-time the plain cast refuses."""
-    day = F.substring(text, 9, 2).cast("int")
-    hour = F.substring(text, 12, 2).cast("int")
-    minute = F.substring(text, 15, 2).cast("int")
-    second = F.substring(text, 18, 9).cast("decimal(8,6)")
-    first = F.concat(F.substring(text, 1, 8), F.lit("01")).try_cast("date")
-    midnight = (hour == 24) & (minute == 0) & (second == 0)
-    moment = F.try_make_timestamp_ntz(
-        F.year(first),
-        F.month(first),
-        F.least(day, F.dayofmonth(F.last_day(first))),
-        F.when(midnight, F.lit(0)).otherwise(hour),
-        minute,
-        second,
-    )
-    shifted = F.when(midnight, moment + F.expr("INTERVAL '1' DAY")).otherwise(moment)
-    return F.when((day <= 31) & (second < 60), shifted)
-
-
-def datetime_pair(first: Column, second: Column) -> tuple[Column, Column]:
-    """Both date-times, or NULL for both texts when their forms are wrong or differ."""
-    shaped = (
-        first.rlike(DATETIME_SHAPE)
-        & second.rlike(DATETIME_SHAPE)
-        & (F.length(first) == F.length(second))
-    )
-    return tuple(
-        F.when(shaped, F.coalesce(text.try_cast("timestamp_ntz"), _calendar(text)))
-        for text in (first, second)
+def strict_ints(texts: Column, line: Column) -> Column:
+    """Each text as an int or NULL.
+
+    The cast itself drops the blanks at both ends. It would drop DEL as well,
+    which is no blank: lines with one have it replaced by something it rejects.
+    """
+    marked = F.replace(F.array_join(texts, ",", "?"), F.lit(DELETE), F.lit("?"))
+    plain = texts.try_cast("array<int>")
+    return F.when(
+        F.contains(line, F.lit(DELETE)), F.split(marked, ",").try_cast("array<int>")
+    ).otherwise(plain)
+
+
+def strict_doubles(texts: Column) -> Column:
+    """Each text as a double or NULL.
+
+    The cast also takes nan, inf and the like. When a result is not finite the
+    texts are looked at, and one wrong spelling voids them all.
+    """
+    numbers = texts.try_cast("array<double>")
+    finite = (F.array_max(numbers) < INFINITY) & (F.array_min(numbers) > -INFINITY)
+    # NULL, from no number at all, is as good as finite.
+    odd = (~finite) & F.array_join(texts, ",").rlike(ODD_SPELLING)
+    return F.when(F.coalesce(odd, F.lit(False)), F.lit(None)).otherwise(numbers)
+
+
+def strict_times(first: Column, second: Column) -> Column:
+    """Both trimmed date-times, or NULL when their forms are wrong or differ."""
+    pair = F.concat(first, F.lit(","), second)
+    plain = F.array(first, second).try_cast("array<timestamp_ntz>")
+    mended = pair
+    for wrong, right in MONTH_ENDS:
+        mended = F.regexp_replace(mended, wrong, right)
+    moved = F.split(mended, ",").try_cast("array<timestamp_ntz>")
+
+    def next_day(place: int, text: Column) -> Column:
+        midnight = F.substring(text, 12, 2) == "24"
+        return F.get(moved, F.lit(place)) + F.when(
+            midnight, F.expr("INTERVAL '1' DAY")
+        ).otherwise(F.expr("INTERVAL '0' DAY"))
+
+    whole = F.get(plain, F.lit(0)).isNotNull() & F.get(plain, F.lit(1)).isNotNull()
+    return F.when(
+        pair.rlike(PAIR_SHAPE),
+        F.when(whole, plain).otherwise(F.array(next_day(0, first), next_day(1, second))),
     )

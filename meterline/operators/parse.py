@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from meterline.functions.clock import duration_seconds
 from meterline.functions.fields import (
-    datetime_pair,
     split_fields,
-    strict_double,
-    strict_int,
+    strict_doubles,
+    strict_ints,
+    strict_times,
     trimmed,
 )
 from meterline.schemas import LINE_FIELDS, TRIP
@@ -26,22 +26,28 @@ FIELD_COUNT = 19
 REASONS = ["header", "blank", "arity", "number", "datetime"]
 
 
-def _typed(parts: str) -> list[Column]:
-    """The 19 fields of the array column ``parts``; NULL where a text is not acceptable."""
-    texts = [F.get(parts, F.lit(place)) for place in range(FIELD_COUNT)]
-    names = LINE_FIELDS.fieldNames()
-    times = dict(
-        zip(
-            ("pickup_datetime", "dropoff_datetime"),
-            datetime_pair(trimmed(texts[1]), trimmed(texts[2])),
-            strict=True,
-        )
-    )
-    readers = {T.IntegerType(): strict_int, T.DoubleType(): strict_double, T.StringType(): trimmed}
-    return [
-        (times[name] if name in times else readers[kind](text)).alias(name)
-        for name, kind, text in zip(names, (f.dataType for f in LINE_FIELDS), texts, strict=True)
-    ]
+# Places of the fields of each type in a line.
+KINDS = [f.dataType for f in LINE_FIELDS]
+INT_PLACES = [place for place, kind in enumerate(KINDS) if kind == T.IntegerType()]
+DOUBLE_PLACES = [place for place, kind in enumerate(KINDS) if kind == T.DoubleType()]
+TIME_PLACES = [place for place, kind in enumerate(KINDS) if kind == T.TimestampNTZType()]
+(FLAG_PLACE,) = (place for place, kind in enumerate(KINDS) if kind == T.StringType())
+
+
+def _at(array: str, place: int) -> Column:
+    return F.get(array, F.lit(place))
+
+
+def _fields() -> list[Column]:
+    """The 19 typed fields out of the arrays they were cast in."""
+    homes = {FLAG_PLACE: F.col("_flag")}
+    for array, places in (
+        ("_ints", INT_PLACES),
+        ("_doubles", DOUBLE_PLACES),
+        ("_times", TIME_PLACES),
+    ):
+        homes.update({place: _at(array, slot) for slot, place in enumerate(places)})
+    return [homes[place].alias(name) for place, name in enumerate(LINE_FIELDS.fieldNames())]
 
 
 def _reason(line: Column) -> Column:
@@ -68,7 +74,7 @@ def classify(lines: DataFrame, column: str = "value") -> DataFrame:
     Other columns of ``lines`` (the record time, say) are carried along, so a
     watermark set on one of them stays in force.
 
-    The typed columns pass through ``inline`` of a one-element array. Without
+    The parsed fields pass through ``inline`` of a one-element array. Without
     that step Catalyst moves a later filter on ``reason`` below the projection
     and so repeats the split of the line for every field (about ten times the
     work); with it each line is split and parsed once, still inside one
@@ -77,15 +83,34 @@ def classify(lines: DataFrame, column: str = "value") -> DataFrame:
     carried = lines.columns
     names = LINE_FIELDS.fieldNames()
     cut = lines.withColumn("_parts", split_fields(F.col(column)))
-    typed = cut.select(*carried, F.size("_parts").alias("_arity"), *_typed("_parts"))
-    fenced = typed.select(*carried, F.inline(F.array(F.struct("_arity", *names))))
-    return fenced.select(
+    texts = cut.select(
+        *carried,
+        F.size("_parts").alias("_arity"),
+        F.array(*(_at("_parts", place) for place in INT_PLACES)).alias("_int_texts"),
+        F.array(*(_at("_parts", place) for place in DOUBLE_PLACES)).alias("_double_texts"),
+        *(trimmed(_at("_parts", place)).alias(f"_time_{place}") for place in TIME_PLACES),
+        trimmed(_at("_parts", FLAG_PLACE)).alias("_flag"),
+    )
+    typed = texts.select(
         *carried,
-        *names,
-        duration_seconds(F.col("pickup_datetime"), F.col("dropoff_datetime")).alias(
-            "trip_duration"
-        ),
-        _reason(F.col(column)).alias("reason"),
+        "_arity",
+        strict_ints(F.col("_int_texts"), F.col(column)).alias("_ints"),
+        strict_doubles(F.col("_double_texts")).alias("_doubles"),
+        strict_times(*(F.col(f"_time_{place}") for place in TIME_PLACES)).alias("_times"),
+        "_flag",
+    )
+    parsed = ("_arity", "_ints", "_doubles", "_times", "_flag")
+    fenced = typed.select(*carried, F.inline(F.array(F.struct(*parsed))))
+    return (
+        fenced.select(*carried, "_arity", *_fields())
+        .select(
+            *carried,
+            *names,
+            duration_seconds(F.col("pickup_datetime"), F.col("dropoff_datetime")).alias(
+                "trip_duration"
+            ),
+            _reason(F.col(column)).alias("reason"),
+        )
     )
 
 

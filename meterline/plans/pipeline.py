@@ -72,8 +72,11 @@ def start_hourly(
     """Running hourly rows; read the result through ``latest``."""
     updates = hourly_updates(lines, event_time)
     writer = updates.writeStream.outputMode("update").foreachBatch(sink)
+    # A batch without rows would only clear old state, which the next batch does too.
     with stream_settings(
-        lines.sparkSession, spark__sql__shuffle__partitions=STATE_PARTITIONS
+        lines.sparkSession,
+        spark__sql__shuffle__partitions=STATE_PARTITIONS,
+        spark__sql__streaming__noDataMicroBatches__enabled="false",
     ):
         return checkpointed(writer, "hourly-fares", checkpoint, interval).start()
 
