@@ -214,11 +214,15 @@ HEADERS = ", ".join(
 
 PIPELINE = f"""WITH {TRIPS}, {FLAWED_TRIPS}
 SELECT table_name, row_count, fare_total FROM (
-  SELECT unnest(['taxi_trips', 'yellow_taxi_stream', 'hourly_aggregates']) AS table_name,
-    row_count, fare_total
+  SELECT unnest(['taxi_trips', 'yellow_taxi_stream']) AS table_name, row_count, fare_total
   FROM (SELECT count(*) AS row_count, round(sum(fare_amount), 2) AS fare_total
         FROM flawed WHERE reason IS NULL)
   UNION ALL
+  SELECT 'hourly_aggregates', count(*), round(sum(fare_amount), 2)
+  FROM flawed
+  WHERE reason IS NULL AND date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR
+    <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)
+  UNION ALL
   SELECT 'rejects', count(*), CAST(0.0 AS DOUBLE) FROM flawed WHERE reason IS NOT NULL
 )"""
 

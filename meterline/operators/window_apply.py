@@ -12,8 +12,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.functions.clock import hour_of_day
 
@@ -22,6 +24,8 @@ GROUP_DDL = "hour INT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"
 
 # Results of many tasks are merged in this many parts per group before the last merge.
 MERGE_PARTS = 32
+# A task merges its own results whenever it holds more than this many.
+HELD_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -64,10 +68,26 @@ MEAN_FARE = WindowFunction(
 )
 
 
-def _rows(frame: pd.DataFrame, step: Callable[[pd.DataFrame], dict]) -> pd.DataFrame:
+ARROW_TYPES = {
+    T.IntegerType(): pa.int32(),
+    T.LongType(): pa.int64(),
+    T.DoubleType(): pa.float64(),
+    T.StringType(): pa.string(),
+    T.BooleanType(): pa.bool_(),
+    T.DateType(): pa.date32(),
+    T.TimestampNTZType(): pa.timestamp("us"),
+}
+
+
+def _arrow_schema(ddl: str) -> pa.Schema:
+    fields = T.StructType.fromDDL(ddl).fields
+    return pa.schema([(field.name, ARROW_TYPES[field.dataType]) for field in fields])
+
+
+def _rows(frame: pd.DataFrame, step: Callable[[pd.DataFrame], dict]) -> list[dict]:
     """One result of ``step`` per group of the frame."""
     groups = frame.groupby(GROUP, sort=False)
-    return pd.DataFrame([dict(zip(GROUP, key)) | step(rows) for key, rows in groups])
+    return [dict(zip(GROUP, key)) | step(rows) for key, rows in groups]
 
 
 def apply_window(
@@ -85,26 +105,33 @@ def apply_window(
         *function.columns,
     )
 
-    def condense(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for chunk in chunks:
-            if chunk.empty:
-                continue
-            part = _rows(chunk, function.start)
-            held = part if held is None else _rows(pd.concat([held, part]), function.merge)
-        if held is not None:
-            yield held
-
-    def merge(states: pd.DataFrame) -> pd.DataFrame:
-        return _rows(states, function.merge)
-
-    def finish(states: pd.DataFrame) -> pd.DataFrame:
-        key = dict(zip(GROUP, states[GROUP].iloc[0]))
-        return pd.DataFrame([key | function.finish(function.merge(states))])
-
     state = f"{GROUP_DDL}, {function.state}"
-    parts = keyed.mapInPandas(condense, state).withColumn(
+    result = f"{GROUP_DDL}, {function.result}"
+    state_schema, result_schema = _arrow_schema(state), _arrow_schema(result)
+
+    # Arrow rather than pandas at the borders: it keeps NaN apart from NULL.
+    def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            if batch.num_rows:
+                held += _rows(batch.to_pandas(), function.start)
+            if len(held) > HELD_ROWS:
+                held = _rows(pd.DataFrame(held), function.merge)
+        if held:
+            held = _rows(pd.DataFrame(held), function.merge)
+            yield from pa.Table.from_pylist(held, state_schema).to_batches()
+
+    def merge(states: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist(_rows(states.to_pandas(), function.merge), state_schema)
+
+    def finish(states: pa.Table) -> pa.Table:
+        rows = _rows(
+            states.to_pandas(), lambda group: function.finish(function.merge(group))
+        )
+        return pa.Table.from_pylist(rows, result_schema)
+
+    parts = keyed.mapInArrow(condense, state).withColumn(
         "part", F.spark_partition_id() % MERGE_PARTS
     )
-    merged = parts.groupBy(*GROUP, "part").applyInPandas(merge, state)
-    return merged.groupBy(*GROUP).applyInPandas(finish, f"{GROUP_DDL}, {function.result}")
+    merged = parts.groupBy(*GROUP, "part").applyInArrow(merge, state)
+    return merged.groupBy(*GROUP).applyInArrow(finish, result)

@@ -1,0 +1,361 @@
+from __future__ import annotations
+
+import calendar
+import math
+import random
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import HEADER, SAMPLE, trip_line
+from meterline.operators.parse import classify, parse_trips, reject_counts, rejects, trips
+from meterline.schemas import TRIP
+
+PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+
+
+def parsed(lines, text):
+    row = parse_trips(lines(text)).first()
+    assert row is not None, text
+    return row
+
+
+def test_sample_values(lines):
+    frame = parse_trips(lines(HEADER, *SAMPLE))
+    assert frame.schema == TRIP
+    rows = frame.collect()
+    assert len(rows) == 4
+    first = rows[0]
+    assert first.vendor_id == 1
+    assert first.pickup_datetime == datetime(2025, 1, 1, 0, 18, 38)
+    assert first.trip_duration == 501
+    assert first.store_and_fwd_flag == "N"
+    assert (first.pu_location_id, first.do_location_id) == (229, 237)
+    assert first.total_amount == 18.0
+    assert sum(r.fare_amount for r in rows) == pytest.approx(29.1)
+
+
+def test_carried_columns_survive(spark):
+    frame = spark.createDataFrame([(SAMPLE[0], 7)], "value STRING, batch INT")
+    assert parse_trips(frame).first().batch == 7
+    assert rejects(classify(frame)).columns == ["value", "batch", "reason"]
+
+
+REJECTED = [
+    (HEADER, "header"),
+    ("VendorIDs are odd", "header"),
+    (" " + HEADER, "number"),
+    ("", "blank"),
+    (" \t\r", "blank"),
+    (None, "blank"),
+    (",,,", "arity"),
+    ("a,b", "arity"),
+    (",".join(SAMPLE[0].split(",")[:18]), "arity"),
+    (trip_line(Airport_fee=""), "arity"),
+    (trip_line(Airport_fee="") + ",,,", "arity"),
+    (trip_line(Airport_fee=" "), "number"),
+    (trip_line(Airport_fee="") + ",x", "number"),
+    (trip_line(passenger_count="1.0"), "number"),
+    (trip_line(passenger_count=""), "number"),
+    (trip_line(passenger_count="1e2"), "number"),
+    (trip_line(passenger_count="2147483648"), "number"),
+    (trip_line(passenger_count="1" + chr(127)), "number"),
+    (trip_line(passenger_count="+"), "number"),
+    (trip_line(VendorID="x", **{PICKUP: "soon"}), "number"),
+    (trip_line(passenger_count="x", **{PICKUP: "soon"}), "datetime"),
+    (trip_line(fare_amount="nan"), "number"),
+    (trip_line(fare_amount="inf"), "number"),
+    (trip_line(fare_amount="-Inf"), "number"),
+    (trip_line(fare_amount="infinity"), "number"),
+    (trip_line(fare_amount="NaN", extra="nan"), "number"),
+    (trip_line(fare_amount='"1,5"'), "number"),
+    (trip_line(fare_amount=""), "number"),
+    (trip_line(store_and_fwd_flag='"N,Y"'), "number"),
+    (trip_line(**{PICKUP: "2025-01-01 00:00:00"}), "datetime"),
+    (trip_line(**{DROPOFF: "2025-01-01 00:00:00"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 00:00:00.5"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 00:00:00.5000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01T00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 00:00:00.00000Z"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-1-01 00:00:00.0000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-13-01 00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-00-01 00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-32 00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-00 00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 24:00:01.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 24:00:00.000001"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 25:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 00:60:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "2025-01-01 00:00:60.000000"}), "datetime"),
+    (trip_line(**{PICKUP: "0000-01-01 00:00:00.000000"}), "datetime"),
+    (trip_line(**{PICKUP: ""}), "datetime"),
+]
+
+
+def test_rejected(spark):
+    frame = spark.createDataFrame(
+        [(place, text) for place, (text, _) in enumerate(REJECTED)], "place INT, value STRING"
+    )
+    found = {row.place: row.reason for row in classify(frame).collect()}
+    for place, (text, expected) in enumerate(REJECTED):
+        assert found[place] == expected, text
+
+
+ACCEPTED = [
+    ("VendorID", "+1", "vendor_id", 1),
+    ("VendorID", "\t7 ", "vendor_id", 7),
+    ("VendorID", "-2147483648", "vendor_id", -2147483648),
+    ("fare_amount", "1d", "fare_amount", 1.0),
+    ("fare_amount", "0x1p3", "fare_amount", 8.0),
+    ("fare_amount", " .5 ", "fare_amount", 0.5),
+    ("fare_amount", "1e999", "fare_amount", math.inf),
+    ("fare_amount", " -Infinity", "fare_amount", -math.inf),
+    ("store_and_fwd_flag", "", "store_and_fwd_flag", ""),
+    ("store_and_fwd_flag", " nan ", "store_and_fwd_flag", "nan"),
+    ("store_and_fwd_flag", "N" + chr(127), "store_and_fwd_flag", "N" + chr(127)),
+]
+
+
+def test_accepted(spark):
+    frame = spark.createDataFrame(
+        [(place, trip_line(**{case[0]: case[1]})) for place, case in enumerate(ACCEPTED)],
+        "place INT, value STRING",
+    )
+    found = {row.place: row for row in parse_trips(frame).collect()}
+    for place, (_, text, column, value) in enumerate(ACCEPTED):
+        assert found[place][column] == value, text
+
+
+def test_nan_is_accepted_beside_infinity(lines):
+    row = parsed(lines, trip_line(fare_amount="+NaN", extra="Infinity"))
+    assert math.isnan(row.fare_amount)
+    assert row.extra == math.inf
+
+
+def test_extra_fields_and_carriage_return(lines):
+    assert parsed(lines, SAMPLE[0] + ",spare").airport_fee == 0.0
+    assert parsed(lines, SAMPLE[0] + "\r").airport_fee == 0.0
+
+
+CALENDAR = [
+    ("2025-02-30 10:00:00", datetime(2025, 2, 28, 10)),
+    ("2025-02-29 10:00:00", datetime(2025, 2, 28, 10)),
+    ("2024-02-31 10:00:00", datetime(2024, 2, 29, 10)),
+    ("2024-02-29 10:00:00", datetime(2024, 2, 29, 10)),
+    ("1900-02-29 10:00:00", datetime(1900, 2, 28, 10)),
+    ("2000-02-30 10:00:00", datetime(2000, 2, 29, 10)),
+    ("2025-04-31 10:00:00", datetime(2025, 4, 30, 10)),
+    ("2025-11-31 24:00:00", datetime(2025, 12, 1)),
+    ("2025-12-31 24:00:00", datetime(2026, 1, 1)),
+    ("2024-02-31 24:00:00", datetime(2024, 3, 1)),
+]
+
+
+@pytest.mark.parametrize("fraction", ["", ".000000"])
+def test_calendar_edges(spark, fraction):
+    other, other_value = "2025-06-30 11:22:33" + fraction, datetime(2025, 6, 30, 11, 22, 33)
+    rows = []
+    for place, (text, _) in enumerate(CALENDAR):
+        text += fraction
+        rows.append((place, "first", trip_line(**{PICKUP: text, DROPOFF: other})))
+        rows.append((place, "second", trip_line(**{PICKUP: other, DROPOFF: text})))
+        rows.append((place, "both", trip_line(**{PICKUP: text, DROPOFF: text})))
+    frame = spark.createDataFrame(rows, "place INT, side STRING, value STRING")
+    found = {(r.place, r.side): r for r in parse_trips(frame).collect()}
+    for place, (text, expected) in enumerate(CALENDAR):
+        first, second, both = (found[place, side] for side in ("first", "second", "both"))
+        assert (first.pickup_datetime, first.dropoff_datetime) == (expected, other_value), text
+        assert (second.pickup_datetime, second.dropoff_datetime) == (other_value, expected), text
+        assert both.pickup_datetime == both.dropoff_datetime == expected, text
+
+
+@pytest.mark.parametrize(
+    "start, end, seconds",
+    [
+        ("2025-01-01 00:00:00.900000", "2025-01-01 00:00:02.100000", 1),
+        ("2025-01-01 00:00:02.100000", "2025-01-01 00:00:00.900000", -1),
+        ("2025-01-01 00:00:00.000000", "2025-01-01 00:00:00.999999", 0),
+        ("2025-01-02 00:00:00.000000", "2025-01-01 00:00:00.000000", -86400),
+    ],
+)
+def test_duration_is_cut_toward_zero(lines, start, end, seconds):
+    assert parsed(lines, trip_line(**{PICKUP: start, DROPOFF: end})).trip_duration == seconds
+
+
+def test_parsing_ignores_the_session_zone(spark, lines):
+    # 02:30 does not exist on this day in this zone.
+    text = trip_line(**{PICKUP: "2025-03-09 02:30:00", DROPOFF: "2025-03-09 03:30:00"})
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = parsed(lines, text)
+        from meterline.operators.decode import decode
+
+        decoded = decode(parse_trips(lines(text))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.pickup_datetime == datetime(2025, 3, 9, 2, 30)
+    assert row.trip_duration == 3600
+    assert decoded.pickup_datetime == datetime(2025, 3, 9, 2, 30)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_same_results_in_both_error_modes(spark, lines, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = [
+            "a,b",
+            "",
+            trip_line(passenger_count="1.0"),
+            trip_line(**{PICKUP: "2025-02-30 24:00:00.000000"}),
+            trip_line(**{PICKUP: "2025-99-99 99:99:99.999999"}),
+        ]
+        found = [r.reason for r in classify(lines(*texts)).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert found == ["arity", "blank", "number", None, "datetime"]
+
+
+def test_reject_counts(lines):
+    counts = reject_counts(classify(lines(HEADER, "", "", "x", *SAMPLE)))
+    assert {r.reason: r.line_count for r in counts.collect()} == {
+        "header": 1,
+        "blank": 2,
+        "arity": 1,
+    }
+
+
+# A second, plain-Python reading of the rules to compare with on random lines.
+
+INT = re.compile(r"[+-]?[0-9]+")
+DOUBLE = re.compile(
+    r"[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)"
+)
+TIME = re.compile(r"(\d{4})-(\d\d)-(\d\d) (\d\d):(\d\d):(\d\d)(?:\.(\d{6}))?", re.ASCII)
+BLANKS = "".join(map(chr, range(33)))
+
+
+def model_int(text):
+    text = text.strip(BLANKS)
+    if not INT.fullmatch(text) or not -(2**31) <= int(text) < 2**31:
+        return None
+    return int(text)
+
+
+def model_double(text):
+    text = text.strip(BLANKS)
+    if not DOUBLE.fullmatch(text):
+        return None
+    return float(text.rstrip("fFdD") if "N" not in text and "I" not in text else text)
+
+
+def model_time(text):
+    match = TIME.fullmatch(text)
+    if not match:
+        return None
+    year, month, day, hour, minute, second = (int(part) for part in match.groups()[:6])
+    micro = int(match.group(7) or 0)
+    if year < 1 or not 1 <= month <= 12 or not 1 <= day <= 31 or minute > 59 or second > 59:
+        return None
+    midnight = hour == 24 and minute == second == micro == 0
+    if hour > 23 and not midnight:
+        return None
+    day = min(day, calendar.monthrange(year, month)[1])
+    moment = datetime(year, month, day, 0 if midnight else hour, minute, second, micro)
+    return moment + timedelta(days=1) if midnight else moment
+
+
+def model(line):
+    """(reason, fields) of a line."""
+    if line.startswith("VendorID"):
+        return "header", None
+    if not line.strip(BLANKS):
+        return "blank", None
+    parts = line.rstrip(",").split(",")
+    if len(parts) < 19:
+        return "arity", None
+    vendor = model_int(parts[0])
+    if vendor is None:
+        return "number", None
+    texts = [parts[1].strip(BLANKS), parts[2].strip(BLANKS)]
+    times = [model_time(text) for text in texts]
+    if None in times or len(texts[0]) != len(texts[1]):
+        return "datetime", None
+    fields = [vendor, *times]
+    for place in range(3, 19):
+        text = parts[place]
+        if place == 6:
+            value = text.strip(BLANKS)
+        elif place in (3, 5, 7, 8, 9):
+            value = model_int(text)
+        else:
+            value = model_double(text)
+        if value is None:
+            return "number", None
+        fields.append(value)
+    return None, fields
+
+
+ODDITIES = {
+    "int": ["", "1.0", "+5", "-3", " 4", "4\t", "99999999999", "x", "0007", "1e3", "--1"],
+    "double": ["", "NaN", "nan", "inf", "Infinity", "-Infinity", "1e5", "1.", ".5", "5f", "x"],
+    "time": [
+        "2025-02-30 01:02:03.000004",
+        "2024-02-30 01:02:03",
+        "2025-06-31 24:00:00",
+        "2025-06-30 24:00:00.000000",
+        "2025-01-01 00:00:00.12345",
+        "2025-01-01",
+        "",
+        " 2025-01-01 00:00:00 ",
+        "2025-01-01 23:59:60",
+    ],
+    "text": ["", " Y ", '"', "YY", "\x7f"],
+}
+
+
+def random_line(rng):
+    fields = SAMPLE[rng.randrange(len(SAMPLE))].split(",")
+    if rng.random() < 0.3:
+        fields[1], fields[2] = fields[1][:19], fields[2][:19]
+    for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+        place = rng.randrange(19)
+        if place in (1, 2):
+            kind = "time"
+        elif place == 6:
+            kind = "text"
+        elif place in (0, 3, 5, 7, 8, 9):
+            kind = "int"
+        else:
+            kind = "double"
+        fields[place] = rng.choice(ODDITIES[kind])
+    line = ",".join(fields[: rng.choice([19, 19, 19, 19, 18])])
+    return line + rng.choice(["", "", "", ",", ",,,", ",x", "\r", "\n"])
+
+
+def test_random_lines_match_the_model(lines):
+    rng = random.Random(20250101)
+    texts = [random_line(rng) for _ in range(3000)]
+    names = TRIP.fieldNames()[:19]
+    found = {}
+    for row in classify(lines(*texts)).collect():
+        found[row.value] = row
+    reasons = set()
+    for text in texts:
+        expected, fields = model(text)
+        row = found[text]
+        reasons.add(expected)
+        assert row.reason == expected, text
+        if fields:
+            for name, value in zip(names, fields):
+                same = row[name] == value or (value != value and row[name] != row[name])
+                assert same, (text, name)
+    assert reasons == {None, "arity", "number", "datetime"}
+
+
+def test_trips_and_rejects_are_complementary(lines):
+    rng = random.Random(7)
+    frame = classify(lines(*(random_line(rng) for _ in range(500))))
+    assert trips(frame).count() + rejects(frame).count() == 500
+    assert frame.filter(F.col("reason").isNull()).count() == trips(frame).count()
