@@ -16,7 +16,7 @@ compile it, and the edge cases are only looked at in the rows that have them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Everything up to and including the space counts as blank at either end.
@@ -26,8 +26,8 @@ INFINITY = float("inf")
 
 # Accepted shapes. The year 0000 is not a year of the era.
 WHOLE = r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}"
-MICROS = WHOLE + r"\.[0-9]{6}"
-PAIR_SHAPE = rf"^(?:{MICROS},{MICROS}|{WHOLE},{WHOLE})\z"
+MOMENT = WHOLE + r"(?:\.[0-9]{6})?"
+PAIR_SHAPE = rf"^{MOMENT},{MOMENT}\z"
 
 # A not-a-number or infinity among joined fields in a spelling other than the accepted one.
 BLANK_RUN = r"[\x00-\x20]*+"
@@ -81,23 +81,38 @@ def strict_doubles(texts: Column) -> Column:
     return F.when(F.coalesce(odd, F.lit(False)), F.lit(None)).otherwise(numbers)
 
 
-def strict_times(first: Column, second: Column) -> Column:
-    """Both trimmed date-times, or NULL when their forms are wrong or differ."""
-    pair = F.concat(first, F.lit(","), second)
-    plain = F.array(first, second).try_cast("array<timestamp_ntz>")
+def with_strict_times(frame: DataFrame, first: str, second: str, times: str) -> DataFrame:
+    """Add the array ``times`` of two trimmed date-time columns.
+
+    It is NULL when their forms are wrong or differ. The steps are columns of
+    their own, as the last one needs the middle one twice.
+    """
+    one, two = F.col(first), F.col(second)
+    pair = F.concat(one, F.lit(","), two)
+    shaped = pair.rlike(PAIR_SHAPE) & (F.length(one) == F.length(two))
     mended = pair
     for wrong, right in MONTH_ENDS:
         mended = F.regexp_replace(mended, wrong, right)
-    moved = F.split(mended, ",").try_cast("array<timestamp_ntz>")
 
-    def next_day(place: int, text: Column) -> Column:
-        midnight = F.substring(text, 12, 2) == "24"
-        return F.get(moved, F.lit(place)) + F.when(
-            midnight, F.expr("INTERVAL '1' DAY")
-        ).otherwise(F.expr("INTERVAL '0' DAY"))
+    def with_midnight(place: int, text: Column) -> Column:
+        moment = F.get("_moved", F.lit(place))
+        next_day = moment + F.expr("INTERVAL '1' DAY")
+        return F.when(F.substring(text, 12, 2) == "24", next_day).otherwise(moment)
 
-    whole = F.get(plain, F.lit(0)).isNotNull() & F.get(plain, F.lit(1)).isNotNull()
-    return F.when(
-        pair.rlike(PAIR_SHAPE),
-        F.when(whole, plain).otherwise(F.array(next_day(0, first), next_day(1, second))),
+    plain = frame.withColumn(
+        "_plain", F.when(shaped, F.array(one, two).try_cast("array<timestamp_ntz>"))
+    )
+    refused = F.get("_plain", F.lit(0)).isNull() | F.get("_plain", F.lit(1)).isNull()
+    moved = plain.withColumn(
+        "_moved",
+        F.when(
+            F.col("_plain").isNotNull() & refused,
+            F.split(mended, ",").try_cast("array<timestamp_ntz>"),
+        ),
     )
+    return moved.withColumn(
+        times,
+        F.when(F.col("_moved").isNull(), F.col("_plain")).otherwise(
+            F.array(with_midnight(0, one), with_midnight(1, two))
+        ),
+    ).drop("_plain", "_moved")

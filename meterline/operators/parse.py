@@ -14,8 +14,8 @@ from meterline.functions.fields import (
     split_fields,
     strict_doubles,
     strict_ints,
-    strict_times,
     trimmed,
+    with_strict_times,
 )
 from meterline.schemas import LINE_FIELDS, TRIP
 
@@ -51,18 +51,22 @@ def _fields() -> list[Column]:
 
 
 def _reason(line: Column) -> Column:
-    """Why a line is no trip; NULL for a trip. The first failing test names the reason."""
+    """Why a line is no trip; NULL for a trip. The first failing test names the reason.
+
+    Headers come first and blank lines second. A header has no vendor and a
+    blank line one field, so good lines are spared both text tests.
+    """
     times = ("pickup_datetime", "dropoff_datetime")
     numbers = [n for n in LINE_FIELDS.fieldNames() if n not in (*times, "vendor_id")]
 
     def missing(names) -> Column:
         return reduce(or_, (F.col(name).isNull() for name in names))
 
+    header = F.when(line.startswith(HEADER_START), "header")
+    short = header.when(trimmed(F.coalesce(line, F.lit(""))) == "", "blank").otherwise("arity")
     return (
-        F.when(line.startswith(HEADER_START), "header")
-        .when(line.isNull() | (trimmed(line) == ""), "blank")
-        .when(F.col("_arity") < FIELD_COUNT, "arity")
-        .when(F.col("vendor_id").isNull(), "number")
+        F.when(F.coalesce(F.col("_arity"), F.lit(0)) < FIELD_COUNT, short)
+        .when(F.col("vendor_id").isNull(), header.otherwise("number"))
         .when(missing(times), "datetime")
         .when(missing(numbers), "number")
     )
@@ -91,12 +95,13 @@ def classify(lines: DataFrame, column: str = "value") -> DataFrame:
         *(trimmed(_at("_parts", place)).alias(f"_time_{place}") for place in TIME_PLACES),
         trimmed(_at("_parts", FLAG_PLACE)).alias("_flag"),
     )
-    typed = texts.select(
+    timed = with_strict_times(texts, *(f"_time_{place}" for place in TIME_PLACES), "_times")
+    typed = timed.select(
         *carried,
         "_arity",
         strict_ints(F.col("_int_texts"), F.col(column)).alias("_ints"),
         strict_doubles(F.col("_double_texts")).alias("_doubles"),
-        strict_times(*(F.col(f"_time_{place}") for place in TIME_PLACES)).alias("_times"),
+        "_times",
         "_flag",
     )
     parsed = ("_arity", "_ints", "_doubles", "_times", "_flag")
