@@ -251,6 +251,9 @@ ORACLE: dict[str, str] = {
     "hourly_latest": LATEST,
     "publish_lines": f"WITH {TRIPS} SELECT {line()} AS line FROM trips",
     "publish_roundtrip": RAW,
+    "publish_files": RAW,
+    "overall_fare": f"WITH {TRIPS} SELECT round(avg(fare_amount), 6) AS average_fare, "
+    "count(*) AS trip_count FROM trips",
     "load_csv": f"WITH {TRIPS} SELECT {HEADERS} FROM trips",
     "sink_raw": RAW,
     "sink_decoded": DECODED,

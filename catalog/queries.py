@@ -19,23 +19,23 @@ from catalog.trips import (
 from meterline.functions.clock import epoch_millis
 from meterline.functions.codes import payment_type_name, rate_code_name, vendor_name
 from meterline.operators.decode import decode
-from meterline.operators.hourly import hourly_fares, latest
-from meterline.operators.load import load_trips
+from meterline.operators.hourly import hourly_fares, latest, overall_fare
 from meterline.operators.parse import classify, parse_trips, reject_counts, rejects, trips
 from meterline.operators.publish import publish_lines
 from meterline.operators.window_apply import apply_window
 from meterline.plans.pipeline import Outputs, start_hourly, start_late_hourly, start_pipeline
+from meterline.plans.tables import load_table, publish_table
 from meterline.schemas import CSV_HEADER, CSV_TRIP, DECODED, HOURLY, LINE_FIELDS, TRIP
 from meterline.session import scratch_dir
 from meterline.sinks.tables import (
     AUDIT_COLUMNS,
     hourly_sink,
     read_table,
-    replace_table,
     trip_sink,
     write_batch,
 )
-from meterline.sources.files import message_stream
+from meterline.sinks.topic import line_files
+from meterline.sources.files import line_file, message_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,6 +204,17 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_trips(publish_lines(event_trips(events(spark, sf_dir))))
 
 
+def publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table published as text files, read as lines and parsed again."""
+    path = scratch_dir(spark, "lines")
+    publish_table(event_trips(events(spark, sf_dir)), lambda lines: line_files(lines, path))
+    return parse_trips(line_file(spark, path)).drop("timestamp")
+
+
+def overall_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(overall_fare(parsed_events(spark, sf_dir)))
+
+
 def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table written as trip files, loaded, stored as a table and read back."""
     root = scratch_dir(spark, "load")
@@ -211,12 +222,8 @@ def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.write.option("header", True).option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
     ).csv(f"{root}/csv")
-    replace_table(load_trips(spark, f"{root}/csv", _csv_schema()), f"{root}/table")
-    return spark.read.parquet(f"{root}/table").toDF(*(name.lower() for name in CSV_HEADER))
-
-
-def _csv_schema():
-    return CSV_TRIP
+    stored = load_table(spark, f"{root}/csv", f"{root}/table", CSV_TRIP)
+    return stored.toDF(*(name.lower() for name in CSV_HEADER))
 
 
 def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -295,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "hourly_latest": hourly_latest,
     "publish_lines": publish_lines_query,
     "publish_roundtrip": publish_roundtrip,
+    "publish_files": publish_files,
+    "overall_fare": overall_fares,
     "load_csv": load_csv,
     "sink_raw": sink_raw,
     "sink_decoded": sink_decoded,

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions.text import line_text
+from meterline.functions.text import line_text, moment_text
 from meterline.schemas import CSV_HEADER, LINE_FIELDS
 from meterline.sinks.topic import message_files
 
@@ -22,7 +22,7 @@ def _turn(codes: list[int]) -> Column:
     return F.get(F.array(*map(F.lit, codes)), F.col("event_id") % len(codes)).cast("int")
 
 
-def event_trips(rows: DataFrame, *carried: str) -> DataFrame:
+def event_trips(rows: DataFrame, *carried: str | Column) -> DataFrame:
     """One trip per event, times and amounts varying with its columns."""
     error = F.col("event_type") == "error"
     fare = F.when(error, -F.col("value")).otherwise(F.col("value"))
@@ -65,59 +65,48 @@ def event_lines(rows: DataFrame) -> DataFrame:
 
 def flawed_lines(rows: DataFrame) -> DataFrame:
     """Every event as a line; fifteen in a hundred ids get a twist, most of them flaws."""
-    trips = event_trips(rows, "event_id")
-    plain = {name: F.col(name).cast("string") for name in LINE_FIELDS.fieldNames()}
+    kind = (F.col("event_id") % 100).alias("kind")
+    trips = event_trips(rows, kind)
+    texts = {name: F.col(name).cast("string") for name in LINE_FIELDS.fieldNames()}
     for name in ("pickup_datetime", "dropoff_datetime"):
-        plain[name] = F.rpad(
-            F.when(F.length(plain[name]) == 19, F.concat(plain[name], F.lit("."))).otherwise(
-                plain[name]
-            ),
-            26,
-            "0",
-        )
-
-    def line(separator: str = ",", drop: int = 0, **changed: Column) -> Column:
-        fields = [changed.get(name, text) for name, text in plain.items()]
-        return F.concat_ws(separator, *fields[: len(fields) - drop])
+        texts[name] = moment_text(F.col(name), F.lit(True))
+
+    def twist(name: str, changes: dict[int, Column]) -> None:
+        changed = texts[name]
+        for number, text in changes.items():
+            changed = F.when(F.col("kind") == number, text).otherwise(changed)
+        texts[name] = changed
 
     def cut(name: str) -> Column:
-        return F.substring(plain[name], 1, 19)
+        return F.substring(texts[name], 1, 19)
 
     def marked(name: str) -> Column:
-        return F.replace(plain[name], F.lit(" "), F.lit("T"))
-
-    twists = {
-        0: F.lit(",".join(CSV_HEADER)),
-        1: F.lit("   "),
-        2: line(drop=1),
-        3: line(airport_fee=F.lit("")),
-        4: line(passenger_count=F.lit("1.0")),
-        5: line(passenger_count=F.lit("")),
-        6: line(fare_amount=F.lit("nan")),
-        7: line(dropoff_datetime=cut("dropoff_datetime")),
-        8: line(
-            pickup_datetime=marked("pickup_datetime"),
-            dropoff_datetime=marked("dropoff_datetime"),
-        ),
-        9: line(
-            vendor_id=F.lit("x"),
-            pickup_datetime=F.lit("soon"),
-            dropoff_datetime=F.lit("later"),
-        ),
-        10: line(
-            pickup_datetime=cut("pickup_datetime"), dropoff_datetime=cut("dropoff_datetime")
-        ),
-        11: F.concat(F.lit(" "), line(separator=" , "), F.lit(" ")),
-        12: F.concat(line(), F.lit(",spare")),
-        13: line(vendor_id=F.lit("+1")),
-        14: line(store_and_fwd_flag=F.lit("")),
-    }
-    value = F.when(F.col("event_id") % 100 > 14, line())
-    for residue, text in twists.items():
-        value = value.when(F.col("event_id") % 100 == residue, text)
-    return trips.select(
-        value.alias("value"), F.col("pickup_datetime").cast("timestamp").alias("timestamp")
+        return F.replace(texts[name], F.lit(" "), F.lit("T"))
+
+    pickup, dropoff = "pickup_datetime", "dropoff_datetime"
+    twist(pickup, {8: marked(pickup), 9: F.lit("soon"), 10: cut(pickup)})
+    twist(dropoff, {7: cut(dropoff), 8: marked(dropoff), 9: F.lit("later"), 10: cut(dropoff)})
+    twist("vendor_id", {9: F.lit("x"), 13: F.lit("+1")})
+    twist("passenger_count", {4: F.lit("1.0"), 5: F.lit("")})
+    twist("fare_amount", {6: F.lit("nan")})
+    twist("store_and_fwd_flag", {14: F.lit("")})
+    twist("airport_fee", {3: F.lit("")})
+    line = trips.select(
+        "kind",
+        F.concat_ws(",", *texts.values()).alias("line"),
+        F.col("pickup_datetime").cast("timestamp").alias("timestamp"),
+    )
+    padded = F.concat(F.lit(" "), F.replace("line", F.lit(","), F.lit(" , ")), F.lit(" "))
+    value = (
+        F.when(F.col("kind") > 14, F.col("line"))
+        .when(F.col("kind") == 0, ",".join(CSV_HEADER))
+        .when(F.col("kind") == 1, "   ")
+        .when(F.col("kind") == 2, F.substring_index("line", ",", 18))
+        .when(F.col("kind") == 11, padded)
+        .when(F.col("kind") == 12, F.concat("line", F.lit(",spare")))
+        .otherwise(F.col("line"))
     )
+    return line.select(value.alias("value"), "timestamp")
 
 
 # A replay is cut into this many slices of record time.
@@ -127,7 +116,7 @@ SLICES = 3
 def slice_bounds(rows: DataFrame) -> list[datetime]:
     """The times between the slices: five minutes past the full hours that split the span evenly.
 
-    Reads the extremes of one column, which Parquet answers from its footers.
+    A scan of one column, with partial extremes per task.
     """
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
     step = (high - low) / SLICES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,5 +137,14 @@ def reject_counts(classified: DataFrame) -> DataFrame:
     return rejects(classified).groupBy("reason").agg(F.count("*").alias("line_count"))
 
 
+def watch_reasons(classified: DataFrame, watch: Observation | str) -> DataFrame:
+    """The same rows, counted by outcome while they pass.
+
+    An ``Observation`` serves a batch; a name shows up in a stream's progress.
+    """
+    counts = [F.count_if(F.col("reason") == name).alias(name) for name in REASONS]
+    return classified.observe(watch, F.count("*").alias("lines"), *counts)
+
+
 def parse_trips(lines: DataFrame, column: str = "value") -> DataFrame:
     return trips(classify(lines, column), column)

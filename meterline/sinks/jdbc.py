@@ -72,9 +72,8 @@ def write_options(
     url: str,
     connection: dict[str, str] | None = None,
     batch_rows: int | None = None,
-    writers: int | None = None,
 ) -> dict[str, str]:
-    """Writer options; ``writers`` bounds the connections open at one time."""
+    """Writer options; ``batch_rows`` overrides the rows per insert batch."""
     options = {
         "url": url,
         "dbtable": target.table,
@@ -83,17 +82,25 @@ def write_options(
     }
     if target.texts:
         options["createTableColumnTypes"] = target.texts
-    if writers:
-        options["numPartitions"] = str(writers)
     return options
 
 
-def jdbc_sink(target: Target, url: str, **options) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that appends to ``target``."""
+def jdbc_sink(
+    target: Target, url: str, writers: int | None = None, **options
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that appends to ``target``.
+
+    ``writers`` bounds the connections open at one time. The rows are spread
+    over them by a shuffle: the writer's own limit would coalesce, and so run
+    the parsing before it in as few tasks.
+    """
     settings = write_options(target, url, **options)
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        target.select(frame).write.format("jdbc").options(**settings).mode("append").save()
+        rows = target.select(frame)
+        if writers:
+            rows = rows.repartition(writers)
+        rows.write.format("jdbc").options(**settings).mode("append").save()
 
     return write
 

@@ -25,6 +25,11 @@ def message_files(lines: DataFrame, path: str) -> None:
     lines.select("value", "timestamp").write.mode("append").parquet(path)
 
 
+def line_files(lines: DataFrame, path: str) -> None:
+    """Append the bare lines to text files, the stand-in for a topic."""
+    lines.select("value").write.mode("append").text(path)
+
+
 def console(frame: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
     """A named debug print of a stream; the caller starts it."""
     return (

@@ -7,10 +7,18 @@ import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import HEADER, SAMPLE, trip_line
-from meterline.operators.parse import classify, parse_trips, reject_counts, rejects, trips
+from meterline.operators.parse import (
+    classify,
+    parse_trips,
+    reject_counts,
+    rejects,
+    trips,
+    watch_reasons,
+)
 from meterline.schemas import TRIP
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -226,6 +234,20 @@ def test_reject_counts(lines):
     }
 
 
+def test_watched_reasons(lines):
+    seen = Observation()
+    frame = watch_reasons(classify(lines(HEADER, "", "", "x", *SAMPLE)), seen)
+    assert trips(frame).count() == 4
+    assert seen.get == {
+        "lines": 8,
+        "header": 1,
+        "blank": 2,
+        "arity": 1,
+        "number": 0,
+        "datetime": 0,
+    }
+
+
 # A second, plain-Python reading of the rules to compare with on random lines.
 
 INT = re.compile(r"[+-]?[0-9]+")

@@ -59,18 +59,32 @@ def test_layout_prunes_days(spark, sample, tmp_path):
     assert "PartitionFilters: [isnotnull(pickup_date" in plan
 
 
-def test_rebalanced_backfill_keeps_every_row(spark, tmp_path):
-    trips = parse_trips(
-        spark.range(0, 2000, 1, 16).select(F.lit(SAMPLE[0]).alias("value"))
-    ).withColumn(
-        "pickup_datetime",
-        F.when(F.rand(1) < 0.4, F.col("pickup_datetime")).otherwise(
-            F.col("pickup_datetime") + F.make_dt_interval((F.rand(2) * 5).cast("int"))
-        ),
+def test_rebalanced_backfill_cuts_a_hot_day(spark, tmp_path):
+    """Days in any order, one of them a third of all rows: few files, hot day in several."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 60_000, 1, 16).withColumn(
+        "day", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).cast("int")
     )
+    later = F.make_dt_interval(F.col("day"), secs=(F.col("id") % 1000).cast("decimal(18,6)"))
+    trips = parse_trips(rows.select("id", "day", F.lit(SAMPLE[0]).alias("value"))).withColumn(
+        "pickup_datetime", F.col("pickup_datetime") + later
+    ).withColumn("fare_amount", F.rand(3))
     path = str(tmp_path / "taxi_trips")
-    trip_sink(path, rebalance=True)(trips, 0)
-    assert read_table(spark, path, TRIP).count() == 2000
+    spark.conf.set(size, "100k")
+    try:
+        trip_sink(path, rebalance=True)(trips.drop("id", "day"), 0)
+    finally:
+        spark.conf.unset(size)
+    stored = read_table(spark, path, TRIP)
+    assert stored.count() == 60_000
+    days = {
+        day: sum(name.endswith(".parquet") for name in os.listdir(f"{path}/batch_id=0/{day}"))
+        for day in os.listdir(f"{path}/batch_id=0")
+        if day.startswith("pickup_date=")
+    }
+    assert len(days) == 20
+    assert days["pickup_date=2025-01-01"] > 1
+    assert sum(days.values()) < 16 * 20
 
 
 def test_decoded_and_hourly_read_back(spark, sample, tmp_path):
@@ -116,7 +130,7 @@ def test_flags_too_wide_for_the_database(lines):
 
 def test_database_writer_options():
     connection = {"user": "u", "password": "p"}
-    raw = jdbc.write_options(jdbc.RAW, "jdbc:x", connection, writers=4)
+    raw = jdbc.write_options(jdbc.RAW, "jdbc:x", connection)
     assert raw == {
         "url": "jdbc:x",
         "dbtable": "taxi_trips",
@@ -124,7 +138,6 @@ def test_database_writer_options():
         "user": "u",
         "password": "p",
         "createTableColumnTypes": "store_and_fwd_flag VARCHAR(1)",
-        "numPartitions": "4",
     }
     assert jdbc.write_options(jdbc.DECODED_TRIPS, "jdbc:x")["batchsize"] == "20"
     hourly = jdbc.write_options(jdbc.HOURLY_FARES, "jdbc:x", batch_rows=500)
