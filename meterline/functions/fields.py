@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 # Everything up to and including the space counts as blank at either end.
 BLANKS = "".join(chr(code) for code in range(33))
+FIRST_NON_BLANK = chr(33)
 DELETE = chr(127)
 INFINITY = float("inf")
 
@@ -47,12 +48,19 @@ MONTH_ENDS = [
 
 
 def trimmed(text: Column) -> Column:
-    return F.trim(text, F.lit(BLANKS))
+    """The text without blanks at both ends.
+
+    Trimming a set of characters copies the text, so it is done only when the
+    first or last character is a blank (sorts before the first non-blank).
+    """
+    clean = (text >= FIRST_NON_BLANK) & (F.substring(text, -1, 1) >= FIRST_NON_BLANK)
+    return F.when(clean, text).otherwise(F.trim(text, F.lit(BLANKS)))
 
 
 def split_fields(line: Column) -> Column:
     """Fields between commas; quotes mean nothing, empty fields at the end do not count."""
-    return F.split(F.rtrim(line, F.lit(",")), ",")
+    whole = F.when(line.endswith(","), F.rtrim(line, F.lit(","))).otherwise(line)
+    return F.split(whole, ",")
 
 
 def strict_ints(texts: Column, line: Column) -> Column:

@@ -13,6 +13,13 @@ from meterline.operators.decode import decode
 from meterline.operators.parse import classify, rejects, trips
 from meterline.schemas import TRIP
 from meterline.session import ROCKSDB, stream_settings
+from meterline.sinks.jdbc import (
+    DECODED_TRIPS,
+    HOURLY_FARES,
+    RAW,
+    jdbc_sink,
+    refuse_wide_flags,
+)
 from meterline.sinks.tables import hourly_sink, reject_sink, trip_sink
 from meterline.streaming.hourly import STATE_PARTITIONS, checkpointed, hourly_updates
 from meterline.streaming.lateness import late_hourly
@@ -22,13 +29,17 @@ Sink = Callable[[DataFrame, int], None]
 
 @dataclass(frozen=True)
 class Outputs:
-    """Where each branch goes: a ``foreachBatch`` function per table."""
+    """Where each branch goes: a ``foreachBatch`` function per table.
+
+    ``narrow_flags`` rejects trips whose flag is too wide for a database column.
+    """
 
     raw: Sink
     decoded: Sink
     rejected: Sink
     hourly: Sink
     dropped: Sink
+    narrow_flags: bool = False
 
     @classmethod
     def below(cls, root: str) -> Outputs:
@@ -42,6 +53,19 @@ class Outputs:
             dropped=hourly_sink(f"{root}/late_drops"),
         )
 
+    @classmethod
+    def database(cls, url: str, root: str, **options) -> Outputs:
+        """The three target tables of a database; rejects and drops as files below ``root``."""
+        root = root.rstrip("/")
+        return cls(
+            raw=jdbc_sink(RAW, url, **options),
+            decoded=jdbc_sink(DECODED_TRIPS, url, **options),
+            rejected=reject_sink(f"{root}/rejects"),
+            hourly=jdbc_sink(HOURLY_FARES, url, **options),
+            dropped=hourly_sink(f"{root}/late_drops"),
+            narrow_flags=True,
+        )
+
 
 def start_trips(
     lines: DataFrame, outputs: Outputs, checkpoint: str, interval: str | None = "60 seconds"
@@ -52,7 +76,10 @@ def start_trips(
     """
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
-        parsed = classify(batch).persist()
+        parsed = classify(batch)
+        if outputs.narrow_flags:
+            parsed = refuse_wide_flags(parsed)
+        parsed.persist()
         try:
             good = trips(parsed).select(*TRIP.fieldNames())
             outputs.raw(good, batch_id)

@@ -58,13 +58,15 @@ SQL_TYPES = {
 }
 
 
-def split_by_width(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose flag fits VARCHAR(1), and the others with reason ``flag_width``.
+def refuse_wide_flags(classified: DataFrame) -> DataFrame:
+    """Classified lines with reason ``flag_width`` where the flag does not fit VARCHAR(1).
 
-    One row that does not fit would fail its whole insert batch on every retry.
+    One such row would fail its whole insert batch on every retry.
     """
-    fits = F.length("store_and_fwd_flag") <= FLAG_WIDTH
-    return frame.filter(fits), frame.filter(~fits).withColumn("reason", F.lit("flag_width"))
+    wide = F.col("reason").isNull() & (F.length("store_and_fwd_flag") > FLAG_WIDTH)
+    return classified.withColumn(
+        "reason", F.when(wide, "flag_width").otherwise(F.col("reason"))
+    )
 
 
 def write_options(

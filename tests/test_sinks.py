@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE, trip_line
 from meterline.operators.decode import decode
 from meterline.operators.hourly import hourly_fares
-from meterline.operators.parse import parse_trips
+from meterline.operators.parse import classify, parse_trips, rejects, trips
 from meterline.schemas import DECODED, HOURLY, TRIP
 from meterline.session import scratch_dir
 from meterline.sinks import jdbc
@@ -122,10 +122,10 @@ def test_creating_tables_reports_failures(spark):
 
 
 def test_flags_too_wide_for_the_database(lines):
-    wide = trip_line(store_and_fwd_flag="YY")
-    good, bad = jdbc.split_by_width(parse_trips(lines(SAMPLE[0], wide, trip_line(store_and_fwd_flag=""))))
-    assert sorted(r.store_and_fwd_flag for r in good.collect()) == ["", "N"]
-    assert [(r.store_and_fwd_flag, r.reason) for r in bad.collect()] == [("YY", "flag_width")]
+    texts = [SAMPLE[0], "x", *(trip_line(store_and_fwd_flag=flag) for flag in ("YY", ""))]
+    frame = jdbc.refuse_wide_flags(classify(lines(*texts)))
+    assert sorted(r.store_and_fwd_flag for r in trips(frame).collect()) == ["", "N"]
+    assert sorted(r.reason for r in rejects(frame).collect()) == ["arity", "flag_width"]
 
 
 def test_database_writer_options():

@@ -245,6 +245,23 @@ def test_pipeline_tables(spark, feed, tmp_path):
     assert [(r.hour, r.trip_count, r.average_fare) for r in drops] == [(0, 1, 8.0)]
 
 
+def test_pipeline_keeps_wide_flags_out_of_a_database(spark, feed, tmp_path):
+    moment = at("00:10:00")
+    feed.add([(trip_line(store_and_fwd_flag=flag), moment) for flag in ("Y", "YY")])
+    seen = {}
+
+    def catch(name):
+        return lambda frame, _: seen.update({name: frame.collect()})
+
+    names = ("raw", "decoded", "rejected", "hourly", "dropped")
+    outputs = Outputs(*map(catch, names), narrow_flags=True)
+    start_trips(feed.stream(), outputs, str(tmp_path / "state"), interval=None).awaitTermination()
+    assert [r.store_and_fwd_flag for r in seen["raw"]] == ["Y"]
+    assert len(seen["decoded"]) == 1
+    assert [r.reason for r in seen["rejected"]] == ["flag_width"]
+    assert Outputs.database("jdbc:x", str(tmp_path), connection={"user": "u"}).narrow_flags
+
+
 def test_pipeline_goes_on_after_a_restart(spark, feed, tmp_path):
     outputs, state = Outputs.below(str(tmp_path / "out")), str(tmp_path / "state")
     for fare in (1.0, 2.0):
