@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00"}
+UTC_NAMES = {"UTC", "Etc/UTC", "UCT", "Etc/UCT", "GMT", "Etc/GMT", "Universal", "Zulu", "Z", "+00:00"}
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
