@@ -77,6 +77,11 @@ RATE = names("rate_code_id", RATE_CODES, OTHER_RATE)
 PAYMENT = names("payment_type", PAYMENTS, OTHER_PAYMENT)
 
 
+def six_digits(mean: str) -> str:
+    """The mean as the queries round it: to nine digits, then exactly to six."""
+    return f"CAST(round(CAST({mean} AS DECIMAL(24, 9)), 6) AS DOUBLE)"
+
+
 def name_counts(name: str, case: str) -> str:
     return (
         f"WITH {TRIPS} SELECT {case} AS {name}, count(*) AS trip_count FROM trips GROUP BY {case}"
@@ -98,7 +103,7 @@ def hourly(moment: str) -> str:
 SELECT CAST(hour(pickup_datetime) AS INTEGER) AS "hour",
   {start} AS window_start,
   {start} + INTERVAL 1 HOUR AS window_end,
-  round(avg(fare_amount), 6) AS average_fare,
+  {six_digits('avg(fare_amount)')} AS average_fare,
   count(*) AS trip_count
 FROM trips GROUP BY 1, 2, 3"""
 
@@ -153,7 +158,7 @@ lost AS (
 SELECT CAST(hour(window_start) AS INTEGER) AS "hour",
   CAST(window_start AS TIMESTAMP) AS window_start,
   CAST(window_end AS TIMESTAMP) AS window_end,
-  round(total / n, 6) AS average_fare, n AS trip_count, kind
+  {six_digits('total / n')} AS average_fare, n AS trip_count, kind
 FROM (SELECT * FROM ontime UNION ALL SELECT * FROM refire UNION ALL SELECT * FROM lost)"""
 
 LATEST = f"""WITH {TRIPS},
@@ -165,7 +170,7 @@ log AS (
 )
 SELECT CAST(h AS INTEGER) AS "hour", CAST(w AS TIMESTAMP) AS window_start,
   CAST(w AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,
-  round(average_fare, 6) AS average_fare, trip_count
+  {six_digits('average_fare')} AS average_fare, trip_count
 FROM log
 QUALIFY row_number() OVER (PARTITION BY h, w ORDER BY batch_id DESC, trip_count DESC) = 1"""
 
@@ -252,7 +257,7 @@ ORACLE: dict[str, str] = {
     "publish_lines": f"WITH {TRIPS} SELECT {line()} AS line FROM trips",
     "publish_roundtrip": RAW,
     "publish_files": RAW,
-    "overall_fare": f"WITH {TRIPS} SELECT round(avg(fare_amount), 6) AS average_fare, "
+    "overall_fare": f"WITH {TRIPS} SELECT {six_digits('avg(fare_amount)')} AS average_fare, "
     "count(*) AS trip_count FROM trips",
     "load_csv": f"WITH {TRIPS} SELECT {HEADERS} FROM trips",
     "sink_raw": RAW,

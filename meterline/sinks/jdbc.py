@@ -18,7 +18,10 @@ from meterline.schemas import DECODED, HOURLY, TRIP
 
 @dataclass(frozen=True)
 class Target:
-    """A table, its columns in insert order, and how its batches are sized."""
+    """A table, its columns in insert order, and how its batches are sized.
+
+    ``interval`` suits the trigger of a query that feeds this table alone.
+    """
 
     table: str
     schema: T.StructType
