@@ -18,7 +18,10 @@ LINE_OPTIONS = {
 
 
 def moment_text(moment: Column, fraction: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``, followed by six fraction digits where ``fraction`` holds."""
+    """``yyyy-MM-dd HH:mm:ss``, followed by six fraction digits where ``fraction`` holds.
+
+    A zoned time, as a database may give it, is shown in the session zone.
+    """
     plain = moment.cast("string")
     dotted = F.when(F.length(plain) == 19, F.concat(plain, F.lit("."))).otherwise(plain)
     return F.when(fraction, F.rpad(dotted, 26, "0")).otherwise(F.substring(plain, 1, 19))
@@ -43,7 +46,8 @@ def line_text(schema: T.StructType, always_fraction: bool = False) -> Column:
     Times are cut to whole seconds only when every time of the row is whole:
     the parser wants one form per line.
     """
-    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    kinds = (T.TimestampNTZType, T.TimestampType)
+    times = [f.name for f in schema.fields if isinstance(f.dataType, kinds)]
     fraction = F.lit(always_fraction)
     if not always_fraction:
         for name in times:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.clock import hour_of_day
+from meterline.session import ship_by_value
+
+ship_by_value(__name__)
 
 GROUP = ["hour", "window_start", "window_end"]
 GROUP_DDL = "hour INT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -19,6 +21,14 @@ SETTINGS = {
 }
 
 
+def ship_by_value(module: str) -> None:
+    """Send the functions of a module to the executors with their code.
+
+    They then run where the package is not installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def build_session(name: str = "meterline", **settings: str) -> SparkSession:
     """A session with the settings above; ``settings`` use ``__`` for dots."""
     builder = SparkSession.builder.appName(name)

@@ -19,7 +19,13 @@ def jdbc_read_options(
 
     The bounds only place the cuts: rows outside them are read as well.
     """
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows), **(connection or {})}
+    options = {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_rows),
+        "preferTimestampNTZ": "true",
+        **(connection or {}),
+    }
     if column is not None:
         if lower is None or upper is None:
             raise ValueError("a split column needs both bounds")

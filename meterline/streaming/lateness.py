@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from meterline.functions.clock import hour_of_day
+from meterline.session import ship_by_value
 from meterline.streaming.clock import (
     DISORDER_SECONDS,
     EVENT_TIME,
@@ -30,6 +31,8 @@ from meterline.streaming.clock import (
     timed_trips,
 )
 
+ship_by_value(__name__)
+
 PARTIAL_SCHEMA = "hour INT, window_ms BIGINT, fare_sum DOUBLE, trip_count BIGINT"
 EVENT_SCHEMA = T.StructType(
     [

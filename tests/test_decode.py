@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE, trip_line
 from meterline.functions.clock import epoch_millis, whole_seconds
 from meterline.functions.codes import payment_type_name, rate_code_name, vendor_name
-from meterline.functions.text import trip_debug
+from meterline.functions.text import hourly_debug, trip_debug
+from meterline.operators.hourly import hourly_fares
 from meterline.operators.decode import decode
 from meterline.operators.parse import parse_trips
 from meterline.schemas import DECODED
@@ -68,3 +69,11 @@ def test_debug_text(lines):
     assert len(shown) == 8
     assert shown["fare_amount"] == 10.0
     assert shown["trip_duration"] == 501
+
+
+def test_hourly_debug_text(lines):
+    hourly = hourly_fares(parse_trips(lines(SAMPLE[0])), "pickup_datetime")
+    shown = json.loads(hourly.select(hourly_debug()).first()[0])
+    assert shown["hour"] == 0
+    assert shown["trip_count"] == 1
+    assert shown["window_end"].startswith("2025-01-01T01:00:00")

@@ -100,3 +100,25 @@ def test_window_function_of_the_caller(spark):
     )
     found = apply_window(trips, "pickup_datetime", extremes).select("window_start", "spread")
     assert sorted(found.collect()) == sorted(expected.collect())
+
+
+def test_worker_code_travels_by_value():
+    """Executors unpickle the functions without having the package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from meterline.operators.window_apply import MEAN_FARE
+    from meterline.streaming.lateness import FareWindows, add_up
+
+    payload = cloudpickle.dumps((MEAN_FARE, add_up, FareWindows(1, 2))).hex()
+    code = (
+        "import sys; from pyspark import cloudpickle; "
+        "found = cloudpickle.loads(bytes.fromhex(sys.stdin.read())); "
+        "assert 'meterline' not in sys.modules; print(found[2].window_ms)"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=payload, capture_output=True, text=True, cwd="/"
+    )
+    assert done.stdout.strip() == "1", done.stderr

@@ -89,6 +89,14 @@ def test_one_form_of_time_per_line(spark):
     assert always == "2025-01-01 00:00:00.000000,2025-01-01 00:00:00.000000"
 
 
+def test_zoned_times_are_written_like_zoneless_ones(spark):
+    frame = spark.createDataFrame(
+        [(datetime(2025, 1, 1, 0, 0, 0, 5), datetime(2025, 1, 1))], "a TIMESTAMP, b TIMESTAMP_NTZ"
+    )
+    expected = "2025-01-01 00:00:00.000005,2025-01-01 00:00:00.000000"
+    assert publish_lines(frame).first().value == expected
+
+
 def test_round_trip_of_random_trips(spark):
     rng = random.Random(11)
 

@@ -164,7 +164,12 @@ def test_database_ddl():
 
 
 def test_database_reader_options():
-    assert jdbc_read_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t", "fetchsize": "10000"}
+    assert jdbc_read_options("jdbc:x", "t") == {
+        "url": "jdbc:x",
+        "dbtable": "t",
+        "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
+    }
     split = jdbc_read_options("jdbc:x", "t", "id", 0, 100, 8, 30, {"user": "u"})
     assert split["partitionColumn"] == "id"
     assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("0", "100", "8")
@@ -201,8 +206,23 @@ def test_records_become_text(spark):
     assert frame.first().value == "a,b"
 
 
-def test_scratch_is_below_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert one.startswith(shared)
+class Session:
+    """Just what ``scratch_dir`` asks a session for."""
+
+    def __init__(self, master, shared):
+        self.sparkContext = self
+        self.master = master
+        self.conf = {"spark.checkpoint.dir": shared} if shared else {}
+
+
+def test_scratch_is_below_the_shared_folder():
+    cluster = Session("spark://host", "hdfs://shared/")
+    one, two = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
+    assert one.startswith("hdfs://shared/meterline-x-")
     assert one != two
+
+
+def test_scratch_is_local_only_for_a_local_master():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("spark://host", None), "x")
+    assert scratch_dir(Session("local[8]", None), "x").startswith("/")
