@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 from collections import defaultdict
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -271,6 +272,38 @@ def test_pipeline_goes_on_after_a_restart(spark, feed, tmp_path):
     assert sorted((r.batch_id, r.fare_amount) for r in raw.collect()) == [(0, 1.0), (1, 2.0)]
 
 
+def test_a_batch_that_failed_half_way_is_not_doubled(spark, feed, tmp_path):
+    good = Outputs.below(str(tmp_path / "out"))
+
+    def broken(frame, batch_id):
+        raise RuntimeError("disk full")
+
+    feed.add([message(at("00:10:00"), 1.0), message(at("00:11:00"), 2.0)])
+    state = str(tmp_path / "state")
+    query = start_trips(feed.stream(), replace(good, decoded=broken), state, interval=None)
+    with pytest.raises(Exception, match="disk full"):
+        query.awaitTermination()
+    start_trips(feed.stream(), good, state, interval=None).awaitTermination()
+    for name, schema in (("taxi_trips", TRIP), ("yellow_taxi_stream", DECODED)):
+        stored = read_table(spark, f"{tmp_path}/out/{name}", schema).collect()
+        assert sorted(r.fare_amount for r in stored) == [1.0, 2.0]
+
+
+def test_hourly_state_survives_a_restart(spark, feed, tmp_path):
+    table, state = str(tmp_path / "events"), str(tmp_path / "state")
+
+    def run():
+        start_late_hourly(
+            feed.stream(), lambda frame, batch: write_batch(frame, table, batch), state, interval=None
+        ).awaitTermination()
+
+    for part in (["00:10:00"], ["00:20:00"], ["01:00:30"], ["00:30:00"]):
+        feed.add([message(at(time)) for time in part])
+        run()
+    found = sorted((r.kind, r.trip_count) for r in spark.read.parquet(table).collect())
+    assert found == [("ontime", 2), ("refire", 3)]
+
+
 def test_text_stream_has_the_file_time(spark, tmp_path):
     (tmp_path / "in").mkdir()
     path = tmp_path / "in" / "lines.csv"
