@@ -54,13 +54,22 @@ def event_trips(rows: DataFrame, *carried: str | Column) -> DataFrame:
     )
 
 
-def event_lines(rows: DataFrame) -> DataFrame:
-    """Every event as a good line, with the pickup as record time."""
-    trips = event_trips(rows)
-    return trips.select(
-        line_text(LINE_FIELDS).alias("value"),
-        F.col("pickup_datetime").cast("timestamp").alias("timestamp"),
+def messages(frame: DataFrame, value: Column) -> DataFrame:
+    """Lines with the pickup as record time.
+
+    The one-element ``inline`` makes Spark generate the making of a line as a
+    method of its own, apart from the parsing that follows in the same stage;
+    together they are too long for the JVM to compile.
+    """
+    lines = frame.select(
+        value.alias("value"), F.col("pickup_datetime").cast("timestamp").alias("timestamp")
     )
+    return lines.select(F.inline(F.array(F.struct("value", "timestamp"))))
+
+
+def event_lines(rows: DataFrame) -> DataFrame:
+    """Every event as a good line."""
+    return messages(event_trips(rows), line_text(LINE_FIELDS))
 
 
 def flawed_lines(rows: DataFrame) -> DataFrame:
@@ -92,9 +101,7 @@ def flawed_lines(rows: DataFrame) -> DataFrame:
     twist("store_and_fwd_flag", {14: F.lit("")})
     twist("airport_fee", {3: F.lit("")})
     line = trips.select(
-        "kind",
-        F.concat_ws(",", *texts.values()).alias("line"),
-        F.col("pickup_datetime").cast("timestamp").alias("timestamp"),
+        "kind", "pickup_datetime", F.concat_ws(",", *texts.values()).alias("line")
     )
     padded = F.concat(F.lit(" "), F.replace("line", F.lit(","), F.lit(" , ")), F.lit(" "))
     value = (
@@ -106,7 +113,7 @@ def flawed_lines(rows: DataFrame) -> DataFrame:
         .when(F.col("kind") == 12, F.concat("line", F.lit(",spare")))
         .otherwise(F.col("line"))
     )
-    return line.select(value.alias("value"), "timestamp")
+    return messages(line, value)
 
 
 # A replay is cut into this many slices of record time.

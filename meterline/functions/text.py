@@ -32,12 +32,14 @@ def has_fraction(moment: Column) -> Column:
 
 
 def number_text(number: Column) -> Column:
-    """A double in plain notation where a fixed-point text is usual (1e-4 to 1e16)."""
+    """A double, without an exponent where a fixed-point text is usual (1e-4 to 1e16)."""
+    text = number.cast("string")
     size = F.abs(number)
-    plain = F.rtrim(number.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    awkward = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return F.when(awkward, plain).otherwise(number.cast("string"))
+    plain = F.regexp_replace(
+        number.try_cast("decimal(38,20)").cast("string"), r"(\.[0-9]+?)0+$", "$1"
+    )
+    awkward = F.contains(text, F.lit("E")) & (size >= 1e-4) & (size < 1e16)
+    return F.when(awkward, plain).otherwise(text)
 
 
 def line_text(schema: T.StructType, always_fraction: bool = False) -> Column:
