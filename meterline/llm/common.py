@@ -59,4 +59,4 @@ def with_lookup(
     joined = marked.join(cold, ["_key", "_is_hot"], "left").withColumn(
         "_found", F.coalesce("_hot", "_cold")
     )
-    return joined.select(*(rows[name] for name in rows.columns), "_found.*")
+    return joined.select(*rows.columns, "_found.*")
