@@ -47,7 +47,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+WARC_BUNDLES = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS payload_digest FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keep FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM k
+"""
+
+
+def line_dedup(documents: str) -> str:
+    """Lines with their keys, and the text of each row without repeated lines; CTEs that end in ``cleaned``."""
+    blanks = r"'[\x20\x09-\x0D]'"
+    stripped = f"regexp_replace(regexp_replace(line, '^' || {blanks} || '+', ''), {blanks} || '+$', '')"
+    return f"""
+ld AS (SELECT row_number() OVER () AS lrid, *, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}),
+ll AS (SELECT lrid, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM ld),
+lk AS (SELECT lrid, line, pos, {LOWER.format(stripped)} AS k FROM ll),
+rl AS (SELECT k FROM lk WHERE k <> '' GROUP BY k HAVING count(DISTINCT lrid) >= 10),
+lm AS (SELECT lrid, count(*) AS n_lines, count(rl.k) AS n_dropped,
+              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (rl.k IS NULL), '') AS kept
+       FROM lk LEFT JOIN rl ON lk.k = rl.k GROUP BY lrid),
+cleaned AS (SELECT ld.*, n_lines, n_dropped, kept FROM ld JOIN lm USING (lrid))
+"""
+
+
+LINE_DEDUP = f"""
+WITH {line_dedup("documents")}
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM cleaned
+"""
+
 ORACLE_SQL = {
+    "op3_warc_bundles": WARC_BUNDLES,
+    "op10_line_dedup": LINE_DEDUP,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_quality_rules": QUALITY_RULES,
 }

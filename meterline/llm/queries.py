@@ -3,10 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.llm.common import read_table
 from meterline.llm.exact_dedup import exact_duplicates
+from meterline.llm.html_text import extract_article
+from meterline.llm.line_dedup import dedup_lines
+from meterline.llm.packing import pack
 from meterline.llm.quality_rules import quality_rules
+from meterline.llm.simhash import simhash_neighbours
+from meterline.llm.warc import read_bundles, write_bundles
+from meterline.session import scratch_dir
+
+
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
+def op2_extract_article(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_article(read_table(spark, sf_dir, "pages"))
+
+
+def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_bundles(read_table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    records = read_bundles(spark, index, with_payload=False)
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_neighbours(read_table(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +44,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_pack_sequences": op1_pack_sequences,
+    "op2_extract_article": op2_extract_article,
+    "op3_warc_bundles": op3_warc_bundles,
+    "op5_simhash_neighbours": op5_simhash_neighbours,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
