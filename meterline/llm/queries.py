@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.common import read_table
+from meterline.llm.cotrain import quality_scores
 from meterline.llm.exact_dedup import exact_duplicates
 from meterline.llm.html_text import extract_article
 from meterline.llm.line_dedup import dedup_lines
+from meterline.llm.lm_score import score_text
 from meterline.llm.packing import pack
+from meterline.llm.piece_sampling import decode_pieces, sample_pieces
 from meterline.llm.quality_rules import quality_rules
 from meterline.llm.simhash import simhash_neighbours
 from meterline.llm.warc import read_bundles, write_bundles
@@ -32,10 +35,34 @@ def op3_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_text(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def op6_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    samples = decode_pieces(sample_pieces(turns, ["conv_id", "turn"]), to="decoded")
+    return samples.select(
+        "conv_id",
+        "turn",
+        "sample",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        "log_probability",
+        "inclusion",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_scores(docs, labels).select("doc_id", "score", "kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +80,10 @@ QUERIES = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_extract_article": op2_extract_article,
     "op3_warc_bundles": op3_warc_bundles,
+    "op4_score_text": op4_score_text,
     "op5_simhash_neighbours": op5_simhash_neighbours,
+    "op6_sample_pieces": op6_sample_pieces,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,

@@ -72,8 +72,10 @@ def fingerprint(text: str, shingle: int) -> int:
 def fingerprint_rows(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            found = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["id", "text_hash", "fp"]
+            )
 
     return run
 
@@ -151,6 +153,23 @@ def near_links(distinct: DataFrame, radius: int, bucket: int = BUCKET) -> DataFr
     return found if links else spark.createDataFrame([], "a long, b long")
 
 
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(prints, groups): a row per document (id, text_hash, fp); a row per fingerprint (fp, n, root, component_id)."""
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    id_type = texts.schema["id"].dataType.simpleString()
+    prints = texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        fingerprint_rows(shingle), f"id {id_type}, text_hash long, fp long"
+    )
+    prints = stored(prints, "fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least")), "distinct")
+    roots = components(near_links(distinct, radius))
+    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+    placed = stored(placed.select("fp", "n", "least", F.coalesce("root", "fp").alias("root")), "placed")
+    whole = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    named = with_lookup(placed, whole, "root", "members", F.xxhash64("fp"), distinct.count())
+    return prints, named.select("fp", "n", "root", "component_id")
+
+
 def simhash_neighbours(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -159,20 +178,30 @@ def simhash_neighbours(
     radius: int = RADIUS,
 ) -> DataFrame:
     """Every row with its fingerprint and the smallest id reachable over links within the radius."""
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    id_type = texts.schema["id"].dataType.simpleString()
-    prints = stored(texts.mapInArrow(fingerprint_rows(shingle), f"id {id_type}, fp long"), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least")), "distinct")
-    roots = components(near_links(distinct, radius))
-    placed = distinct.join(roots, distinct["fp"] == roots["node"], "left")
-    placed = placed.select("fp", "n", "least", F.coalesce("root", "fp").alias("root"))
-    placed = stored(placed, "placed")
-    whole = placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
-    total = prints.count()
-    named = with_lookup(placed, whole, "root", "members", F.xxhash64("fp"), total)
-    rows = with_lookup(prints, named.select("fp", "n", "component_id"), "fp", "n", F.xxhash64("id"), total)
+    prints, groups = grouped(docs, id_col, text_col, shingle, radius)
+    rows = with_lookup(prints, groups.drop("root"), "fp", "n", F.xxhash64("id", "text_hash"), prints.count())
     return rows.select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The row of each group of near-duplicates with the smallest id, all its columns."""
+    prints, groups = grouped(docs, id_col, text_col, shingle, radius)
+    rows = with_lookup(prints, groups.drop("component_id"), "fp", "n", F.xxhash64("id", "text_hash"), prints.count())
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    winners = stored(rows.groupBy("root").agg(first).select("first.id", "first.text_hash"), "winners")
+    winners = winners.withColumnsRenamed({"id": "_id", "text_hash": "_text_hash"})
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_text_hash"))
+    kept = docs.join(winners, same, "left_semi")
+    if prints.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.dropDuplicates([id_col, text_col])  # rows that repeat id and text
