@@ -37,6 +37,8 @@ ROUNDS = 3
 HANDED_OVER = 300
 SURE = 0.97
 KEEP_SCORE = 0.5
+#: Penalty and steps of the fits on one or two logits.
+FEW = (1e-4, 1000)
 TRIGRAM_BINS = 1024
 META_BINS = 32
 PIECE = 1 << 20
@@ -100,7 +102,7 @@ class Logistic:
         return (x - self.shift) / self.scale @ self.weights + self.bias
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 200) -> Logistic:
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 200) -> Logistic:
     """Accelerated gradient descent on the penalised mean loss."""
     shift, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
     z = ((x - shift) / scale).astype(np.float64)
@@ -141,7 +143,7 @@ class View:
 
 def fit_view(x: np.ndarray, y: np.ndarray, held_x: np.ndarray, held_y: np.ndarray) -> View:
     model = fit_logistic(x, y)
-    platt = fit_logistic(model.logit(held_x)[:, None], held_y)
+    platt = fit_logistic(model.logit(held_x)[:, None], held_y, *FEW)
     a = platt.weights[0] / platt.scale[0]
     return View(model, float(a), float(platt.bias - a * platt.shift[0]))
 
@@ -191,7 +193,7 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray],
             free[taker][places] = False
             extra[taker] = tuple(np.concatenate(pair) for pair in zip(extra[taker], (places, marks)))
     logits = np.column_stack([view.calibrated(x[held]) for view, x in zip(views, labelled)])
-    return CoTrained(views, fit_logistic(logits, y[held], penalty=1e-2))
+    return CoTrained(views, fit_logistic(logits, y[held], *FEW))
 
 
 def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
