@@ -36,6 +36,8 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 BUCKET = 1024
+#: With so few free bits a bucket has at most 1,024 fingerprints.
+FEW_FREE = 10
 #: A text is cut into words in pieces of so many bytes.
 PIECE_BYTES = 1 << 20
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -122,10 +124,7 @@ def forest(radius: int):
 
 def near_links(distinct: DataFrame, radius: int, bucket: int = BUCKET) -> DataFrame:
     """Links (a, b) whose components are those of all pairs within the radius; ``distinct`` has ``fp``."""
-    spark = distinct.sparkSession
-    level, links = [(0, distinct.select("fp", F.lit(0).cast("long").alias("mask")))], []
-    parents = [0]
-    rows = level[0][1]
+    rows, links, parents = distinct.select("fp", F.lit(0).cast("long").alias("mask")), [], [0]
     while parents:
         children = {parent: covering_masks(radius, parent) for parent in parents}
         below = F.create_map(
@@ -143,14 +142,15 @@ def near_links(distinct: DataFrame, radius: int, bucket: int = BUCKET) -> DataFr
         total = sizes.agg(F.sum("n")).first()[0] or 0
         met = with_lookup(rows, sizes.filter("n > 2").drop("a", "b").withColumn("weight", F.col("n")), "bucket", "weight", F.xxhash64("fp"), total)
         met = stored(met.filter("mask = of_mask AND key = of_key").select("fp", "mask", "key", "n"), "met")
-        lists = met.filter(F.col("n") <= bucket).groupBy("mask", "key").agg(F.collect_list("fp").alias("members"))
+        small = (F.col("n") <= bucket) | (F.bit_count("mask") >= 64 - FEW_FREE)
+        lists = met.filter(small).groupBy("mask", "key").agg(F.collect_list("fp").alias("members"))
         links.append(lists.select("members").mapInArrow(forest(radius), "a long, b long"))
-        rows = met.filter(F.col("n") > bucket).select("fp", "mask").distinct()
+        rows = met.filter(~small).select("fp", "mask").distinct()
         parents = [row[0] % (1 << 64) for row in rows.select("mask").distinct().collect()]
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
-    return found if links else spark.createDataFrame([], "a long, b long")
+    return found
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
