@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from catalog.trips import SLICES
-from meterline.functions.codes import (
-    OTHER_PAYMENT,
-    OTHER_RATE,
-    OTHER_VENDOR,
-    PAYMENTS,
-    RATE_CODES,
-    VENDORS,
-)
-from meterline.schemas import AMOUNTS, CSV_HEADER, LINE_FIELDS
+# Fixed values, spelled out here once more so that a slip in the engine shows.
+LINE_FIELDS = """vendor_id pickup_datetime dropoff_datetime passenger_count trip_distance
+rate_code_id store_and_fwd_flag pu_location_id do_location_id payment_type fare_amount extra
+mta_tax tip_amount tolls_amount improvement_surcharge total_amount congestion_surcharge
+airport_fee""".split()
+CSV_HEADER = """VendorID tpep_pickup_datetime tpep_dropoff_datetime passenger_count trip_distance
+RatecodeID store_and_fwd_flag PULocationID DOLocationID payment_type fare_amount extra
+mta_tax tip_amount tolls_amount improvement_surcharge total_amount congestion_surcharge
+Airport_fee""".split()
+AMOUNTS = LINE_FIELDS[10:]
+# The replay's slices, and the delay of the watermark in the delayed one.
+SLICES = 3
+DELAY = "11 DAY"
 
-FIELDS = ", ".join(LINE_FIELDS.fieldNames())
+FIELDS = ", ".join(LINE_FIELDS)
 
 TRIPS = """
 trips AS (
@@ -67,14 +70,30 @@ flawed AS (
 )"""
 
 
-def names(column: str, table: dict[int, str], other: str) -> str:
-    cases = " ".join(f"WHEN {code} THEN '{name}'" for code, name in table.items())
-    return f"CASE {column} {cases} ELSE '{other}' END"
-
-
-VENDOR = names("vendor_id", VENDORS, OTHER_VENDOR)
-RATE = names("rate_code_id", RATE_CODES, OTHER_RATE)
-PAYMENT = names("payment_type", PAYMENTS, OTHER_PAYMENT)
+VENDOR = """CASE vendor_id
+    WHEN 1 THEN 'Creative Mobile Technologies, LLC'
+    WHEN 2 THEN 'Curb Mobility, LLC'
+    WHEN 6 THEN 'Myle Technologies Inc'
+    WHEN 7 THEN 'Helix'
+    ELSE 'Unknown Vendor' END"""
+RATE = """CASE rate_code_id
+    WHEN 1 THEN 'Standard rate'
+    WHEN 2 THEN 'JFK'
+    WHEN 3 THEN 'Newark'
+    WHEN 4 THEN 'Nassau or Westchester'
+    WHEN 5 THEN 'Negotiated fare'
+    WHEN 6 THEN 'Group ride'
+    WHEN 99 THEN 'Null/unknown'
+    ELSE 'Other' END"""
+PAYMENT = """CASE payment_type
+    WHEN 0 THEN 'Flex Fare trip'
+    WHEN 1 THEN 'Credit card'
+    WHEN 2 THEN 'Cash'
+    WHEN 3 THEN 'No charge'
+    WHEN 4 THEN 'Dispute'
+    WHEN 5 THEN 'Unknown'
+    WHEN 6 THEN 'Voided trip'
+    ELSE 'Other' END"""
 
 
 def six_digits(mean: str) -> str:
@@ -112,9 +131,15 @@ HOURLY_PICKUP = hourly("pickup_datetime")
 HOURLY_INGEST = hourly("(pickup_datetime + INTERVAL 90 MINUTE)")
 RAW = f"WITH {TRIPS} SELECT {FIELDS}, {DURATION} FROM trips"
 
-# The emission rule of the lateness operator, from each row's slice of arrival
-# and the newest record time of the slices before it.
-LATE = f"""WITH {TRIPS},
+
+
+def fired(disorder: str = "10 SECOND", good: str = "true") -> str:
+    """The emission rule of the lateness operator, as CTEs after ``flawed``.
+
+    It follows from each row's slice of arrival and the newest record time of the
+    slices before it. All lines move the clock, the ``good`` ones are counted.
+    """
+    return f"""
 span AS (SELECT min(ts) AS low, (max(ts) - min(ts)) / {SLICES} AS step FROM events),
 cuts AS (
   SELECT [date_trunc('hour', low + step * part) + INTERVAL 5 MINUTE
@@ -122,14 +147,14 @@ cuts AS (
   FROM span
 ),
 arrived AS (
-  SELECT fare_amount, pickup_datetime AS moment,
-    date_trunc('hour', pickup_datetime) AS window_start,
-    len(list_filter(bounds, lambda b: pickup_datetime >= b))
+  SELECT fare_amount, ts AS moment, {good} AS good,
+    date_trunc('hour', ts) AS window_start,
+    len(list_filter(bounds, lambda b: ts >= b))
       + CASE WHEN event_id % 20 = 7 THEN 1 ELSE 0 END AS slice
-  FROM trips, cuts
+  FROM flawed JOIN events USING (event_id), cuts
 ),
 newest AS (
-  SELECT slice, max(max(moment)) OVER (ORDER BY slice) - INTERVAL 10 SECOND AS watermark
+  SELECT slice, max(max(moment)) OVER (ORDER BY slice) - INTERVAL {disorder} AS watermark
   FROM arrived GROUP BY slice
 ),
 seen AS (
@@ -137,29 +162,37 @@ seen AS (
     coalesce(n.watermark >= window_start + INTERVAL 1 HOUR, false) AS due,
     coalesce(n.watermark >= window_start + INTERVAL 65 MINUTE, false) AS gone
   FROM arrived a LEFT JOIN newest n ON n.slice = a.slice - 1
+  WHERE good
 ),
 kept AS (SELECT * FROM seen WHERE NOT gone),
 ontime AS (
-  SELECT 'ontime' AS kind, window_start, window_end, sum(fare_amount) AS total, count(*) AS n
+  SELECT 'ontime' AS kind, window_start, window_end, -1 AS slice,
+    sum(fare_amount) AS total, count(*) AS n
   FROM kept WHERE NOT due AND window_end <= (SELECT max(watermark) FROM newest)
   GROUP BY window_start, window_end
 ),
 refire AS (
-  SELECT 'refire' AS kind, late.window_start, late.window_end,
+  SELECT 'refire' AS kind, late.window_start, late.window_end, late.slice,
     sum(kept.fare_amount) AS total, count(*) AS n
   FROM (SELECT DISTINCT window_start, window_end, slice FROM kept WHERE due) late
   JOIN kept ON kept.window_start = late.window_start AND kept.slice <= late.slice
   GROUP BY late.window_start, late.window_end, late.slice
 ),
 lost AS (
-  SELECT 'drop' AS kind, window_start, window_end, sum(fare_amount) AS total, count(*) AS n
+  SELECT 'drop' AS kind, window_start, window_end, slice, sum(fare_amount) AS total, count(*) AS n
   FROM seen WHERE gone GROUP BY window_start, window_end, slice
-)
+),
+emitted AS (SELECT * FROM ontime UNION ALL SELECT * FROM refire)"""
+
+
+def late(disorder: str) -> str:
+    return f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired(disorder)}
 SELECT CAST(hour(window_start) AS INTEGER) AS "hour",
   CAST(window_start AS TIMESTAMP) AS window_start,
   CAST(window_end AS TIMESTAMP) AS window_end,
   {six_digits('total / n')} AS average_fare, n AS trip_count, kind
-FROM (SELECT * FROM ontime UNION ALL SELECT * FROM refire UNION ALL SELECT * FROM lost)"""
+FROM (SELECT * FROM emitted UNION ALL SELECT * FROM lost)"""
+
 
 LATEST = f"""WITH {TRIPS},
 log AS (
@@ -185,7 +218,7 @@ def line(*, drop: int = 0, separator: str = ",", **changed: str) -> str:
             if name in times
             else f"CAST({name} AS VARCHAR)"
         )
-        for name in LINE_FIELDS.fieldNames()
+        for name in LINE_FIELDS
     ]
     return f"concat_ws('{separator}', {', '.join(texts[: len(texts) - drop])})"
 
@@ -214,23 +247,49 @@ SELECT line, reason, record_time FROM flawed WHERE reason IS NOT NULL"""
 
 HEADERS = ", ".join(
     f"{name} AS {header.lower()}"
-    for name, header in zip(LINE_FIELDS.fieldNames(), CSV_HEADER, strict=True)
+    for name, header in zip(LINE_FIELDS, CSV_HEADER, strict=True)
 )
 
-PIPELINE = f"""WITH {TRIPS}, {FLAWED_TRIPS}
-SELECT table_name, row_count, fare_total FROM (
+PIPELINE = f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired(good="reason IS NULL")},
+final AS (
+  SELECT * FROM emitted
+  QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY slice DESC) = 1
+)
+SELECT table_name, CAST(row_count AS BIGINT) AS row_count, fare_total FROM (
   SELECT unnest(['taxi_trips', 'yellow_taxi_stream']) AS table_name, row_count, fare_total
   FROM (SELECT count(*) AS row_count, round(sum(fare_amount), 2) AS fare_total
         FROM flawed WHERE reason IS NULL)
-  UNION ALL
-  SELECT 'hourly_aggregates', count(*), round(sum(fare_amount), 2)
-  FROM flawed
-  WHERE reason IS NULL AND date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR
-    <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)
-  UNION ALL
-  SELECT 'rejects', count(*), CAST(0.0 AS DOUBLE) FROM flawed WHERE reason IS NOT NULL
+  UNION ALL SELECT 'hourly_aggregates', sum(n), round(sum(total), 2) FROM final
+  UNION ALL SELECT 'emissions', count(*), round(sum(total), 2) FROM emitted
+  UNION ALL SELECT 'late_drops', sum(n), round(sum(total), 2) FROM lost
+  UNION ALL SELECT 'rejects', count(*), CAST(0.0 AS DOUBLE) FROM flawed WHERE reason IS NOT NULL
 )"""
 
+EDGES = """WITH moments AS (
+  SELECT event_id, make_date(2023 + event_id % 3, event_id % 12 + 1, 1) AS month, ts FROM events
+), days AS (
+  SELECT *, CAST(least(28 + event_id % 4, day(last_day(month))) AS INTEGER) AS d FROM moments
+)
+SELECT CASE WHEN event_id % 5 = 0 THEN month + to_days(d)
+    ELSE month + to_days(d - 1) + to_hours(event_id % 24) + to_minutes(minute(ts))
+      + to_seconds(second(ts)) END AS pickup_datetime,
+  count(*) AS trip_count
+FROM days GROUP BY 1"""
+
+KINDS = {name: "DOUBLE" for name in CSV_HEADER[10:]} | {
+    "VendorID": "INT", "tpep_pickup_datetime": "TIMESTAMP_NTZ", "tpep_dropoff_datetime": "TIMESTAMP_NTZ",
+    "passenger_count": "INT", "trip_distance": "DOUBLE", "RatecodeID": "INT", "store_and_fwd_flag": "STRING",
+    "PULocationID": "INT", "DOLocationID": "INT", "payment_type": "INT",
+}
+LOADED_DDL = " UNION ALL ".join(
+    f"SELECT '{name.lower()}' AS column_name, '{kind}' AS column_type, count(*) AS value_count FROM events"
+    for name, kind in KINDS.items()
+)
+CREATED = f"""WITH {TRIPS}
+SELECT unnest(['taxi_trips', 'yellow_taxi_stream']) AS table_name, count(*) AS row_count FROM trips
+UNION ALL
+SELECT 'hourly_aggregates', count(DISTINCT date_trunc('hour', pickup_datetime)) FROM trips"""
+
 ORACLE: dict[str, str] = {
     "parse_trips": f"WITH {TRIPS}, {FLAWED_TRIPS} SELECT {FIELDS}, {DURATION} "
     "FROM flawed WHERE reason IS NULL",
@@ -252,7 +311,8 @@ ORACLE: dict[str, str] = {
     "hourly_fares_pickup": HOURLY_PICKUP,
     "hourly_fares_ingest": HOURLY_INGEST,
     "hourly_fares_stream": HOURLY_INGEST,
-    "hourly_fares_late": LATE,
+    "hourly_fares_late": late("10 SECOND"),
+    "hourly_fares_delayed": late(DELAY),
     "hourly_latest": LATEST,
     "publish_lines": f"WITH {TRIPS} SELECT {line()} AS line FROM trips",
     "publish_roundtrip": RAW,
@@ -260,9 +320,23 @@ ORACLE: dict[str, str] = {
     "overall_fare": f"WITH {TRIPS} SELECT {six_digits('avg(fare_amount)')} AS average_fare, "
     "count(*) AS trip_count FROM trips",
     "load_csv": f"WITH {TRIPS} SELECT {HEADERS} FROM trips",
+    "load_csv_inferred": f"WITH {TRIPS} SELECT {HEADERS} FROM trips",
+    "loaded_ddl": LOADED_DDL,
+    "published_count": "SELECT count(*) // 2 AS lines_reported, count(*) // 2 AS lines_found, "
+    "count(*) // 2 AS distinct_lines FROM events",
+    "calendar_edges": EDGES,
+    # The text shows times to the millisecond.
+    "debug_text": f"WITH {TRIPS} SELECT vendor_id, passenger_count, "
+    "CAST(date_trunc('milliseconds', pickup_datetime) AS TIMESTAMP) AS pickup_datetime, "
+    "CAST(date_trunc('milliseconds', dropoff_datetime) AS TIMESTAMP) AS dropoff_datetime, "
+    f"trip_distance, fare_amount, total_amount, date_sub('second', trips.pickup_datetime, trips.dropoff_datetime) "
+    "AS trip_duration FROM trips",
     "sink_raw": RAW,
     "sink_decoded": DECODED,
     "sink_hourly": HOURLY_PICKUP,
+    "sink_two_runs": RAW,
+    "table_ids": "SELECT count(*) AS row_count, count(*) AS distinct_ids, count(*) AS write_times FROM events",
+    "created_tables": CREATED,
     "applied_window_udf": HOURLY_PICKUP,
     "whole_pipeline": PIPELINE,
 }

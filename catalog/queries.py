@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,22 +20,34 @@ from catalog.trips import (
 from meterline.functions.clock import epoch_millis
 from meterline.functions.codes import payment_type_name, rate_code_name, vendor_name
 from meterline.operators.decode import decode
+from meterline.functions.text import TRIP_DEBUG_FIELDS, trip_debug
 from meterline.operators.hourly import hourly_fares, latest, overall_fare
+from meterline.operators.load import describe_ddl, load_trips
 from meterline.operators.parse import classify, parse_trips, reject_counts, rejects, trips
 from meterline.operators.publish import publish_lines
 from meterline.operators.window_apply import apply_window
-from meterline.plans.pipeline import Outputs, start_hourly, start_late_hourly, start_pipeline
+from meterline.plans.pipeline import (
+    Outputs,
+    await_all,
+    start_hourly,
+    start_late_hourly,
+    start_pipeline,
+    start_trips,
+)
 from meterline.plans.tables import load_table, publish_table
 from meterline.schemas import CSV_HEADER, CSV_TRIP, DECODED, HOURLY, LINE_FIELDS, TRIP
 from meterline.session import scratch_dir
 from meterline.sinks.tables import (
     AUDIT_COLUMNS,
+    TABLES,
+    create_tables,
     hourly_sink,
     read_table,
+    refresh_table,
     trip_sink,
     write_batch,
 )
-from meterline.sinks.topic import line_files
+from meterline.sinks.topic import line_files, message_files
 from meterline.sources.files import line_file, message_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +56,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 INGEST_LAG = "INTERVAL '90' MINUTE"
 # Event ids with this remainder of 20 arrive one slice late in the lateness query.
 TARDY = 7
+# A watermark delay longer than a slice, so that no row of the slice before is late.
+DELAY_DAYS = 11
 
 
 def rounded(hourly: DataFrame) -> DataFrame:
@@ -147,34 +162,38 @@ def hourly_fares_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latest(read_table(spark, table, HOURLY)))
 
 
-def hourly_fares_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything the lateness operator emits when one row in twenty comes a slice late."""
+def tardy_slices(spark: SparkSession, sf_dir: str, lines: Callable[[DataFrame], DataFrame]):
+    """The table's lines in slices of time, one row in twenty a slice late."""
     source = events(spark, sf_dir)
-    root = scratch_dir(spark, "late")
-    landing, table, checkpoint = (f"{root}/{part}" for part in ("landing", "events", "state"))
-    tardy = F.col("event_id") % 20 == TARDY
-    bounds = slice_bounds(source)
+    tardy, held = F.col("event_id") % 20 == TARDY, None
+    for part in slices(source, slice_bounds(source), F.col("ts")):
+        arriving = part.filter(~tardy)
+        yield lines(arriving if held is None else arriving.unionByName(held))
+        held = part.filter(tardy)
+    # The tardy rows of the last slice make a slice of their own.
+    yield lines(held)
 
-    def run() -> None:
-        stream = message_stream(spark, landing)
-        start_late_hourly(
-            stream,
-            lambda frame, batch: write_batch(frame, table, batch),
-            checkpoint,
-            interval=None,
-        ).awaitTermination()
-
-    def parts():
-        held = None
-        for part in slices(source, bounds, F.col("ts")):
-            arriving = part.filter(~tardy)
-            yield event_lines(arriving if held is None else arriving.unionByName(held))
-            held = part.filter(tardy)
-        # The tardy rows of the last slice make a slice of their own.
-        yield event_lines(held)
-
-    replay(parts(), landing, run)
-    return rounded(spark.read.parquet(table).drop("batch_id"))
+
+def fired_rows(purpose: str, **settings: int) -> Query:
+    """Everything the lateness operator emits when rows come a slice late."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, purpose)
+        landing, table, checkpoint = (f"{root}/{part}" for part in ("landing", "events", "state"))
+
+        def run() -> None:
+            start_late_hourly(
+                message_stream(spark, landing),
+                lambda frame, batch: write_batch(frame, table, batch),
+                checkpoint,
+                interval=None,
+                **settings,
+            ).awaitTermination()
+
+        replay(tardy_slices(spark, sf_dir, event_lines), landing, run)
+        return rounded(spark.read.parquet(table).drop("batch_id", "run_id"))
+
+    return query
 
 
 def hourly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,17 +238,6 @@ def overall_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(overall_fare(parsed_events(spark, sf_dir)))
 
 
-def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table written as trip files, loaded, stored as a table and read back."""
-    root = scratch_dir(spark, "load")
-    table = event_trips(events(spark, sf_dir)).toDF(*CSV_HEADER)
-    table.write.option("header", True).option(
-        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    ).csv(f"{root}/csv")
-    stored = load_table(spark, f"{root}/csv", f"{root}/table", CSV_TRIP)
-    return stored.toDF(*(name.lower() for name in CSV_HEADER))
-
-
 def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
     frame = read_table(spark, path, schema)
     return frame.drop(*AUDIT_COLUMNS)
@@ -253,21 +261,34 @@ def sink_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_stored(spark, path, HOURLY))
 
 
+def sink_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries, each with its own checkpoint and so the same batch numbers, fill one table."""
+    source = events(spark, sf_dir)
+    root = scratch_dir(spark, "runs")
+    outputs = Outputs.below(root)
+    for run in (0, 1):
+        landing = f"{root}/landing{run}"
+        message_files(event_lines(source.filter(F.col("event_id") % 2 == run)), landing)
+        stream = message_stream(spark, landing)
+        start_trips(stream, outputs, f"{root}/state{run}", interval=None).awaitTermination()
+    return _stored(spark, f"{root}/taxi_trips", TRIP)
+
+
 def whole_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All branches on one replay with flawed lines: rows and fare total of each table."""
+    """All branches on a replay of flawed and late lines: rows and fare total of each table."""
     root = scratch_dir(spark, "pipeline")
     landing = f"{root}/landing"
     outputs = Outputs.below(root)
 
     def run() -> None:
         stream = message_stream(spark, landing)
-        for query in start_pipeline(stream, outputs, f"{root}/state", interval=None):
-            query.awaitTermination()
+        await_all(start_pipeline(stream, outputs, f"{root}/state", interval=None))
 
-    replay(iter([flawed_lines(events(spark, sf_dir))]), landing, run)
+    replay(tardy_slices(spark, sf_dir, flawed_lines), landing, run)
     raw = read_table(spark, f"{root}/taxi_trips", TRIP)
     decoded = read_table(spark, f"{root}/yellow_taxi_stream", DECODED)
-    hourly = latest(read_table(spark, f"{root}/hourly_aggregates", HOURLY))
+    fired = read_table(spark, f"{root}/hourly_aggregates", HOURLY)
+    drops = read_table(spark, f"{root}/late_drops", HOURLY)
     rejected = spark.read.parquet(f"{root}/rejects")
 
     def report(name: str, frame: DataFrame, rows, fares) -> DataFrame:
@@ -275,15 +296,131 @@ def whole_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         return summary.select(F.lit(name).alias("table_name"), "row_count", "fare_total")
 
     fare = F.sum("fare_amount")
-    hourly_total = F.sum(F.col("average_fare") * F.col("trip_count"))
+    total = F.sum(F.col("average_fare") * F.col("trip_count"))
     return (
         report("taxi_trips", raw, F.count("*"), fare)
         .unionByName(report("yellow_taxi_stream", decoded, F.count("*"), fare))
-        .unionByName(report("hourly_aggregates", hourly, F.sum("trip_count"), hourly_total))
+        .unionByName(report("hourly_aggregates", latest(fired), F.sum("trip_count"), total))
+        .unionByName(report("emissions", fired, F.count("*"), total))
+        .unionByName(report("late_drops", drops, F.sum("trip_count"), total))
         .unionByName(report("rejects", rejected, F.count("*"), F.lit(0.0)))
     )
 
 
+def calendar_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pickups on days that some months lack and at 24 o'clock, as they are parsed."""
+    key = F.col("event_id")
+    rows = events(spark, sf_dir).select("*", F.date_format("ts", "mm:ss").alias("rest"))
+    day = F.format_string("%d-%02d-%02d", 2023 + key % 3, key % 12 + 1, 28 + key % 4)
+    hour = F.when(key % 5 == 0, "24:00:00").otherwise(
+        F.concat(F.format_string("%02d:", key % 24), "rest")
+    )
+    texts = event_trips(rows, F.concat_ws(" ", day, hour).alias("moment"))
+    names = LINE_FIELDS.fieldNames()
+    times = ("pickup_datetime", "dropoff_datetime")
+    fields = [F.col("moment") if n in times else F.col(n).cast("string") for n in names]
+    parsed = parse_trips(texts.select(F.concat_ws(",", *fields).alias("value")))
+    return parsed.groupBy("pickup_datetime").agg(F.count("*").alias("trip_count"))
+
+
+def debug_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the text shown for each trip, read back."""
+    shown = ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in TRIP.fields if f.name in TRIP_DEBUG_FIELDS
+    )
+    texts = parsed_events(spark, sf_dir).select(trip_debug().alias("text"))
+    return texts.select(F.from_json("text", shown).alias("shown")).select("shown.*")
+
+
+def written_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
+    table = event_trips(events(spark, sf_dir)).toDF(*CSV_HEADER)
+    table.write.option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    ).csv(f"{root}/csv")
+    return f"{root}/csv"
+
+
+def load_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table written as trip files, loaded, stored as a table and read back."""
+    root = scratch_dir(spark, "load")
+    stored = load_table(spark, written_csv(spark, sf_dir, root), f"{root}/table", CSV_TRIP)
+    return stored.toDF(*(name.lower() for name in CSV_HEADER))
+
+
+def load_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without a declared schema: types are inferred from all rows."""
+    root = scratch_dir(spark, "load")
+    stored = load_table(spark, written_csv(spark, sf_dir, root), f"{root}/table")
+    return stored.toDF(*(name.lower() for name in CSV_HEADER))
+
+
+def loaded_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shown definition of the inferred table, with the number of values of each column."""
+    loaded = load_trips(spark, written_csv(spark, sf_dir, scratch_dir(spark, "load")))
+    kinds = dict(part.split(" ") for part in describe_ddl(loaded).split(","))
+    counts = loaded.agg(*(F.count(name).alias(name) for name in kinds))
+    wide = F.explode(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(name.lower()).alias("column_name"),
+                    F.lit(kind).alias("column_type"),
+                    F.col(name).alias("value_count"),
+                )
+                for name, kind in kinds.items()
+            )
+        )
+    )
+    return counts.select(wide.alias("row")).select("row.*")
+
+
+def published_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay of a stored table capped at half of its rows: lines reported and lines found."""
+    root = scratch_dir(spark, "lines")
+    event_trips(events(spark, sf_dir)).repartition(4).write.parquet(f"{root}/table")
+    table = spark.read.parquet(f"{root}/table")
+    reported = publish_table(table, lambda lines: line_files(lines, f"{root}/lines"), table.count() // 2)
+    found = spark.read.text(f"{root}/lines").agg(
+        F.count("*").alias("lines_found"), F.countDistinct("value").alias("distinct_lines")
+    )
+    return found.select(F.lit(reported).cast("long").alias("lines_reported"), "lines_found", "distinct_lines")
+
+
+def table_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate keys and write times of a stored batch."""
+    path = scratch_dir(spark, "raw")
+    trip_sink(path, row_id=True, created_at=True)(parsed_events(spark, sf_dir).drop("timestamp"), 0)
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct("id").alias("distinct_ids"),
+        F.count("created_at").alias("write_times"),
+    )
+
+
+def created_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the three tables as the catalog sees them, created before they are filled."""
+    root = scratch_dir(spark, "catalog")
+    database = "meterline_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    try:
+        create_tables(spark, root, database)
+        create_tables(spark, root, database)
+        parsed = parsed_events(spark, sf_dir).drop("timestamp")
+        trip_sink(f"{root}/taxi_trips")(parsed, 0)
+        trip_sink(f"{root}/yellow_taxi_stream")(decode(parsed), 0)
+        hourly_sink(f"{root}/hourly_aggregates")(hourly_fares(parsed, "pickup_datetime"), 0)
+        counts = None
+        for name in TABLES:
+            refresh_table(spark, f"{database}.{name}")
+            count = spark.table(f"{database}.{name}").agg(F.count("*").alias("row_count"))
+            row = count.select(F.lit(name).alias("table_name"), "row_count")
+            counts = row if counts is None else counts.unionByName(row)
+        counts.write.parquet(f"{root}/counts")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")  # the tables' files stay in the scratch folder
+    return spark.read.parquet(f"{root}/counts")
+
+
 def applied_window_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(apply_window(parsed_events(spark, sf_dir), "pickup_datetime"))
 
@@ -302,16 +439,25 @@ QUERIES: dict[str, Query] = {
     "hourly_fares_pickup": hourly_fares_pickup,
     "hourly_fares_ingest": hourly_fares_ingest,
     "hourly_fares_stream": hourly_fares_stream,
-    "hourly_fares_late": hourly_fares_late,
+    "hourly_fares_late": fired_rows("late"),
+    "hourly_fares_delayed": fired_rows("delayed", disorder_seconds=DELAY_DAYS * 86_400),
     "hourly_latest": hourly_latest,
     "publish_lines": publish_lines_query,
     "publish_roundtrip": publish_roundtrip,
     "publish_files": publish_files,
     "overall_fare": overall_fares,
     "load_csv": load_csv,
+    "load_csv_inferred": load_csv_inferred,
+    "loaded_ddl": loaded_ddl,
+    "published_count": published_count,
+    "calendar_edges": calendar_edges,
+    "debug_text": debug_text,
     "sink_raw": sink_raw,
     "sink_decoded": sink_decoded,
     "sink_hourly": sink_hourly,
+    "sink_two_runs": sink_two_runs,
+    "table_ids": table_ids,
+    "created_tables": created_tables,
     "applied_window_udf": applied_window_udf,
     "whole_pipeline": whole_pipeline,
 }

@@ -50,12 +50,16 @@ def overall_fare(trips: DataFrame) -> DataFrame:
     )
 
 
-def latest(changes: DataFrame, order: tuple[str, ...] = ("batch_id", "trip_count")) -> DataFrame:
+def latest(
+    changes: DataFrame, order: tuple[str, ...] = ("written_at", "batch_id", "trip_count")
+) -> DataFrame:
     """The last emitted row per (hour, window) of an append-only change log.
 
-    The greatest (batch, count, ...) row of each group is an aggregate, so the
-    tasks shrink the log to a row per group before the shuffle.
+    The greatest row of each group in ``order`` is an aggregate, so the tasks shrink the
+    log to a row per group before the shuffle. Batch numbers start anew with every run,
+    hence the time of writing first, where the log has it.
     """
+    order = tuple(name for name in order if name in changes.columns)
     rest = [c for c in HOURLY.fieldNames() if c not in ("hour", "window_start", *order)]
     newest: Column = F.max(F.struct(*order, *rest)).alias("newest")
     grouped = changes.groupBy("hour", "window_start").agg(newest)

@@ -1,8 +1,10 @@
 """A caller's own function over all trips of each (hour, window).
 
 The function comes in three steps so that no task ever holds a whole window:
-``start`` condenses some rows of a group, ``merge`` joins such results, and
-``finish`` turns the last one into output columns. For mean and count use
+``start`` condenses rows, ``merge`` joins such results, and ``finish`` turns the last
+ones into output columns. Each step is called for many groups at a time: it gets a
+frame, the number of each row's group and how many groups there are, and gives an
+array per column with a value for each group. For mean and count use
 ``hourly_fares``, which needs no Python at all.
 """
 
@@ -11,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +30,8 @@ GROUP_DDL = "hour INT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ"
 
 # Results of many tasks are merged in this many parts per group before the last merge.
 MERGE_PARTS = 32
-# A task merges its own results whenever it holds more than this many.
-HELD_ROWS = 20_000
+
+Arrays = dict[str, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -38,26 +41,28 @@ class WindowFunction:
     columns: tuple[str, ...]
     state: str
     result: str
-    start: Callable[[pd.DataFrame], dict]
-    merge: Callable[[pd.DataFrame], dict]
-    finish: Callable[[dict], dict]
-
-
-def _fare_start(rows: pd.DataFrame) -> dict:
-    return {"fare_sum": rows["fare_amount"].sum(skipna=False), "trip_count": len(rows)}
+    start: Callable[[pd.DataFrame, np.ndarray, int], Arrays]
+    merge: Callable[[pd.DataFrame, np.ndarray, int], Arrays]
+    finish: Callable[[pd.DataFrame], Arrays]
 
 
-def _fare_merge(states: pd.DataFrame) -> dict:
+def _fare_start(rows: pd.DataFrame, group: np.ndarray, groups: int) -> Arrays:
     return {
-        "fare_sum": states["fare_sum"].sum(skipna=False),
-        "trip_count": int(states["trip_count"].sum()),
+        "fare_sum": np.bincount(group, rows["fare_amount"], groups),
+        "trip_count": np.bincount(group, minlength=groups),
     }
 
 
-def _fare_finish(state: dict) -> dict:
+def _fare_merge(states: pd.DataFrame, group: np.ndarray, groups: int) -> Arrays:
+    count = np.zeros(groups, np.int64)
+    np.add.at(count, group, states["trip_count"].to_numpy(np.int64))
+    return {"fare_sum": np.bincount(group, states["fare_sum"], groups), "trip_count": count}
+
+
+def _fare_finish(states: pd.DataFrame) -> Arrays:
     return {
-        "average_fare": state["fare_sum"] / state["trip_count"],
-        "trip_count": state["trip_count"],
+        "average_fare": (states["fare_sum"] / states["trip_count"]).to_numpy(),
+        "trip_count": states["trip_count"].to_numpy(),
     }
 
 
@@ -87,10 +92,22 @@ def _arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(field.name, ARROW_TYPES[field.dataType]) for field in fields])
 
 
-def _rows(frame: pd.DataFrame, step: Callable[[pd.DataFrame], dict]) -> list[dict]:
-    """One result of ``step`` per group of the frame."""
-    groups = frame.groupby(GROUP, sort=False)
-    return [dict(zip(GROUP, key)) | step(rows) for key, rows in groups]
+def _grouped(frame: pd.DataFrame, step: Callable[[pd.DataFrame, np.ndarray, int], Arrays]) -> pd.DataFrame:
+    """The keys of the frame's groups, in order of first rows, with the step's columns."""
+    keys = frame[GROUP].drop_duplicates(ignore_index=True)
+    group = frame.groupby(GROUP, sort=False, dropna=False).ngroup().to_numpy()
+    return keys.assign(**step(frame, group, len(keys)))
+
+
+def _arrow(frame: pd.DataFrame, schema: pa.Schema) -> list[pa.RecordBatch]:
+    """Batches of the schema; NaN stays NaN and is not taken for NULL."""
+    columns = [
+        pa.array(frame[field.name].to_numpy(), field.type, from_pandas=False)
+        if field.type == pa.float64()
+        else pa.array(frame[field.name], field.type)
+        for field in schema
+    ]
+    return pa.Table.from_arrays(columns, schema=schema).to_batches()
 
 
 def apply_window(
@@ -112,29 +129,36 @@ def apply_window(
     result = f"{GROUP_DDL}, {function.result}"
     state_schema, result_schema = _arrow_schema(state), _arrow_schema(result)
 
-    # Arrow rather than pandas at the borders: it keeps NaN apart from NULL.
     def condense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
         for batch in batches:
             if batch.num_rows:
-                held += _rows(batch.to_pandas(), function.start)
-            if len(held) > HELD_ROWS:
-                held = _rows(pd.DataFrame(held), function.merge)
-        if held:
-            held = _rows(pd.DataFrame(held), function.merge)
-            yield from pa.Table.from_pylist(held, state_schema).to_batches()
-
-    def merge(states: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(_rows(states.to_pandas(), function.merge), state_schema)
-
-    def finish(states: pa.Table) -> pa.Table:
-        rows = _rows(
-            states.to_pandas(), lambda group: function.finish(function.merge(group))
-        )
-        return pa.Table.from_pylist(rows, result_schema)
+                yield from _arrow(_grouped(batch.to_pandas(), function.start), state_schema)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        """States of rows that come sorted by group; a group that a batch cuts is held back."""
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                states = batch.select(state_schema.names).to_pandas()
+                states = states if held is None else pd.concat([held, states], ignore_index=True)
+                states = _grouped(states, function.merge)
+                held = states.iloc[-1:]
+                yield states.iloc[:-1]
+        if held is not None:
+            yield held
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for states in merged(batches):
+            yield from _arrow(states, state_schema)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for states in merged(batches):
+            if len(states):
+                found = states[GROUP].assign(**function.finish(states))
+                yield from _arrow(found, result_schema)
 
     parts = keyed.mapInArrow(condense, state).withColumn(
         "part", F.spark_partition_id() % MERGE_PARTS
     )
-    merged = parts.groupBy(*GROUP, "part").applyInArrow(merge, state)
-    return merged.groupBy(*GROUP).applyInArrow(finish, result)
+    fewer = parts.repartition(*GROUP, "part").sortWithinPartitions(*GROUP).mapInArrow(merge, state)
+    return fewer.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(finish, result)

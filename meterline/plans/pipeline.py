@@ -21,6 +21,7 @@ from meterline.sinks.jdbc import (
     refuse_wide_flags,
 )
 from meterline.sinks.tables import hourly_sink, reject_sink, trip_sink
+from meterline.streaming.clock import DISORDER_SECONDS, LATENESS_SECONDS
 from meterline.streaming.hourly import STATE_PARTITIONS, checkpointed, hourly_updates
 from meterline.streaming.lateness import late_hourly
 
@@ -42,12 +43,12 @@ class Outputs:
     narrow_flags: bool = False
 
     @classmethod
-    def below(cls, root: str) -> Outputs:
-        """Parquet tables in folders below ``root``."""
+    def below(cls, root: str, rebalance: bool = True) -> Outputs:
+        """Parquet tables in folders below ``root``; ``rebalance`` gives the days few files."""
         root = root.rstrip("/")
         return cls(
-            raw=trip_sink(f"{root}/taxi_trips"),
-            decoded=trip_sink(f"{root}/yellow_taxi_stream"),
+            raw=trip_sink(f"{root}/taxi_trips", rebalance=rebalance),
+            decoded=trip_sink(f"{root}/yellow_taxi_stream", rebalance=rebalance),
             rejected=reject_sink(f"{root}/rejects"),
             hourly=hourly_sink(f"{root}/hourly_aggregates"),
             dropped=hourly_sink(f"{root}/late_drops"),
@@ -68,17 +69,23 @@ class Outputs:
 
 
 def start_trips(
-    lines: DataFrame, outputs: Outputs, checkpoint: str, interval: str | None = "60 seconds"
+    lines: DataFrame,
+    outputs: Outputs,
+    checkpoint: str,
+    interval: str | None = "60 seconds",
+    name: str = "trips",
 ) -> StreamingQuery:
     """Raw, decoded and rejected rows; late rows included, as no watermark applies.
 
-    The batch is parsed once and kept for the three writes.
+    The batch is parsed once and kept for the three writes, the text of good lines
+    left out. Bound the batches of the source, or the first one is the whole backlog.
     """
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         parsed = classify(batch)
         if outputs.narrow_flags:
             parsed = refuse_wide_flags(parsed)
+        parsed = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
         parsed.persist()
         try:
             good = trips(parsed).select(*TRIP.fieldNames())
@@ -89,7 +96,7 @@ def start_trips(
             parsed.unpersist()
 
     writer = lines.writeStream.foreachBatch(fan_out)
-    return checkpointed(writer, "trips", checkpoint, interval).start()
+    return checkpointed(writer, name, checkpoint, interval).start()
 
 
 def start_hourly(
@@ -98,6 +105,8 @@ def start_hourly(
     checkpoint: str,
     event_time: str = "timestamp",
     interval: str | None = "60 seconds",
+    state_partitions: int = STATE_PARTITIONS,
+    name: str = "hourly-fares",
 ) -> StreamingQuery:
     """Running hourly rows from the first trip of a window on; read them through ``latest``.
 
@@ -109,10 +118,10 @@ def start_hourly(
     # A batch without rows would only clear old state, which the next batch does too.
     with stream_settings(
         lines.sparkSession,
-        spark__sql__shuffle__partitions=STATE_PARTITIONS,
+        spark__sql__shuffle__partitions=str(state_partitions),
         spark__sql__streaming__noDataMicroBatches__enabled="false",
     ):
-        return checkpointed(writer, "hourly-fares", checkpoint, interval).start()
+        return checkpointed(writer, name, checkpoint, interval).start()
 
 
 def start_late_hourly(
@@ -121,16 +130,25 @@ def start_late_hourly(
     checkpoint: str,
     event_time: str = "timestamp",
     interval: str | None = "60 seconds",
+    disorder_seconds: int = DISORDER_SECONDS,
+    lateness_seconds: int = LATENESS_SECONDS,
+    state_partitions: int = STATE_PARTITIONS,
+    name: str = "late-hourly-fares",
 ) -> StreamingQuery:
-    """Hourly rows as they fire: on time, again for late rows, and drops."""
-    events = late_hourly(lines, event_time)
+    """Hourly rows as they fire: on time, again for late rows, and drops.
+
+    The watermark follows the newest row of all partitions. Where one may lag behind
+    the others, by several topic partitions or a backlog read in bounded batches, set
+    ``disorder_seconds`` to the longest lag, or its rows come as drops.
+    """
+    events = late_hourly(lines, event_time, disorder_seconds, lateness_seconds)
     writer = events.writeStream.outputMode("update").foreachBatch(sink)
     with stream_settings(
         lines.sparkSession,
-        spark__sql__shuffle__partitions=STATE_PARTITIONS,
+        spark__sql__shuffle__partitions=str(state_partitions),
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
     ):
-        return checkpointed(writer, "late-hourly-fares", checkpoint, interval).start()
+        return checkpointed(writer, name, checkpoint, interval).start()
 
 
 def fired_sink(hourly: Sink, dropped: Sink) -> Sink:
@@ -157,14 +175,46 @@ def start_pipeline(
     checkpoint: str,
     event_time: str = "timestamp",
     interval: str | None = "60 seconds",
+    disorder_seconds: int = DISORDER_SECONDS,
+    lateness_seconds: int = LATENESS_SECONDS,
+    state_partitions: int = STATE_PARTITIONS,
+    prefix: str = "",
 ) -> list[StreamingQuery]:
     """All branches on one input, each query with its own checkpoint folder.
 
     The hourly table gets a window when it fires and again when allowed late
-    rows change it; for running rows start ``start_hourly`` instead.
+    rows change it; for running rows start ``start_hourly`` instead. ``prefix``
+    tells the queries of several pipelines in a session apart.
     """
     sink = fired_sink(outputs.hourly, outputs.dropped)
-    return [
-        start_trips(lines, outputs, f"{checkpoint}/trips", interval),
-        start_late_hourly(lines, sink, f"{checkpoint}/hourly", event_time, interval),
-    ]
+    trips_query = start_trips(
+        lines, outputs, f"{checkpoint}/trips", interval, name=f"{prefix}trips"
+    )
+    try:
+        hourly_query = start_late_hourly(
+            lines,
+            sink,
+            f"{checkpoint}/hourly",
+            event_time,
+            interval,
+            disorder_seconds,
+            lateness_seconds,
+            state_partitions,
+            name=f"{prefix}late-hourly-fares",
+        )
+    except Exception:
+        trips_query.stop()
+        raise
+    return [trips_query, hourly_query]
+
+
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Wait for all queries of a pipeline; when one fails, stop the others and raise."""
+    try:
+        waiting = list(queries)
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(poll_seconds)]
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise

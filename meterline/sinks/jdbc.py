@@ -18,28 +18,34 @@ from meterline.schemas import DECODED, HOURLY, TRIP
 
 @dataclass(frozen=True)
 class Target:
-    """A table, its columns in insert order, and how its batches are sized.
+    """A table, its columns in insert order, its rows per insert and its indexed columns.
 
-    ``interval`` suits the trigger of a query that feeds this table alone.
+    Flush intervals and retries are not kept per table: the trigger of the query sets
+    the one, ``spark.task.maxFailures`` the other, for all tables that it feeds.
     """
 
     table: str
     schema: T.StructType
     batch_rows: int
-    interval: str
     texts: str
+    indexed: tuple[tuple[str, ...], ...] = ()
 
     def select(self, frame: DataFrame) -> DataFrame:
         return frame.select(*(F.col(f.name).cast(f.dataType) for f in self.schema.fields))
 
 
-# Rows per insert batch, flush interval, text widths.
-RAW = Target("taxi_trips", TRIP, 100, "1 second", "store_and_fwd_flag VARCHAR(1)")
+# Rows per insert batch, text widths, indexed columns.
+RAW = Target(
+    "taxi_trips",
+    TRIP,
+    100,
+    "store_and_fwd_flag VARCHAR(1)",
+    (("pickup_datetime",),),
+)
 DECODED_TRIPS = Target(
     "yellow_taxi_stream",
     DECODED,
     20,
-    "2 seconds",
     "vendor_name VARCHAR(50), rate_code_name VARCHAR(50), "
     "store_and_fwd_flag VARCHAR(1), payment_type_name VARCHAR(50)",
 )
@@ -47,12 +53,14 @@ HOURLY_FARES = Target(
     "hourly_aggregates",
     T.StructType([*HOURLY.fields[:-1], T.StructField("trip_count", T.IntegerType())]),
     10,
-    "1 second",
     "",
+    (("hour",), ("window_start", "window_end")),
 )
 TARGETS = (RAW, DECODED_TRIPS, HOURLY_FARES)
 
 FLAG_WIDTH = 1
+#: Connections that a write opens at one time unless the caller says otherwise.
+WRITERS = 16
 SQL_TYPES = {
     T.IntegerType(): "INTEGER",
     T.LongType(): "BIGINT",
@@ -91,7 +99,7 @@ def write_options(
 
 
 def jdbc_sink(
-    target: Target, url: str, writers: int | None = None, **options
+    target: Target, url: str, writers: int = WRITERS, **options
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that appends to ``target``.
 
@@ -102,9 +110,7 @@ def jdbc_sink(
     settings = write_options(target, url, **options)
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        rows = target.select(frame)
-        if writers:
-            rows = rows.repartition(writers)
+        rows = target.select(frame).repartition(writers)
         rows.write.format("jdbc").options(**settings).mode("append").save()
 
     return write
@@ -127,7 +133,16 @@ def ddl(target: Target, created_at: bool = False) -> str:
     return f"CREATE TABLE IF NOT EXISTS {target.table} (id SERIAL PRIMARY KEY, {', '.join(columns)})"
 
 
-def create_jdbc_tables(spark: SparkSession, url: str, **options) -> None:
+def index_ddl(target: Target) -> list[str]:
+    """The indexes of the table, to be run in the database after ``ddl``."""
+    return [
+        f"CREATE INDEX IF NOT EXISTS idx_{target.table}_{columns[0]} "
+        f"ON {target.table} ({', '.join(columns)})"
+        for columns in target.indexed
+    ]
+
+
+def create_keyless_jdbc_tables(spark: SparkSession, url: str, **options) -> None:
     """Create the missing tables, without the serial key, by appending no rows.
 
     Where the key is wanted, run ``ddl`` in the database first: appends name

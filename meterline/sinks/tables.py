@@ -1,4 +1,8 @@
-"""Parquet tables: one partition per micro-batch, laid out for time filters."""
+"""Parquet tables: a partition per run and micro-batch, laid out for time filters.
+
+A run is a streaming query with its checkpoint. Batch numbers start at 0 in each run,
+so a batch replaces itself and never one of another run on the same table.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +14,15 @@ from pyspark.sql import types as T
 
 from meterline.schemas import DECODED, HOURLY, TRIP
 
+RUN = "run_id"
 BATCH = "batch_id"
 DAY = "pickup_date"
-AUDIT_COLUMNS = ("id", "created_at", BATCH, DAY)
+#: When an aggregate row was written; it keeps rising over batches and runs.
+WRITTEN = "written_at"
+AUDIT_COLUMNS = ("id", "created_at", WRITTEN, RUN, BATCH, DAY)
+#: The run of batches that no streaming query writes.
+NO_QUERY = "direct"
+QUERY_ID = "sql.streaming.queryId"
 
 # Target table names and their columns.
 TABLES: dict[str, T.StructType] = {
@@ -31,12 +41,12 @@ def with_audit(frame: DataFrame, row_id: bool = False, created_at: bool = False)
     return frame
 
 
-def by_day(frame: DataFrame, rebalance: bool = False) -> DataFrame:
+def by_day(frame: DataFrame, rebalance: bool = True) -> DataFrame:
     """Rows sorted by pickup within each task, with the day column to partition by.
 
-    Replayed trips come roughly in time order, so a task touches few days and
-    no shuffle is needed. For unordered backfills ``rebalance`` groups the days
-    first; adaptive execution cuts a day that is too large for one task.
+    ``rebalance`` groups the days by a shuffle, so that a day gets a file and not
+    one per task; adaptive execution cuts a day that is too large for one task.
+    Without it, for trips that come in time order, there is no shuffle.
     """
     dated = frame.withColumn(DAY, F.col("pickup_datetime").cast("date"))
     if rebalance:
@@ -44,13 +54,18 @@ def by_day(frame: DataFrame, rebalance: bool = False) -> DataFrame:
     return dated.sortWithinPartitions(DAY, "pickup_datetime")
 
 
-def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch as its own partition. Writing a batch again replaces it.
+def run_of(frame: DataFrame) -> str:
+    """The id of the streaming query that hands over this batch, as its checkpoint keeps it."""
+    return frame.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or NO_QUERY
+
 
-    Trip rows are split further by day; aggregate rows, a handful per batch,
-    go to one file.
+def write_batch(frame: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """One micro-batch of a run as its own partition. Writing it again replaces it.
+
+    Trip rows are split further by day. Outside of a streaming query, name the
+    ``run`` if several write to the table.
     """
-    target = f"{path.rstrip('/')}/{BATCH}={batch_id}"
+    target = f"{path.rstrip('/')}/{RUN}={run or run_of(frame)}/{BATCH}={batch_id}"
     if DAY in frame.columns:
         frame.write.mode("overwrite").partitionBy(DAY).parquet(target)
     else:
@@ -58,7 +73,7 @@ def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
 
 
 def trip_sink(
-    path: str, row_id: bool = False, created_at: bool = False, rebalance: bool = False
+    path: str, row_id: bool = False, created_at: bool = False, rebalance: bool = True
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for raw or decoded trips."""
 
@@ -73,31 +88,34 @@ def hourly_sink(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for hourly aggregates, kept as an append-only log.
 
-    A batch holds at most one row per hour of day and open window, so gathering
-    it into one sorted file is bounded and spares the table its tiny files.
+    The rows of a batch, at most one per hour of day and open window, are gathered
+    into a file, or several should they be many.
     """
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        compact = frame.repartition(1).sortWithinPartitions("window_start", "hour")
-        write_batch(with_audit(compact, row_id, created_at), path, batch_id)
+        compact = frame.hint("rebalance").sortWithinPartitions("window_start", "hour")
+        stamped = with_audit(compact, row_id, created_at).withColumn(WRITTEN, F.current_timestamp())
+        write_batch(stamped, path, batch_id)
 
     return write
 
 
 def reject_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function for rejected lines."""
+    """A ``foreachBatch`` function for rejected lines, in few files."""
 
     def write(frame: DataFrame, batch_id: int) -> None:
-        write_batch(frame, path, batch_id)
+        write_batch(frame.hint("rebalance"), path, batch_id)
 
     return write
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table's own columns plus its partition columns."""
-    parts = [T.StructField(BATCH, T.LongType(), True)]
+    """The table's own columns plus its partition columns, and when aggregates were written."""
+    parts = [T.StructField(RUN, T.StringType(), True), T.StructField(BATCH, T.LongType(), True)]
     if "pickup_datetime" in schema.fieldNames():
         parts.append(T.StructField(DAY, T.DateType(), True))
+    else:
+        parts.insert(0, T.StructField(WRITTEN, T.TimestampType(), True))
     return spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
 
 
@@ -114,10 +132,11 @@ def create_tables(spark: SparkSession, root: str, database: str | None = None) -
     for name, schema in TABLES.items():
         full = f"{database}.{name}" if database else name
         days = ", " + DAY if "pickup_datetime" in schema.fieldNames() else ""
-        extra = f", {BATCH} BIGINT" + (f", {DAY} DATE" if days else "")
+        extra = "" if days else f", {WRITTEN} TIMESTAMP"
+        extra += f", {RUN} STRING, {BATCH} BIGINT" + (f", {DAY} DATE" if days else "")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {full} ({schema.toDDL()}{extra}) USING parquet "
-            f"PARTITIONED BY ({BATCH}{days}) LOCATION '{root.rstrip('/')}/{name}'"
+            f"PARTITIONED BY ({RUN}, {BATCH}{days}) LOCATION '{root.rstrip('/')}/{name}'"
         )
 
 

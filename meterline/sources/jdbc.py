@@ -11,13 +11,14 @@ def jdbc_read_options(
     column: str | None = None,
     lower: str | int | None = None,
     upper: str | int | None = None,
-    partitions: int = 1,
+    partitions: int = 64,
     fetch_rows: int = 10_000,
     connection: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Reader options; with a split ``column`` and its bounds the scan is parallel.
 
-    The bounds only place the cuts: rows outside them are read as well.
+    The bounds only place the cuts: rows outside them are read as well. Without a split
+    column one connection reads the whole table, which only suits a small one.
     """
     options = {
         "url": url,

@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bound of a micro-batch, so that the first one is not the whole backlog.
+ROWS_PER_BATCH = 20_000_000
+
+
 def kafka_options(
     servers: str,
     topic: str,
-    rows_per_batch: int | None = None,
+    rows_per_batch: int | None = ROWS_PER_BATCH,
     min_partitions: int | None = None,
     bounded: bool = False,
     client: dict[str, str] | None = None,

@@ -13,10 +13,10 @@ from meterline.streaming.clock import (
     timed_trips,
 )
 
-# After partial aggregation a micro-batch sends at most a row per task, hour of
-# day and open window: a few state partitions are plenty, and each of them costs
-# a commit per batch.
-STATE_PARTITIONS = "8"
+# After partial aggregation a micro-batch sends few rows per hour of day and open
+# window: a few state partitions are plenty, and each of them costs a commit per
+# batch. The checkpoint keeps the number it was started with.
+STATE_PARTITIONS = 8
 
 
 def hourly_updates(lines: DataFrame, event_time: str = "timestamp") -> DataFrame:

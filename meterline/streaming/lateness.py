@@ -7,8 +7,9 @@ is over, or after every batch from its first row on. Here a window emits
 * ``refire`` with the updated totals whenever late rows still allowed arrive,
 * ``drop`` with the number of rows that came after its state was cleared.
 
-Rows are added up per task before the shuffle, so the stateful operator sees
-one small row per window and task however crowded a window is.
+Rows are added up per task before any shuffle, and the tasks' totals once more by
+window and salt. However crowded a window is and however many tasks there are, the
+stateful operator sees at most ``combine`` small rows per window and batch.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ EVENT_SCHEMA = T.StructType(
 )
 STATE_SCHEMA = "fare_sum DOUBLE, trip_count BIGINT, fired BOOLEAN"
 GROUP = ["hour", "window_ms"]
+#: Totals of a window and batch that reach its state.
+COMBINE = 16
 
 
 def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +55,8 @@ def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = None
     for batch in batches:
         part = pa.Table.from_batches([batch])
-        part = part.append_column("trip_count", pa.array([1] * part.num_rows, pa.int64()))
+        if "trip_count" not in part.column_names:
+            part = part.append_column("trip_count", pa.array([1] * part.num_rows, pa.int64()))
         part = part.rename_columns([*GROUP, "fare_sum", "trip_count"])
         totals = part if totals is None else pa.concat_tables([totals, part])
         sums = totals.group_by(GROUP).aggregate([("fare_sum", "sum"), ("trip_count", "sum")])
@@ -124,11 +128,21 @@ class FareWindows(StatefulProcessor):
         pass
 
 
+def window_totals(thin: DataFrame, combine: int = COMBINE) -> DataFrame:
+    """Totals of (hour, window_ms, fare): at most ``combine`` rows per window from any number of tasks."""
+    salted = thin.mapInArrow(add_up, PARTIAL_SCHEMA).withColumn(
+        "salt", F.spark_partition_id() % combine
+    )
+    dealt = salted.repartition(combine, *GROUP, "salt").drop("salt")
+    return dealt.mapInArrow(add_up, PARTIAL_SCHEMA)
+
+
 def late_hourly(
     lines: DataFrame,
     event_time: str = "timestamp",
     disorder_seconds: int = DISORDER_SECONDS,
     lateness_seconds: int = LATENESS_SECONDS,
+    combine: int = COMBINE,
 ) -> DataFrame:
     """The fired rows of the hourly aggregate with their ``kind``.
 
@@ -144,7 +158,7 @@ def late_hourly(
         "fare_amount",
     )
     events = (
-        thin.mapInArrow(add_up, PARTIAL_SCHEMA)
+        window_totals(thin, combine)
         .groupBy(*GROUP)
         .transformWithState(
             statefulProcessor=FareWindows(size, lateness_seconds * 1000),

@@ -44,14 +44,14 @@ def test_every_code_and_the_default(spark):
 
 def test_decoded_record(lines):
     text = trip_line(
-        tpep_pickup_datetime="2025-01-01 00:18:38.999999",
-        tpep_dropoff_datetime="2025-01-01 00:26:59.500000",
+        tpep_pickup_datetime="2025-01-01 00:12:05.999999",
+        tpep_dropoff_datetime="2025-01-01 00:31:20.500000",
     )
     frame = decode(parse_trips(lines(text)))
     assert frame.schema.simpleString() == DECODED.simpleString()
     row = frame.first()
-    assert row.pickup_datetime == datetime(2025, 1, 1, 0, 18, 38)
-    assert row.dropoff_datetime == datetime(2025, 1, 1, 0, 26, 59)
+    assert row.pickup_datetime == datetime(2025, 1, 1, 0, 12, 5)
+    assert row.dropoff_datetime == datetime(2025, 1, 1, 0, 31, 20)
     assert row.vendor_name == "Creative Mobile Technologies, LLC"
     assert "trip_duration" not in frame.columns
 
@@ -67,8 +67,8 @@ def test_debug_text(lines):
     text = parse_trips(lines(SAMPLE[0])).select(trip_debug()).first()[0]
     shown = json.loads(text)
     assert len(shown) == 8
-    assert shown["fare_amount"] == 10.0
-    assert shown["trip_duration"] == 501
+    assert shown["fare_amount"] == 21.5
+    assert shown["trip_duration"] == 1155
 
 
 def test_hourly_debug_text(lines):

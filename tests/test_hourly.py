@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 from datetime import datetime
 
 import pytest
@@ -20,7 +21,7 @@ def test_sample_hour(lines):
     assert (row.hour, row.trip_count) == (0, 4)
     assert row.window_start == datetime(2025, 1, 1)
     assert row.window_end == datetime(2025, 1, 1, 1)
-    assert row.average_fare == pytest.approx(29.1 / 4)
+    assert row.average_fare == pytest.approx(38.5 / 4)
 
 
 def test_hour_and_window_follow_different_clocks(spark):
@@ -76,15 +77,33 @@ def test_latest_row_of_a_change_log(spark):
     assert (found[1].average_fare, found[1].window_end) == (4.0, end)
 
 
+def test_latest_row_over_runs_whose_batches_start_anew(spark):
+    at, end = datetime(2025, 1, 1), datetime(2025, 1, 1, 1)
+    first, second = datetime(2025, 1, 1, 2), datetime(2025, 1, 1, 3)
+    log = [(0, at, end, 1.0, 5, first, 7), (0, at, end, 2.0, 3, second, 0)]
+    frame = spark.createDataFrame(
+        log,
+        "hour INT, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, "
+        "average_fare DOUBLE, trip_count BIGINT, written_at TIMESTAMP, batch_id BIGINT",
+    )
+    assert latest(frame).first().average_fare == 2.0
+
+
 def test_window_function_of_the_caller(spark):
     """Lowest and highest fare of each window, over many tasks and a crowded window."""
     extremes = WindowFunction(
         columns=("fare_amount",),
         state="low DOUBLE, high DOUBLE",
         result="spread DOUBLE",
-        start=lambda rows: {"low": rows.fare_amount.min(), "high": rows.fare_amount.max()},
-        merge=lambda states: {"low": states.low.min(), "high": states.high.max()},
-        finish=lambda state: {"spread": state["high"] - state["low"]},
+        start=lambda rows, group, groups: {
+            "low": rows.fare_amount.groupby(group).min().to_numpy(),
+            "high": rows.fare_amount.groupby(group).max().to_numpy(),
+        },
+        merge=lambda states, group, groups: {
+            "low": states.low.groupby(group).min().to_numpy(),
+            "high": states.high.groupby(group).max().to_numpy(),
+        },
+        finish=lambda states: {"spread": (states.high - states.low).to_numpy()},
     )
     start = F.expr("TIMESTAMP_NTZ'2025-01-01 00:00:00'")
     trips = spark.range(0, 30000, 1, 50).select(
@@ -102,6 +121,26 @@ def test_window_function_of_the_caller(spark):
     assert sorted(found.collect()) == sorted(expected.collect())
 
 
+def test_many_windows_cost_no_call_each(spark):
+    """200,000 rows in 18,000 windows: the time of some batches, not of 18,000 groups."""
+    start = F.expr("TIMESTAMP_NTZ'2023-01-01 00:00:00'")
+    later = F.make_dt_interval(hours=(F.col("id") % 18_000).cast("int"))
+    trips = spark.range(0, 200_000, 1, 8).select(
+        (start + later).alias("pickup_datetime"), (F.col("id") % 7).cast("double").alias("fare_amount")
+    )
+    begun = time.monotonic()
+    found = apply_window(trips, "pickup_datetime").agg(F.count("*"), F.sum("trip_count")).first()
+    assert tuple(found) == (18_000, 200_000)
+    assert time.monotonic() - begun < 60
+
+
+def test_nan_fares_stay_nan_in_the_window_function(spark):
+    rows = [(datetime(2025, 1, 1), 1.0), (datetime(2025, 1, 1), float("nan")), (datetime(2025, 1, 2), 3.0)]
+    trips = spark.createDataFrame(rows, "pickup_datetime TIMESTAMP_NTZ, fare_amount DOUBLE")
+    found = {r.window_start.day: r.average_fare for r in apply_window(trips, "pickup_datetime").collect()}
+    assert found[1] != found[1] and found[1] is not None and found[2] == 3.0
+
+
 def test_worker_code_travels_by_value():
     """Executors unpickle the functions without having the package."""
     import subprocess

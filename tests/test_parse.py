@@ -37,12 +37,12 @@ def test_sample_values(lines):
     assert len(rows) == 4
     first = rows[0]
     assert first.vendor_id == 1
-    assert first.pickup_datetime == datetime(2025, 1, 1, 0, 18, 38)
-    assert first.trip_duration == 501
+    assert first.pickup_datetime == datetime(2025, 1, 1, 0, 12, 5)
+    assert first.trip_duration == 1155
     assert first.store_and_fwd_flag == "N"
-    assert (first.pu_location_id, first.do_location_id) == (229, 237)
-    assert first.total_amount == 18.0
-    assert sum(r.fare_amount for r in rows) == pytest.approx(29.1)
+    assert (first.pu_location_id, first.do_location_id) == (41, 166)
+    assert first.total_amount == 31.3
+    assert sum(r.fare_amount for r in rows) == pytest.approx(38.5)
 
 
 def test_carried_columns_survive(spark):

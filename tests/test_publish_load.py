@@ -15,6 +15,7 @@ from meterline.operators.parse import parse_trips
 from meterline.operators.publish import publish_lines
 from meterline.schemas import CSV_TRIP, LINE_FIELDS
 from meterline.sinks.tables import replace_table
+from meterline.operators.publish import first_rows
 from meterline.sources.files import line_file
 
 
@@ -35,8 +36,8 @@ def test_inferred_and_declared_load_agree(spark, csv_file):
 
 
 def test_declared_load_refuses_a_value_that_does_not_fit(spark, tmp_path):
-    (tmp_path / "bad.csv").write_text(HEADER + "\n" + SAMPLE[0].replace("1,1.6", "1.0,1.6"))
-    with pytest.raises(Exception, match="MALFORMED|1.0"):
+    (tmp_path / "bad.csv").write_text(HEADER + "\n" + SAMPLE[0].replace("2,4.4", "2.0,4.4"))
+    with pytest.raises(Exception, match="MALFORMED|2.0"):
         load_trips(spark, str(tmp_path / "bad.csv"), CSV_TRIP).collect()
 
 
@@ -46,6 +47,15 @@ def test_line_file_drops_carriage_returns_and_keeps_the_header(spark, csv_file):
     assert parse_trips(line_file(spark, csv_file)).count() == 4
 
 
+@pytest.mark.parametrize("rows", [0, 1, 499, 500, 501, 1500, 2000, 5000])
+def test_a_cap_keeps_exactly_so_many_rows_in_several_tasks(spark, rows):
+    table = spark.range(0, 2000, 1, 4)
+    capped = first_rows(table, rows)
+    kept = [row.id for row in capped.collect()]
+    assert len(kept) == len(set(kept)) == min(rows, 2000)
+    assert "SinglePartition" not in capped._jdf.queryExecution().toString()
+
+
 def test_replace_table(spark, csv_file, tmp_path):
     target = str(tmp_path / "table")
     frame = load_trips(spark, csv_file, CSV_TRIP)

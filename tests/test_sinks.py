@@ -10,15 +10,18 @@ from conftest import SAMPLE, trip_line
 from meterline.operators.decode import decode
 from meterline.operators.hourly import hourly_fares
 from meterline.operators.parse import classify, parse_trips, rejects, trips
+from meterline.plans.pipeline import Outputs
 from meterline.schemas import DECODED, HOURLY, TRIP
 from meterline.session import scratch_dir
 from meterline.sinks import jdbc
 from meterline.sinks.tables import (
+    by_day,
     create_tables,
     hourly_sink,
     read_table,
     refresh_table,
     trip_sink,
+    write_batch,
 )
 from meterline.sinks.topic import kafka_write_options
 from meterline.sources.jdbc import jdbc_read_options
@@ -46,10 +49,33 @@ def test_a_batch_written_again_replaces_itself(spark, sample, tmp_path):
     assert stored.filter(F.col("created_at").isNull()).count() == 0
 
 
+def test_batches_of_two_runs_stay_apart(spark, sample, tmp_path):
+    path = str(tmp_path / "taxi_trips")
+    for run in ("one", "two", "two"):
+        write_batch(by_day(sample), path, 0, run)
+    counts = read_table(spark, path, TRIP).groupBy("run_id", "batch_id").count().collect()
+    assert sorted(tuple(r) for r in counts) == [("one", 0, 5), ("two", 0, 5)]
+
+
+def test_shuffled_backfill_gets_a_file_per_day_and_rejects_few(spark, tmp_path):
+    days = F.make_dt_interval((F.col("id") % 30).cast("int"))
+    trips = parse_trips(spark.range(0, 3000, 1, 16).select("id", F.lit(SAMPLE[0]).alias("value")))
+    trips = trips.withColumn("pickup_datetime", F.col("pickup_datetime") + days).drop("id")
+    root = str(tmp_path)
+    outputs = Outputs.below(root)
+    outputs.raw(trips, 0)
+    outputs.rejected(spark.range(0, 400, 1, 16).select(F.lit("x").alias("value")), 0)
+
+    def files(name):
+        return sum(f.endswith(".parquet") for _, _, found in os.walk(f"{root}/{name}") for f in found)
+
+    assert files("taxi_trips") == 30 and files("rejects") == 1
+
+
 def test_layout_prunes_days(spark, sample, tmp_path):
     path = str(tmp_path / "taxi_trips")
     trip_sink(path)(sample, 0)
-    assert sorted(os.listdir(f"{path}/batch_id=0"))[-2:] == [
+    assert sorted(os.listdir(f"{path}/run_id=direct/batch_id=0"))[-2:] == [
         "pickup_date=2025-01-01",
         "pickup_date=2025-01-02",
     ]
@@ -78,8 +104,8 @@ def test_rebalanced_backfill_cuts_a_hot_day(spark, tmp_path):
     stored = read_table(spark, path, TRIP)
     assert stored.count() == 60_000
     days = {
-        day: sum(name.endswith(".parquet") for name in os.listdir(f"{path}/batch_id=0/{day}"))
-        for day in os.listdir(f"{path}/batch_id=0")
+        day: sum(name.endswith(".parquet") for name in os.listdir(f"{path}/run_id=direct/batch_id=0/{day}"))
+        for day in os.listdir(f"{path}/run_id=direct/batch_id=0")
         if day.startswith("pickup_date=")
     }
     assert len(days) == 20
@@ -97,7 +123,7 @@ def test_decoded_and_hourly_read_back(spark, sample, tmp_path):
     hourly_sink(hourly)(hourly_fares(sample, "pickup_datetime"), 0)
     back = read_table(spark, hourly, HOURLY)
     assert back.filter("trip_count = 4").first().window_start == datetime(2025, 1, 1)
-    files = [f for f in os.listdir(f"{hourly}/batch_id=0") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{hourly}/run_id=direct/batch_id=0") if f.endswith(".parquet")]
     assert len(files) == 1
 
 
@@ -109,7 +135,7 @@ def test_catalog_tables(spark, sample, tmp_path):
         trip_sink(f"{root}/taxi_trips")(sample, 0)
         refresh_table(spark, "taxi_trips")
         assert spark.table("taxi_trips").count() == 5
-        assert spark.table("hourly_aggregates").columns == [*HOURLY.fieldNames(), "batch_id"]
+        assert spark.table("hourly_aggregates").columns == [*HOURLY.fieldNames(), "written_at", "run_id", "batch_id"]
         assert spark.table("yellow_taxi_stream").columns[:19] == DECODED.fieldNames()
     finally:
         for name in ("taxi_trips", "yellow_taxi_stream", "hourly_aggregates"):
@@ -163,6 +189,14 @@ def test_database_ddl():
     assert "trip_duration BIGINT" in jdbc.ddl(jdbc.RAW)
 
 
+def test_database_indexes():
+    assert jdbc.index_ddl(jdbc.RAW) == [
+        "CREATE INDEX IF NOT EXISTS idx_taxi_trips_pickup_datetime ON taxi_trips (pickup_datetime)"
+    ]
+    assert jdbc.index_ddl(jdbc.HOURLY_FARES)[1].endswith("(window_start, window_end)")
+    assert jdbc.index_ddl(jdbc.DECODED_TRIPS) == []
+
+
 def test_database_reader_options():
     assert jdbc_read_options("jdbc:x", "t") == {
         "url": "jdbc:x",

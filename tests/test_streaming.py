@@ -24,10 +24,20 @@ from meterline.sinks.tables import hourly_sink, read_table, write_batch
 from meterline.sinks.topic import console
 from meterline.sources.files import line_file_stream, message_stream
 from meterline.streaming.clock import timed_trips
+from meterline.streaming.lateness import window_totals
 
 DAY = datetime(2025, 1, 1)
 
 
+def test_totals_that_reach_the_state_are_bounded_by_windows(spark):
+    thin = spark.range(0, 64_000, 1, 64).selectExpr(
+        "CAST(id % 5 AS INT) hour", "id % 3 * 3600000 window_ms", "CAST(id AS DOUBLE) fare_amount"
+    )
+    totals = window_totals(thin, combine=4)
+    assert totals.count() <= 15 * 4
+    assert totals.agg(F.sum("trip_count"), F.sum("fare_sum")).first()[:] == (64_000, 64_000 * 63_999 / 2)
+
+
 def message(moment: datetime, fare: float = 1.0, pickup: datetime | None = None):
     text = trip_line(
         tpep_pickup_datetime=f"{pickup or moment:%Y-%m-%d %H:%M:%S}",
