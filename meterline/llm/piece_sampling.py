@@ -30,13 +30,13 @@ import heapq
 import math
 import random
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm.common import text_or_empty
 
@@ -267,22 +267,20 @@ def per_worker(path: str, apply, result: pa.DataType):
     return run
 
 
-def mapped(docs: DataFrame, value: Column, name: str, kind: str, apply, result: pa.DataType, model: str | None) -> DataFrame:
+def mapped(docs: DataFrame, value: Column, name: str, kind: T.DataType, apply, result: pa.DataType, model: str | None) -> DataFrame:
     rows = docs.select(value.alias("_value"), *docs.columns)
-    fields = reduce(lambda schema, field: schema.add(field), docs.schema.fields, type(docs.schema)())
-    out = rows.mapInArrow(
-        per_worker(model or public_tokenizers.path(MODEL), apply, result), fields.add("_made", kind)
-    )
+    schema = T.StructType([*docs.schema.fields, T.StructField("_made", kind)])
+    out = rows.mapInArrow(per_worker(model or public_tokenizers.path(MODEL), apply, result), schema)
     return out.drop(name).withColumnRenamed("_made", name)
 
 
 def encode_pieces(docs: DataFrame, text_col: str = "text", to: str = "ids", model: str | None = None) -> DataFrame:
     """All columns with the model's own encoding of the text in column ``to``."""
     encode = lambda model, texts: model.encode(texts, num_threads=1) if texts else []
-    return mapped(docs, text_or_empty(text_col), to, "array<int>", encode, pa.list_(pa.int32()), model)
+    return mapped(docs, text_or_empty(text_col), to, T.ArrayType(T.IntegerType()), encode, pa.list_(pa.int32()), model)
 
 
 def decode_pieces(docs: DataFrame, ids_col: str = "ids", to: str = "text", model: str | None = None) -> DataFrame:
     """All columns with the text of the ids in column ``to``; null ids give an empty text."""
     decode = lambda model, lists: [model.decode(ids) if ids else "" for ids in lists]
-    return mapped(docs, F.col(ids_col), to, "string", decode, pa.string(), model)
+    return mapped(docs, F.col(ids_col), to, T.StringType(), decode, pa.string(), model)
