@@ -6,6 +6,8 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from check import canonical, tables
 
 SF = "/root/testdata/sf0.001"
@@ -17,10 +19,11 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     ours = canonical(queries()[name](spark, SF).toPandas())
     theirs = canonical(database.execute(oracle_sql()[name]).df())
