@@ -26,7 +26,7 @@ def test_stages_take_out_what_they_should(spark, tmp_path):
     shouting = [prose(rng, 60).upper().replace(" ", "!! ") for _ in range(100)]
     rows += [row(1000 + i, text) for i, text in enumerate(shouting)]
     rows += [row(2000 + i, "too short") for i in range(20)] + [row(3000, None), row(3001, "")]
-    rows += [row(4000 + i, clean[100].replace(" ", "  ")) for i in range(30)]
+    rows += [row(4000 + i, clean[100].replace(" ", "  ")) for i in range(6)]
     rows += [row(None, clean[200]), row(None, clean[201] + " tail of the text"), row(5, rows[5][1])]
     labels = [(i, 1, 0) for i in range(300)] + [(1000 + i, 0, 0) for i in range(70)]
     folder = written(spark, tmp_path, rows, labels)
@@ -37,12 +37,12 @@ def test_stages_take_out_what_they_should(spark, tmp_path):
         if name != "best-fit packing":
             assert docs.columns == corpus_pipeline.COLUMNS
     ids = {name: {r["doc_id"] for r in found} for name, found in kept.items()}
-    assert not any(i is not None and (2000 <= i < 3002) for i in ids["quality rules"]) and len(kept["quality rules"]) == 433
+    assert not any(i is not None and (2000 <= i < 3002) for i in ids["quality rules"]) and len(kept["quality rules"]) == 409
     assert set(range(300)) <= ids["quality classifier"] and not ids["quality classifier"] & set(range(1000, 2000))
     lines = {r["doc_id"]: r for r in kept["line dedup"]}
     assert all(lines[i]["text"] == clean[i] and lines[i]["n_chars"] == len(clean[i]) for i in range(300))
     last = kept["simhash near-dedup"]
-    assert set(range(300)) <= {r["doc_id"] for r in last} and not {4000 + i for i in range(30)} & {r["doc_id"] for r in last}
+    assert set(range(300)) <= {r["doc_id"] for r in last} and not {4000 + i for i in range(6)} & {r["doc_id"] for r in last}
     assert sum(r["doc_id"] == 5 for r in last) == 1
     assert {r["doc_id"] for r in kept["best-fit packing"]} == {r["doc_id"] for r in last}
     whole = corpus_pipeline.run(spark, folder)
