@@ -50,17 +50,33 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
 
 
+#: Scratch folders of this process that have not been dropped.
+_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    A machine-local folder is used only by a local master without the setting.
+    A machine-local folder is used only by a local master without the setting. Frames
+    that operators return read from such folders: ``drop_scratch`` when they are done.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         shared = tempfile.mkdtemp(prefix="meterline-")
-    return f"{shared.rstrip('/')}/meterline-{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/meterline-{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made so far; gives their number."""
+    dropped = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
 
 
 @contextmanager

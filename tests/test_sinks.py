@@ -12,7 +12,7 @@ from meterline.operators.hourly import hourly_fares
 from meterline.operators.parse import classify, parse_trips, rejects, trips
 from meterline.plans.pipeline import Outputs
 from meterline.schemas import DECODED, HOURLY, TRIP
-from meterline.session import scratch_dir
+from meterline.session import drop_scratch, scratch_dir
 from meterline.sinks import jdbc
 from meterline.sinks.tables import (
     by_day,
@@ -260,3 +260,11 @@ def test_scratch_is_local_only_for_a_local_master():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session("spark://host", None), "x")
     assert scratch_dir(Session("local[8]", None), "x").startswith("/")
+
+
+def test_scratch_is_dropped_on_request(spark):
+    drop_scratch(spark)
+    path = scratch_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark) == 1 and not os.path.exists(path)
+    assert drop_scratch(spark) == 0
