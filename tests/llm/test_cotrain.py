@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose
+from textdata import docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterline.llm import cotrain

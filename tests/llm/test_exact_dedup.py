@@ -5,7 +5,7 @@ import random
 import re
 from collections import defaultdict
 
-from conftest import prose  # noqa: F401
+from textdata import docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterline.llm.exact_dedup import exact_duplicates, grow_directory

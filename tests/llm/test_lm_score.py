@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from textdata import docs  # noqa: F401
 
 from meterline.llm import lm_score
 from meterline.llm.lm_score import (

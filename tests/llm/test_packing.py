@@ -5,7 +5,7 @@ import random
 import zlib
 
 import public_tokenizers
-from conftest import prose
+from textdata import docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -24,6 +24,8 @@ def test_ids_are_those_of_the_tokenizer():
     tokenizer, encoder = Tokenizer.from_file(PATH), ByteBpe(PATH)
     rng = random.Random(11)
     texts = ODD + ["".join(rng.choices("ab é\n\t .,'1日", k=40)) for _ in range(300)] + [prose(rng, 300)]
+    texts += [" ".join(f"{chr(i)}x{chr(i)}1 {chr(i)}" for i in range(at, at + 64)) for at in range(0, 0x250, 64)]
+    texts += ["".join(map(chr, rng.choices([*range(0x400, 0x460), *range(0x2000, 0x2070), *range(0x3040, 0x3100)], k=60))) for _ in range(200)]
     for text in texts:
         ids = array.array("I", encoder.encode(text)).tolist()
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 import sys
 
-from conftest import prose, SCHEMA
+from textdata import SCHEMA, prose
 
 import corpus_pipeline
 from meterline.llm.queries import QUERIES

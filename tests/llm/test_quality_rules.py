@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 import re
 
-from conftest import by_id, prose
+from textdata import by_id, docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterline.llm.quality_rules import MEASURES, quality_rules

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
-from conftest import by_id, prose
+from textdata import by_id, docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterline.llm import simhash

@@ -1,3 +1,5 @@
+"""Documents for the tests."""
+
 from __future__ import annotations
 
 import random
