@@ -134,14 +134,14 @@ def quality_rules(
     keep = [name for name in (columns or docs.columns) if name not in MEASURES]
     measured = stored(measured.select(*keep, "_short", "_repeated", "_host", *MEASURES), "measures")
     verdicts = host_verdicts(measured, "_host", host_limit).filter("host_rejected")
-    verdicts = verdicts.select(
-        F.xxhash64("host").alias("_host_key"), F.col("host").alias("_rejected_host"), F.col("rows").alias("_rows")
+    verdicts = verdicts.groupBy(F.xxhash64("host").alias("_host_key")).agg(
+        F.collect_list("host").alias("_rejected"), F.sum("rows").alias("_rows")
     )
     measured = measured.withColumn("_host_key", F.xxhash64("_host"))
     spread = F.xxhash64(*keep[:1], *MEASURES)
     judged = with_lookup(measured, verdicts, "_host_key", "_rows", spread, measured.count())
     judged = judged.withColumn("base_failed", F.col("_short") | F.col("_repeated"))
-    rejected = F.col("_rejected_host").isNotNull() & F.col("_rejected_host").eqNullSafe(F.col("_host"))
+    rejected = F.coalesce(F.array_contains("_rejected", F.col("_host")), F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & ~rejected).select(
         *keep, *MEASURES, "base_failed", "kept"
     )

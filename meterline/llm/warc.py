@@ -156,16 +156,20 @@ def with_types(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_r
     rows = pages.select(
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), html.alias("html"), F.sha1(html).alias("digest")
     ).withColumn("h", F.xxhash64("digest", F.octet_length("html")))
-    small = stored(rows.select("id", "h", F.octet_length("html").alias("size")), "payloads")
+    small = stored(rows.select("id", "h", "digest", F.octet_length("html").alias("size")), "payloads")
     groups = (
         small.filter(F.col("size") >= min_revisit)
-        .groupBy("h")
+        .groupBy("h", "digest")
         .agg(F.max("id").alias("keep"), F.count("*").alias("n"))
         .filter("n > 1")
+        .groupBy("h")
+        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("digest", "keep")).alias("groups"))
     )
     groups = stored(groups, "copies")
     total = groups.agg(F.sum("n")).first()[0] or 0
     typed = with_lookup(rows, groups, "h", "n", F.xxhash64("id", "digest"), total)
+    mine = F.get(F.filter("groups", lambda x: x["digest"] == F.col("digest")), F.lit(0))
+    typed = typed.withColumn("keep", mine["keep"])
     revisit = F.col("keep").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep"))
     return typed.select(
         "id", "url", "html", "digest",
