@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LABELLED = 4000
-POOL = 4000
+LABELLED = 3000
+POOL = 2000
 ROUNDS = 3
 #: Pseudo-labels that a view hands over in a round, and how sure it must be of each.
-HANDED_OVER = 300
+HANDED_OVER = 200
 SURE = 0.97
 KEEP_SCORE = 0.5
+#: Rows whose features are held at a time.
+SCORED = 256
 #: Penalty and steps of the fits on one or two logits.
 FEW = (1e-4, 1000)
 TRIGRAM_BINS = 1024
@@ -105,10 +107,11 @@ class Logistic:
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 200) -> Logistic:
     """Accelerated gradient descent on the penalised mean loss."""
     shift, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    z = ((x - shift) / scale).astype(np.float64)
-    z1 = np.column_stack([z, np.ones(len(z))])
+    z1 = np.ones((len(x), x.shape[1] + 1), np.float32)
+    np.divide(x - shift, scale, out=z1[:, :-1], casting="same_kind")
     curvature = 0.25 * power_norm(z1) / len(z1) + penalty
     w = ahead = np.zeros(z1.shape[1])
+    y = np.asarray(y, float)
     for step in range(steps):
         gradient = z1.T @ (sigmoid(z1 @ ahead) - y) / len(z1) + penalty * np.append(ahead[:-1], 0)
         new = ahead - gradient / curvature
@@ -247,13 +250,13 @@ def scored(model: CoTrained | None, text_at: int, source_at: int, lang_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.ones(batch.num_rows)
-            if model is not None and batch.num_rows:
-                content, meta = [], []
-                for text, source, lang in zip(*(batch.column(i) for i in (text_at, source_at, lang_at))):
+            for at in range(0, batch.num_rows if model is not None else 0, SCORED):
+                part, content, meta = batch.slice(at, SCORED), [], []
+                for text, source, lang in zip(*(part.column(i) for i in (text_at, source_at, lang_at))):
                     data = (text.as_py() or "").encode()
                     content.append(text_view(data))
                     meta.append(meta_view(data, source.as_py(), lang.as_py()))
-                scores = model.score([np.array(content), np.array(meta)])
+                scores[at : at + SCORED] = model.score([np.array(content), np.array(meta)])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array(scores >= KEEP_SCORE)], [*batch.schema.names, "score", "kept"]
             )
