@@ -1,4 +1,4 @@
-"""Token ids of a byte-level BPE vocabulary file, with a memo of the words met."""
+"""Token ids of a byte-level BPE vocabulary file."""
 
 from __future__ import annotations
 
@@ -14,20 +14,17 @@ from tokenizers import Tokenizer
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: A space before white space or at the end is not the start of a word.
-LOOSE_SPACE = re.compile(r" (?=\s|$)")
-#: Characters below have settled categories; others are left to the tokenizers library.
-SETTLED = "ɐ"
-MEMO_WORDS = 300_000
-MEMO_CHARS = 48
+#: Characters whose categories are the same in every version of Unicode in use: Latin, Cyrillic,
+#: kana, ideographs, Hangul, common punctuation. Texts with others go to the tokenizers library.
+UNSETTLED = re.compile("[^\\0-\u024f\u0410-\u044f\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 
 
-class ByteBpe(dict):
+class ByteBpe:
     """``encode`` gives the ids of a text as little-endian unsigned 32-bit bytes.
 
-    They are those of ``Tokenizer.encode(text, add_special_tokens=False)``: a cut in
-    front of a space that a word follows is a cut for the vocabulary's pattern too,
-    so the words in between are looked up one by one. The memo is emptied when full.
+    They are those of ``Tokenizer.encode(text, add_special_tokens=False)``. The merges
+    of the same file are applied by tiktoken, which takes a fifth of the time, wherever
+    the two split a text alike; invented words are too many for a memo to pay.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,23 +41,9 @@ class ByteBpe(dict):
         }
         self.merger = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def whole(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if max(text) < SETTLED and not any(token in text for token in self.special):
-            return array("I", self.merger.encode_ordinary(text)).tobytes()
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(" " + word)
-        if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
-        if LOOSE_SPACE.search(text) or any(token in text for token in self.special):
-            return self.whole(text)
-        first, *words = text.split(" ")
-        return self.whole(first) + b"".join(map(self.__getitem__, words))
+        if UNSETTLED.search(text) or any(token in text for token in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.merger.encode_ordinary(text)
+        return array("I", ids).tobytes()
