@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SAMPLE, trip_line
+from meterline import session
 from meterline.operators.decode import decode
 from meterline.operators.hourly import hourly_fares
 from meterline.operators.parse import classify, parse_trips, rejects, trips
@@ -262,8 +263,8 @@ def test_scratch_is_local_only_for_a_local_master():
     assert scratch_dir(Session("local[8]", None), "x").startswith("/")
 
 
-def test_scratch_is_dropped_on_request(spark):
-    drop_scratch(spark)
+def test_scratch_is_dropped_on_request(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", [])
     path = scratch_dir(spark, "x")
     spark.range(3).write.parquet(path)
     assert drop_scratch(spark) == 1 and not os.path.exists(path)
