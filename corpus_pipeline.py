@@ -36,8 +36,11 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the lines that many of them share; n_chars is counted anew."""
-    cleaned = dedup_lines(docs.select(COLUMNS))
+    """All documents without the lines that many of them share; n_chars is counted anew.
+
+    Of large groups of copies one stays whole.
+    """
+    cleaned = dedup_lines(docs.select(COLUMNS), keep_copy=True)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 

@@ -9,6 +9,10 @@
    documents and the choice of the first one.
 4. The lines to drop come back to their document, which is put together again.
 
+With ``keep_copy`` a document of which shared lines are at least COPY_SHARE is taken for
+a copy rather than a text with boilerplate: each of its shared lines stays, wherever it
+stands, in the copy of the smallest id that has it. All other shared lines go.
+
 The broadcast is never over FILTER_BYTES: past some 400 million lines the second
 filters of the segments get fewer bits each. Filters that hold more let more lines
 through to the exact count, and change no result.
@@ -42,6 +46,8 @@ ONCE_BITS = 1 << 20
 TWICE_BITS = 1 << 17
 PROBES = 4
 FILTER_BYTES = 64 << 20
+#: Share of shared lines, by bytes of distinct keys, from which a document is a copy.
+COPY_SHARE = 0.5
 #: Hashes a task gathers before it sends them on.
 HELD_HASHES = 1_000_000
 
@@ -124,33 +130,40 @@ def seen_again(twice_bits: int):
     return run
 
 
-def suspected(filters, segments: int, twice_bits: int, min_chars: int):
-    """Rows (id, text hash, key): the lines whose hashes the second filters hold."""
+def suspected(filters, segments: int, twice_bits: int, min_chars: int, sizes: bool):
+    """Rows (id, text hash, key): the lines whose hashes the second filters hold.
+
+    With ``sizes`` also the bytes of all keys of the document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = {segment: np.unpackbits(np.frombuffer(raw, np.uint8)) for segment, raw in filters.value.items()}
         for batch in batches:
-            rows, found = [], []
+            rows, found, total = [], [], []
             for i, text in enumerate(batch.column(2)):
                 keys = list(keys_of(text.as_py(), min_chars))
                 if not keys:
                     continue
                 hashes = np.array([xxhash.xxh64_intdigest(key) for key in keys], dtype=np.uint64)
                 places = probes(hashes, twice_bits)
+                size = sum(map(len, keys))
                 for j, segment in enumerate((hashes % np.uint64(segments)).tolist()):
                     if segment in bits and bits[segment][places[:, j]].all():
                         rows.append(i)
                         found.append(keys[j].decode())
+                        total.append(size)
             take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(found, pa.string())],
-                ["id", "text_hash", "key"],
-            )
+            columns = [batch.column(0).take(take), batch.column(1).take(take), pa.array(found, pa.string())]
+            names = ["id", "text_hash", "key"]
+            if sizes:
+                columns.append(pa.array(total, pa.int64()))
+                names.append("size")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def without_lines(position: int, keep_first: bool):
+def without_lines(position: int, keep_first: bool, keep_copy: bool):
     """Texts without the lines listed in the last two columns, and what was there before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,12 +173,13 @@ def without_lines(position: int, keep_first: bool):
             for text, drop, first in zip(batch.column(position), drops, firsts):
                 lines = (text.as_py() or "").split("\n")
                 gone = {key.encode() for key in drop.as_py() or ()}
-                left = {key.encode() for key in first.as_py() or ()} if keep_first else set()
+                left = {key.encode() for key in first.as_py() or ()} if keep_first or keep_copy else set()
                 kept = []
                 for line in lines if gone else ():
                     key = line_key(line.encode())
                     if key not in gone or key in left:
-                        left.discard(key)
+                        if not keep_copy:
+                            left.discard(key)
                         kept.append(line)
                 texts.append("\n".join(kept) if gone else "\n".join(lines))
                 before.append(len(lines))
@@ -181,7 +195,9 @@ def without_lines(position: int, keep_first: bool):
     return run
 
 
-def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
+def repeated_lines(
+    docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int, sizes: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(suspects, confirmed): a row per document and suspected line; a row per line to drop."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -205,7 +221,8 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, m
     id_type = texts.schema["id"].dataType.simpleString()
     suspects = stored(
         texts.select("id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-            suspected(known, segments, twice_bits, min_chars), f"id {id_type}, text_hash long, key string"
+            suspected(known, segments, twice_bits, min_chars, sizes),
+            f"id {id_type}, text_hash long, key string" + ", size long" * sizes,
         ),
         "suspects",
     )
@@ -217,6 +234,24 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, m
     return suspects, stored(confirmed, "repeated-lines")
 
 
+def lines_of_copies(hits: DataFrame) -> DataFrame:
+    """(id, text_hash, _drop, _first): the lines to drop, and of them those that a copy keeps."""
+    gone = F.aggregate("_drop", F.lit(0), lambda total, key: total + F.octet_length(key))
+    rows = hits.groupBy("id", "text_hash").agg(F.collect_set("key").alias("_drop"), F.max("size").alias("_size"))
+    rows = stored(rows.select("id", "text_hash", "_drop", (gone >= COPY_SHARE * F.col("_size")).alias("_copy")), "shared-lines")
+    firsts = (
+        rows.filter("_copy")
+        .select("id", "text_hash", F.explode("_drop").alias("key"))
+        .groupBy("key")
+        .agg(F.min(F.struct("id", "text_hash")).alias("first"))
+        .groupBy("first")
+        .agg(F.collect_set("key").alias("_first"))
+        .select(F.col("first.id").alias("_by"), F.col("first.text_hash").alias("_by_hash"), "_first")
+    )
+    same = F.col("id").eqNullSafe(F.col("_by")) & (F.col("text_hash") == F.col("_by_hash"))
+    return rows.join(firsts, same, "left").select("id", "text_hash", "_drop", "_first")
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -224,22 +259,26 @@ def dedup_lines(
     min_docs: int = MIN_DOCS,
     min_chars: int = MIN_CHARS,
     keep_first: bool = False,
+    keep_copy: bool = False,
 ) -> DataFrame:
     """All columns with the text cleaned, and ``n_lines`` before and ``n_dropped``.
 
-    With ``keep_first`` the first line of the smallest id that has it stays.
+    With ``keep_first`` the first line of the smallest id that has it stays, with
+    ``keep_copy`` the shared lines of copies in one of them.
     """
-    suspects, confirmed = repeated_lines(docs, id_col, text_col, min_docs, min_chars)
+    suspects, confirmed = repeated_lines(docs, id_col, text_col, min_docs, min_chars, sizes=keep_copy)
     confirmed = confirmed.withColumn("h", F.xxhash64("key")).withColumnRenamed("key", "line")
     rows = suspects.withColumn("h", F.xxhash64("key"))
     hits = with_lookup(rows, confirmed, "h", "n", F.xxhash64("id", "text_hash"), suspects.count())
     mine = F.col("first").eqNullSafe(F.struct("id", "text_hash"))
-    hits = (
-        hits.filter(F.col("line") == F.col("key"))
-        .groupBy("id", "text_hash")
-        .agg(F.collect_set("key").alias("_drop"), F.collect_set(F.when(mine, F.col("key"))).alias("_first"))
-        .select(F.col("id").alias("_id"), F.col("text_hash").alias("_text_hash"), "_drop", "_first")
-    )
+    hits = hits.filter(F.col("line") == F.col("key"))
+    if keep_copy:
+        hits = lines_of_copies(hits)
+    else:
+        hits = hits.groupBy("id", "text_hash").agg(
+            F.collect_set("key").alias("_drop"), F.collect_set(F.when(mine, F.col("key"))).alias("_first")
+        )
+    hits = hits.withColumnsRenamed({"id": "_id", "text_hash": "_text_hash"})
     columns = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
     plain = docs.select(columns)
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_text_hash"))
@@ -248,4 +287,4 @@ def dedup_lines(
         T.StructField(name, T.StringType() if name == text_col else plain.schema[name].dataType) for name in columns
     ]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return joined.mapInArrow(without_lines(columns.index(text_col), keep_first), schema)
+    return joined.mapInArrow(without_lines(columns.index(text_col), keep_first, keep_copy), schema)

@@ -50,6 +50,25 @@ def test_stages_take_out_what_they_should(spark, tmp_path):
     assert sorted(map(str, whole.select(names).collect())) == sorted(map(str, docs.select(names).collect()))
 
 
+def test_a_whole_copy_of_a_large_group_is_packed(spark, tmp_path):
+    rng = random.Random(19)
+    clean = [prose(rng, rng.randrange(40, 120)) for _ in range(120)]
+    many = "\n".join([prose(rng, 40), "", "A refrain of the poem", prose(rng, 40), "A refrain of the poem"])
+    rows = [row(i, text) for i, text in enumerate(clean)]
+    rows += [row(4000 + i, clean[100].replace(" ", "  ")) for i in range(30)]
+    rows += [row(5000 + i, many) for i in range(30)]
+    rows += [row(6000 + i, f"{many}\nown {prose(rng, 3)}") for i in range(12)]
+    folder = written(spark, tmp_path, rows, [])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    cleaned = corpus_pipeline.stored(corpus_pipeline.lines_stage(spark, docs, folder), "stage")
+    texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert len(texts) == len(rows) and texts[4000] == clean[100].replace(" ", "  ") and texts[5000] == many
+    assert not any(texts[4000 + i].strip() or texts[5000 + i].strip() for i in range(1, 30))
+    assert all(texts[6000 + i].strip().startswith("own ") for i in range(12))
+    packed = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert 5000 in packed and packed & {100, 4000}
+
+
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, written(spark, tmp_path, [], [])).collect() == []
 
