@@ -8,7 +8,7 @@ view labels the unlabelled documents it is surest of for the other one. At the e
 small logistic regression on both calibrated views scores every document.
 
 Only the fit uses a sample: at most ``labelled`` labelled and ``pool`` unlabelled
-documents, those with the smallest hashes of their ids. Their features, 4 kB a row,
+documents, those with the smallest hashes of their ids, and one row of each. Their features, 4 kB a row,
 are all that reaches the driver. Scoring reads every document whole.
 
 Defined results: a null text counts as empty, a null source or language as a value of
@@ -232,10 +232,12 @@ def fit_sample(
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source).alias("source"), F.col(lang).alias("lang")
     )
-    rows = rows.join(F.broadcast(sampled), "id").select("quality", "text", "source", "lang", "id")
+    rows = rows.join(F.broadcast(sampled), "id")
+    # Repeated rows of a sampled id could be any number: one of them, so that the two limits hold.
+    one = F.max(F.struct(F.xxhash64("text", "source", "lang").alias("h"), "text", "source", "lang")).alias("one")
+    rows = rows.groupBy("id", "quality").agg(one).select("quality", "one.text", "one.source", "one.lang")
     features = rows.mapInArrow(sample_features, "quality int, content binary, meta binary")
-    # Repeated rows of a sampled id could be any number.
-    table = features.orderBy("quality", F.xxhash64("content", "meta")).limit(labelled + pool).toPandas()
+    table = features.orderBy("quality", F.xxhash64("content", "meta")).toPandas()
     views = [np.array([np.frombuffer(x, np.float32) for x in table[name]]) for name in ("content", "meta")]
     quality = table["quality"].to_numpy()
     if not (quality >= 0).any():

@@ -48,6 +48,20 @@ def test_the_views_of_the_sample_are_bounded(spark, docs, rows, monkeypatch):
     assert seen["n"] + seen["pool"] <= 300
 
 
+@pytest.mark.parametrize("times, hot", [(3, 0), (1, 900)])
+def test_repeated_rows_push_no_labels_out(spark, docs, rows, monkeypatch, times, hot):
+    seen = {}
+    real = cotrain.co_train
+    monkeypatch.setattr(cotrain, "co_train", lambda x, y, pool: seen.update(y=y) or real(x, y, pool))
+    few = rows[:400]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(200)], LABELS)
+    repeated = docs(*few * times, *[few[399]] * hot)
+    found = quality_scores(repeated, labels, labelled=200, pool=200).collect()
+    assert len(seen["y"]) == 200 and seen["y"].mean() == 0.75
+    clean = [row["kept"] for row in found if row["doc_id"] % 4]
+    assert len(found) == 400 * times + hot and sum(clean) / len(clean) > 0.95
+
+
 def test_labels_and_columns_by_definition(spark, docs, rows):
     labels = [(i, int(i % 4 > 0), 0) for i in range(600)] + [(None, 0, 0), (1, None, None), (9999, 0, 0), (5, 1, 0), (5, 0, 0)]
     extra = docs(*rows[:700], (None, None), (None, ""), (5000, "x" * 300_000)).withColumns({"score": F.lit("s"), "quality": F.lit(3)})
