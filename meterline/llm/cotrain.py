@@ -3,13 +3,15 @@
 The text view has the content alone: shares of hashed byte trigrams and how
 concentrated they are. The metadata view has what is known about the page: source,
 language, length, lines, and shares of kinds of characters. Each view trains a
-logistic regression, calibrated on labelled rows kept apart. Over some rounds each
-view labels the unlabelled documents it is surest of for the other one. At the end a
-small logistic regression on both calibrated views scores every document.
+logistic regression, calibrated on labelled rows kept apart. In each round both views
+score all unlabelled documents, and each labels those it is surest of for the other
+one; documents with the same text and metadata count as one. At the end a small
+logistic regression on both calibrated views scores every document.
 
-Only the fit uses a sample: at most ``labelled`` labelled and ``pool`` unlabelled
-documents, those with the smallest hashes of their ids, and one row of each. Their features, 4 kB a row,
-are all that reaches the driver. Scoring reads every document whole.
+Only the labelled rows are a sample: at most ``labelled`` documents, those with the
+smallest hashes of their ids, and one row of each. The views hand over at most ``pool``
+unlabelled documents in all. The features of both, 4 kB a row, and the surest scores of
+a round are all that reaches the driver. Scoring reads every document whole.
 
 Defined results: a null text counts as empty, a null source or language as a value of
 its own. Labels that are null, or of a null id, are ignored; of several labels of a
@@ -30,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LABELLED = 3000
-POOL = 2000
+from meterline.llm.common import stored
+
+LABELLED = 4000
+POOL = 4000
 ROUNDS = 3
 #: Pseudo-labels that a view hands over in a round, and how sure it must be of each.
-HANDED_OVER = 200
+HANDED_OVER = 300
 SURE = 0.97
 KEEP_SCORE = 0.5
 #: Rows whose features are held at a time.
@@ -151,13 +155,16 @@ def fit_view(x: np.ndarray, y: np.ndarray, held_x: np.ndarray, held_y: np.ndarra
     return View(model, float(a), float(platt.bias - a * platt.shift[0]))
 
 
-def surest(logits: np.ndarray, free: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and labels of the unlabelled rows of which a view is surest, kinds in its own proportion."""
+def surest(logits: np.ndarray, free: np.ndarray, count: int, share: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and labels of the unlabelled rows of which a view is surest, kinds in its own proportion.
+
+    ``share`` is that of good ones where the rows are not all that the view has seen.
+    """
     p = sigmoid(logits)
     sure = np.flatnonzero(free & (np.maximum(p, 1 - p) >= SURE))
     good = sure[p[sure] > 0.5]
     bad = sure[p[sure] <= 0.5]
-    share = float((p > 0.5).mean())
+    share = float((p > 0.5).mean()) if share is None else share
     chosen = [
         rows[np.argsort(-np.abs(logits[rows]), kind="stable")[: max(1, round(part * count))]]
         for rows, part in ((good, share), (bad, 1 - share))
@@ -176,48 +183,99 @@ class CoTrained:
         return sigmoid(self.combiner.logit(logits))
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> CoTrained | None:
-    """Both views of the labelled rows and of the pool; every fourth labelled row is kept for calibration."""
+def co_train(labelled: list[np.ndarray], y: np.ndarray, handed: list[np.ndarray]) -> CoTrained | None:
+    """Both views of the labelled rows and of the rows handed over to each, with their label as the last column.
+
+    Every fourth labelled row is kept for calibration.
+    """
     held = np.arange(len(y)) % 4 == 3
     if any(len(set(part.tolist())) < 2 for part in (y[held], y[~held])):
         return None
-    train = [x[~held] for x in labelled]
-    extra: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0)) for _ in labelled]
-    free = [np.ones(len(pool[0]), bool) for _ in labelled]
-    for turn in range(rounds + 1):
-        views = []
-        for x, own, more, (places, marks) in zip(train, labelled, pool, extra):
-            both, marked = np.vstack([x, more[places]]), np.concatenate([y[~held], marks])
-            views.append(fit_view(both, marked, own[held], y[held]))
-        if turn == rounds or not len(pool[0]):
-            break
-        for giver, taker in ((0, 1), (1, 0)):
-            places, marks = surest(views[giver].calibrated(pool[giver]), free[taker], HANDED_OVER)
-            free[taker][places] = False
-            extra[taker] = tuple(np.concatenate(pair) for pair in zip(extra[taker], (places, marks)))
+    views = []
+    for x, more in zip(labelled, handed):
+        both, marked = np.vstack([x[~held], more[:, :-1]]), np.concatenate([y[~held], more[:, -1]])
+        views.append(fit_view(both, marked, x[held], y[held]))
     logits = np.column_stack([view.calibrated(x[held]) for view, x in zip(views, labelled)])
     return CoTrained(views, fit_logistic(logits, y[held], *FEW))
 
 
+def features_of(batch: pa.RecordBatch, text_at: int, source_at: int, lang_at: int) -> list[np.ndarray]:
+    content, meta = [], []
+    for text, source, lang in zip(*(batch.column(i) for i in (text_at, source_at, lang_at))):
+        data = (text.as_py() or "").encode()
+        content.append(text_view(data))
+        meta.append(meta_view(data, source.as_py(), lang.as_py()))
+    return [np.array(content), np.array(meta)]
+
+
 def sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(quality, text view, metadata view) of sampled rows (quality, text, source, lang)."""
+    """(key, text view, metadata view) of sampled rows (key, text, source, lang)."""
     for batch in batches:
-        views = ([], [])
-        for text, source, lang in zip(*(batch.column(i) for i in (1, 2, 3))):
-            data = (text.as_py() or "").encode()
-            views[0].append(text_view(data).tobytes())
-            views[1].append(meta_view(data, source.as_py(), lang.as_py()).tobytes())
+        views = [[x.tobytes() for x in view] for view in features_of(batch, 1, 2, 3)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(view, pa.binary()) for view in views)], ["quality", "content", "meta"]
+            [batch.column(0), *(pa.array(view, pa.binary()) for view in views)], ["key", "content", "meta"]
         )
 
 
+def as_views(table) -> list[np.ndarray]:
+    return [np.array([np.frombuffer(x, np.float32) for x in table[name]]) for name in ("content", "meta")]
+
+
+def view_logits(model: CoTrained):
+    """(id, h, content, meta): what each view finds of a row (id, h, text, source, lang)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(batch.num_rows) for _ in model.views]
+            for at in range(0, batch.num_rows, SCORED):
+                for view, x, out in zip(model.views, features_of(batch.slice(at, SCORED), 2, 3, 4), found):
+                    out[at : at + SCORED] = view.calibrated(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, found)], ["id", "h", "content", "meta"])
+
+    return run
+
+
+def hand_over(model: CoTrained, rows: DataFrame, marks: DataFrame, given: list[set[int]], count: int) -> list[np.ndarray]:
+    """For each view the rows that the other one is surest of among all unlabelled ones, and their labels.
+
+    ``given`` holds what each view was handed before, and is added to.
+    """
+    id_type = rows.schema["id"].dataType.simpleString()
+    logits = rows.select("id", "h", "text", "source", "lang").mapInArrow(
+        view_logits(model), f"id {id_type}, h long, content double, meta double"
+    )
+    free = logits.join(marks.select("id"), "id", "left_anti")
+    free = stored(free.groupBy("h").agg(F.max("content").alias("content"), F.max("meta").alias("meta")), "logits")
+    good = free.agg(*(F.avg((F.col(name) > 0).cast("double")).alias(name) for name in ("content", "meta"))).first()
+    labels: list[dict[int, float]] = [{}, {}]
+    for giver, name in enumerate(("content", "meta")):
+        taker = 1 - giver
+        best = []
+        for kind in (F.col(name) > 0, F.col(name) <= 0):
+            order = (F.abs(name).desc(), "h")
+            best += free.filter(kind).orderBy(*order).limit(count + len(given[taker])).select("h", name).collect()
+        if best:
+            open_to = np.array([row["h"] not in given[taker] for row in best])
+            places, found = surest(np.array([row[name] for row in best]), open_to, count, good[name])
+            labels[taker] = {best[i]["h"]: mark for i, mark in zip(places.tolist(), found.tolist())}
+            given[taker].update(labels[taker])
+    chosen = sorted({h for part in labels for h in part})
+    winners = rows.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
+    one = F.max(F.struct("text", "source", "lang")).alias("one")
+    texts = rows.join(F.broadcast(winners), "h").groupBy("h").agg(one).select("h", "one.text", "one.source", "one.lang")
+    table = texts.mapInArrow(sample_features, "key long, content binary, meta binary").toPandas().sort_values("key")
+    handed = []
+    for x, part in zip(as_views(table), labels):
+        marked = [(i, part[h]) for i, h in enumerate(table["key"].tolist()) if h in part]
+        handed.append(np.array([np.append(x[i], mark) for i, mark in marked], np.float32))
+    return handed
+
+
 def fit_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, text_col: str, meta_cols: tuple[str, str],
     labelled: int, pool: int,
 ) -> CoTrained | None:
-    """The model of a bounded sample of documents."""
-    order = F.xxhash64("id")
+    """The model of a bounded sample of labelled and of all unlabelled documents."""
     marks = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("quality"))
         .dropna()
@@ -225,27 +283,36 @@ def fit_sample(
         .agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
     )
     ids = docs.select(F.col(id_col).alias("id")).dropna().distinct()
-    known = ids.join(marks, "id").orderBy(order, "id").limit(labelled)
-    others = ids.join(marks, "id", "left_anti").orderBy(order, "id").limit(pool)
-    sampled = known.unionByName(others.withColumn("quality", F.lit(-1)))  # labelled + pool rows at most
+    known = ids.join(marks, "id").orderBy(F.xxhash64("id"), "id").limit(labelled)
     source, lang = meta_cols
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source).alias("source"), F.col(lang).alias("lang")
     )
-    rows = rows.join(F.broadcast(sampled), "id")
-    # Repeated rows of a sampled id could be any number: one of them, so that the two limits hold.
-    one = F.max(F.struct(F.xxhash64("text", "source", "lang").alias("h"), "text", "source", "lang")).alias("one")
-    rows = rows.groupBy("id", "quality").agg(one).select("quality", "one.text", "one.source", "one.lang")
-    features = rows.mapInArrow(sample_features, "quality int, content binary, meta binary")
-    table = features.orderBy("quality", F.xxhash64("content", "meta")).toPandas()
-    views = [np.array([np.frombuffer(x, np.float32) for x in table[name]]) for name in ("content", "meta")]
-    quality = table["quality"].to_numpy()
-    if not (quality >= 0).any():
+    # A null leaves the hash as it is, hence the flags.
+    given = F.coalesce("text", F.lit("")), F.isnull("source"), F.col("source"), F.isnull("lang"), F.col("lang")
+    rows = rows.withColumn("h", F.xxhash64(*given))
+    # Repeated rows of a sampled id could be any number: one of them, so that the limit holds.
+    one = F.max(F.struct("h", "text", "source", "lang")).alias("one")
+    sample = rows.join(F.broadcast(known), "id").groupBy("id", "quality").agg(one)
+    sample = sample.select("quality", "one.text", "one.source", "one.lang")
+    features = sample.mapInArrow(sample_features, "key int, content binary, meta binary")
+    table = features.orderBy("key", F.xxhash64("content", "meta")).toPandas()
+    if table.empty:
         return None
-    marked = quality >= 0
     # Rows are by quality; every stretch of the held-out rows must have both kinds.
-    mix = np.random.default_rng(7).permutation(int(marked.sum()))
-    return co_train([x[marked][mix] for x in views], quality[marked][mix].astype(float), [x[~marked] for x in views])
+    mix = np.random.default_rng(7).permutation(len(table))
+    views, y = [x[mix] for x in as_views(table)], table["key"].to_numpy()[mix].astype(float)
+    handed = [np.zeros((0, x.shape[1] + 1), np.float32) for x in views]
+    model = co_train(views, y, handed)
+    given_before: list[set[int]] = [set(), set()]
+    count = min(HANDED_OVER, pool // (2 * ROUNDS))
+    for _ in range(ROUNDS if model is not None and count else 0):
+        more = hand_over(model, rows, marks, given_before, count)
+        if not any(map(len, more)):
+            break
+        handed = [np.vstack([x, new]) if len(new) else x for x, new in zip(handed, more)]
+        model = co_train(views, y, handed)
+    return model
 
 
 def scored(model: CoTrained | None, text_at: int, source_at: int, lang_at: int):
@@ -253,12 +320,7 @@ def scored(model: CoTrained | None, text_at: int, source_at: int, lang_at: int):
         for batch in batches:
             scores = np.ones(batch.num_rows)
             for at in range(0, batch.num_rows if model is not None else 0, SCORED):
-                part, content, meta = batch.slice(at, SCORED), [], []
-                for text, source, lang in zip(*(part.column(i) for i in (text_at, source_at, lang_at))):
-                    data = (text.as_py() or "").encode()
-                    content.append(text_view(data))
-                    meta.append(meta_view(data, source.as_py(), lang.as_py()))
-                scores[at : at + SCORED] = model.score([np.array(content), np.array(meta)])
+                scores[at : at + SCORED] = model.score(features_of(batch.slice(at, SCORED), text_at, source_at, lang_at))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores), pa.array(scores >= KEEP_SCORE)], [*batch.schema.names, "score", "kept"]
             )

@@ -62,6 +62,34 @@ def test_repeated_rows_push_no_labels_out(spark, docs, rows, monkeypatch, times,
     assert len(found) == 400 * times + hot and sum(clean) / len(clean) > 0.95
 
 
+def test_all_unlabelled_documents_take_part(spark, docs, rows, monkeypatch):
+    seen = []
+    real = cotrain.hand_over
+    monkeypatch.setattr(cotrain, "SURE", 0.5)
+    monkeypatch.setattr(
+        cotrain, "hand_over", lambda model, every, marks, given, count: seen.append((model, every)) or real(model, every, marks, given, count)
+    )
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(300)], LABELS)
+    frame = docs(*rows, *[(5000 + i, rows[500][1], rows[500][2]) for i in range(50)])
+    assert quality_scores(frame, labels, pool=60).count() == 1250 and len(seen) == cotrain.ROUNDS
+    model, every = seen[0]
+    given = [set(), set()]
+    marks = labels.select(F.col("doc_id").alias("id"), "quality")
+    handed = real(model, every, marks, given, 10)
+    everything = {r["h"]: r for r in every.filter("id >= 300").collect()}
+    logits = {
+        h: view.calibrated(text_view(r["text"].encode())[None]).item() for view in model.views[:1] for h, r in everything.items()
+    }
+    # The surest of all 900 texts of the corpus, each once, whatever the number of its copies.
+    for kind in (1, -1):
+        theirs = sorted((abs(x) for h, x in logits.items() if h in given[1] and x * kind > 0), reverse=True)
+        best = sorted((abs(x) for x in logits.values() if x * kind > 0), reverse=True)
+        assert theirs and np.allclose(theirs, best[: len(theirs)])
+    assert [len(x) for x in handed] == [len(x) for x in given] and all(9 <= len(x) <= 11 for x in given)
+    again = real(model, every, marks, [set(x) for x in given], 10)
+    assert not {x.tobytes() for x in handed[0]} & {x.tobytes() for x in again[0]}
+
+
 def test_labels_and_columns_by_definition(spark, docs, rows):
     labels = [(i, int(i % 4 > 0), 0) for i in range(600)] + [(None, 0, 0), (1, None, None), (9999, 0, 0), (5, 1, 0), (5, 0, 0)]
     extra = docs(*rows[:700], (None, None), (None, ""), (5000, "x" * 300_000)).withColumns({"score": F.lit("s"), "quality": F.lit(3)})
