@@ -4,8 +4,8 @@ A page becomes a tree. Parts that are no article by their element, role or class
 (menus, headers, footers, sidebars, notices, adverts, forms, reader comments) are
 cut off. Paragraphs pass points for their length and commas to their ancestors; a
 container's points are discounted by the share of its text that is links. The best
-container and its siblings of good score are kept, or the article or main element
-around them. The text comes out in blocks.
+container is kept with the text beside it and all siblings that are not mostly links, or
+the article or main element around them. The text comes out in blocks.
 
 Pages are independent of each other: no shuffle, and one page at a time in memory.
 
@@ -65,8 +65,6 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CUT_TAG = re.compile(r"<[/!?]?[a-zA-Z][^<>]*\Z")
 
 MIN_PARAGRAPH = 25
-SIBLING_SHARE = 0.2
-SIBLING_LEAST = 10
 #: A list or division with a greater share of link text, in two links or more, is no part of the text.
 LINKED = 0.6
 
@@ -198,8 +196,8 @@ def is_paragraph(node: Node) -> bool:
     return node.tag in ("div", "section") and not any(isinstance(x, Node) and x.tag in BLOCKS for x in node.items)
 
 
-def best_parts(nodes: list[Node]) -> list[Node]:
-    """The container of the text, or it and its good siblings."""
+def best_parts(nodes: list[Node]) -> list[Node | str | None]:
+    """The container of the text, or it with the siblings and bare text beside it."""
     measure(nodes)
     scored = set()
     for node in nodes:
@@ -225,22 +223,32 @@ def best_parts(nodes: list[Node]) -> list[Node]:
         return [around]
     if best.parent is None:
         return [best]
-    least = max(SIBLING_LEAST, SIBLING_SHARE * best.score * (1 - best.density()))
-    parts = []
+    # Menus and the like are cut off before: only what is mostly links, or empty, is left out.
+    parts: list[Node | str | None] = []
+    run: list[Node | str] = []
+
+    def close() -> None:
+        chars = sum(len(item.strip()) if isinstance(item, str) else item.chars for item in run)
+        linked = sum(item.linked for item in run if isinstance(item, Node))
+        if best in run or linked <= LINKED * chars:
+            parts.extend(run)
+        run.clear()
+
     for item in best.parent.items:
-        if isinstance(item, Node) and (
-            item is best
-            or item.score * (1 - item.density()) >= least
-            or item.tag in HEADINGS
-            or item.tag == "p" and item.chars >= MIN_PARAGRAPH and item.density() < 0.25
-        ):
+        if item is not None and (isinstance(item, str) or item.tag not in BLOCKS):
+            run.append(item)
+            continue
+        close()
+        if item is None or item is best or item.tag in HEADINGS or item.chars and item.density() <= LINKED:
             parts.append(item)
+    close()
     return parts
 
 
-def blocks_of(parts: list[Node]) -> list[str]:
+def blocks_of(parts: list[Node | str | None]) -> list[str]:
     """The text of each block, white space turned into single spaces."""
     found, text = [], []
+    tops = {id(part) for part in parts}
 
     def finish() -> None:
         block = " ".join("".join(text).split())
@@ -255,7 +263,7 @@ def blocks_of(parts: list[Node]) -> list[str]:
             finish()
         elif isinstance(item, str):
             text.append(item)
-        elif item.tag in LISTS and item not in parts and item.links >= 2 and item.density() > LINKED:
+        elif item.tag in LISTS and id(item) not in tops and item.links >= 2 and item.density() > LINKED:
             finish()
         else:
             edge = [None] if item.tag in BLOCKS else []

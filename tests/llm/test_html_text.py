@@ -43,6 +43,17 @@ def test_main_text(name):
     assert main_text(page) == text
 
 
+def test_siblings_of_the_best_container_stay():
+    long, short = ", ".join(["word" * 12] * 6), ", ".join(["text" * 25] * 2)
+    page = (
+        f"<body><div id=content>Bare text before<section>{f'<p>{long}</p>' * 10}</section> bare <a href=1>text</a> after it all"
+        f"<section>{f'<p>{short}</p>' * 2}</section><div>A short line.</div><div></div>"
+        f"<div><a href=1>one more page</a> <a href=2>and another page</a></div></div></body>"
+    )
+    blocks = ["Bare text before", *[long] * 10, "bare text after it all", *[short] * 2, "A short line."]
+    assert main_text(page) == "\n\n".join(blocks)
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + LONG + "</div>" * 20_000
     assert main_text(deep) == LONG
