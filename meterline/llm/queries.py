@@ -44,11 +44,10 @@ def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = read_table(spark, sf_dir, "conversations")
-    samples = decode_pieces(sample_pieces(turns, ["conv_id", "turn"]), to="decoded")
+    docs = read_table(spark, sf_dir, "documents")
+    samples = decode_pieces(sample_pieces(docs, ["doc_id"]), to="decoded")
     return samples.select(
-        "conv_id",
-        "turn",
+        "doc_id",
         "sample",
         F.size("ids").cast("long").alias("n_pieces"),
         "ids",

@@ -100,3 +100,12 @@ def test_encode_and_decode(spark):
     model = load(PATH)
     for row in back.collect():
         assert row["ids"] == model.encode(row["text"] or "") and row["back"] == (row["text"] or "")
+
+
+def test_registered_over_all_documents(spark, tmp_path):
+    from meterline.llm.queries import op6_sample_pieces
+
+    spark.createDataFrame([(1, "a text"), (2, None), (None, "words " * 200)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    assert {row["doc_id"] for row in op6_sample_pieces(spark, str(tmp_path)).collect()} == {1, 2, None}
