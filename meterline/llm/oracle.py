@@ -79,9 +79,86 @@ WITH {line_dedup("documents")}
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM cleaned
 """
 
+def crc32(text: str) -> str:
+    """The checksum of an ASCII text: eight shifts a byte by the reversed polynomial."""
+    shift = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce([xor(s, b)] || range(8), lambda c, i: {shift})"
+    codes = f"list_transform(string_split({text}, ''), lambda a: ascii(a)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda s, b: {byte}), 4294967295)"
+
+
+def merkle_leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+def merkle_levels(name: str, leaves: str) -> str:
+    """All nodes of all trees, level by level; nodes of a run share ``up``."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, pos, n, node FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16, n
+)"""
+
+
+def merkle_steps(leaves: str, nodes: str) -> str:
+    """(key, level, l, r): the siblings on the path of each leaf."""
+    return f"""
+SELECT f.key, a.level,
+  coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+  coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+FROM {leaves} f
+JOIN {nodes} a ON a.tree = f.tree AND a.n > 1 AND a.pos = f.pos // (16 ** a.level)::BIGINT
+JOIN {nodes} b ON b.tree = a.tree AND b.level = a.level AND b.pos // 16 = a.pos // 16
+GROUP BY f.key, a.level, a.pos"""
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {merkle_leaf("text")} AS leaf,
+    CASE WHEN {crc32("doc_id::VARCHAR")} % 5 = 0 THEN {merkle_leaf(LOWER.format("text"))} END AS altered
+  FROM documents
+),
+leaves AS (
+  SELECT *, leaf AS node, coalesce('=' || source, '') AS tree,
+    row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS key,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM d
+),
+{merkle_levels("nodes", "leaves")},
+subroots AS (
+  SELECT '' AS tree, tree AS key, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+{merkle_levels("upper", "subroots")},
+low AS ({merkle_steps("leaves", "nodes")}),
+high AS ({merkle_steps("subroots", "upper")}),
+steps AS (
+  SELECT key, level, l, r FROM low
+  UNION ALL
+  SELECT leaves.key, 1000 + level, l, r FROM leaves JOIN high ON leaves.tree = high.key
+),
+lists AS (
+  SELECT key, list({{'l': l, 'r': r}} ORDER BY level) AS path, string_agg(l || r, '' ORDER BY level) AS proof
+  FROM steps GROUP BY key
+),
+found AS (
+  SELECT doc_id, leaf, subroots.node AS subroot, (SELECT node FROM upper WHERE n = 1) AS root,
+    sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce([coalesce(altered, leaf)] || coalesce(list_transform(path, lambda p: p.l || '+' || p.r), []),
+      lambda a, p: sha256(string_split(p, '+')[1] || a || string_split(p, '+')[2])) AS folded_root
+  FROM leaves JOIN subroots ON leaves.tree = subroots.key LEFT JOIN lists ON lists.key = leaves.key
+)
+SELECT *, folded_root = root AS verified FROM found
+"""
+
 ORACLE_SQL = {
     "op3_warc_bundles": WARC_BUNDLES,
     "op10_line_dedup": LINE_DEDUP,
+    "op13_merkle_manifest": MERKLE,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_quality_rules": QUALITY_RULES,
 }

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.common import read_table
+from meterline.llm.common import ascii_lower, read_table
 from meterline.llm.cotrain import quality_scores
 from meterline.llm.exact_dedup import exact_duplicates
 from meterline.llm.html_text import extract_article
 from meterline.llm.line_dedup import dedup_lines
 from meterline.llm.lm_score import score_text
+from meterline.llm.merkle import COLUMNS, folded, leaf, merkle_manifest, proof_digest
 from meterline.llm.packing import pack
 from meterline.llm.piece_sampling import decode_pieces, sample_pieces
 from meterline.llm.quality_rules import quality_rules
@@ -75,6 +76,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents; every fifth one, by its id's checksum, is then altered and checked."""
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    altered = [ascii_lower(F.col(name)) if name == "text" else F.col(name) for name in COLUMNS]
+    manifest = merkle_manifest(
+        read_table(spark, sf_dir, "documents"), carry={"altered": F.when(chosen, leaf(altered))}
+    )
+    found = folded(F.coalesce("altered", "leaf"), F.col("steps"))
+    return manifest.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("steps")).alias("proof_sha256"),
+        found.alias("folded_root"),
+        (found == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_pack_sequences": op1_pack_sequences,
     "op2_extract_article": op2_extract_article,
@@ -86,4 +106,5 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

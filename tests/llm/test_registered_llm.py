@@ -10,7 +10,7 @@ from meterline.llm.oracle import ORACLE_SQL
 from meterline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLE = {"op2_extract_article": "pages", "op3_warc_bundles": "pages", "op6_sample_pieces": "conversations"}
+TABLE = {"op2_extract_article": "pages", "op3_warc_bundles": "pages"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
