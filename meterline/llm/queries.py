@@ -17,6 +17,7 @@ from meterline.llm.piece_sampling import decode_pieces, sample_pieces
 from meterline.llm.quality_rules import quality_rules
 from meterline.llm.simhash import simhash_neighbours
 from meterline.llm.warc import read_bundles, write_bundles
+from meterline.llm.winnowing import fingerprint_pairs
 from meterline.session import scratch_dir
 
 
@@ -76,6 +77,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(read_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of the documents; every fifth one, by its id's checksum, is then altered and checked."""
     chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -106,5 +111,6 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_winnow": op11_winnow,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
