@@ -78,6 +78,39 @@ LINE_DEDUP = f"""
 WITH {line_dedup("documents")}
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM cleaned
 """
+TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+RANKED_SEARCH = f"""
+WITH q AS (
+  SELECT item_id, irow, unnest(list_distinct(regexp_extract_all({LOWER.format("coalesce(text, '')")}, {TERM}))) AS term
+  FROM (SELECT *, row_number() OVER () AS irow FROM benchmark)
+),
+d AS (
+  SELECT drow, doc_id, ts, len(ts) AS n
+  FROM (SELECT row_number() OVER () AS drow, doc_id,
+          regexp_extract_all({LOWER.format("coalesce(text, '')")}, {TERM}) AS ts FROM documents)
+),
+c AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM d WHERE n > 0),
+p AS (
+  SELECT drow, term, count(*) AS tf FROM (SELECT drow, unnest(ts) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY drow, term
+),
+w AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term, nn
+),
+s AS (
+  SELECT item_id, irow, drow, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (drow), c
+  GROUP BY item_id, irow, drow, doc_id
+),
+r AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY irow ORDER BY score DESC, doc_id ASC NULLS LAST, drow)::INTEGER AS rank
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
 
 def crc32(text: str) -> str:
     """The checksum of an ASCII text: eight shifts a byte by the reversed polynomial."""
@@ -158,6 +191,7 @@ SELECT *, folded_root = root AS verified FROM found
 ORACLE_SQL = {
     "op3_warc_bundles": WARC_BUNDLES,
     "op10_line_dedup": LINE_DEDUP,
+    "op12_ranked_search": RANKED_SEARCH,
     "op13_merkle_manifest": MERKLE,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_quality_rules": QUALITY_RULES,

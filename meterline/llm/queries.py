@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.llm.blocked_search import ranked_search
 from meterline.llm.common import ascii_lower, read_table
 from meterline.llm.cotrain import quality_scores
 from meterline.llm.exact_dedup import exact_duplicates
@@ -81,6 +82,10 @@ def op11_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(read_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of the documents; every fifth one, by its id's checksum, is then altered and checked."""
     chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -112,5 +117,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "op11_winnow": op11_winnow,
+    "op12_ranked_search": op12_ranked_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -1,0 +1,151 @@
+"""Blocked search next to scoring every document."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from meterline.llm import blocked_search
+from meterline.llm.blocked_search import Best, Queries, Shard, Vectors, blocks_of, counted, ranked_search, terms_of
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_terms(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(lowered)
+
+
+def plain_search(docs, items, top=50):
+    counts = [Counter(plain_terms(text)) for _, text in docs]
+    sizes = [sum(count.values()) for count in counts]
+    documents, total = sum(size > 0 for size in sizes), sum(sizes)
+    df = Counter(term for count in counts for term in count)
+    out = []
+    for item, text in items:
+        scored = []
+        for (doc_id, _), count, n in zip(docs, counts, sizes):
+            score = 0
+            for term in set(plain_terms(text)):
+                if term in count:
+                    weight = math.floor(1000 * math.log((2 * documents + 2) / (2 * df[term] + 1)))
+                    spread = 100 - 50 + (50 * n * documents) // total
+                    score += weight * ((1_000_000_000 * count[term]) // (1000 * count[term] + 20 * spread))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        scored.sort(key=lambda row: row[:3])
+        out += [(item, rank, row[3], -row[0]) for rank, row in enumerate(scored[:top], 1)]
+    return out
+
+
+def corpus(rng, count, words=400):
+    """Documents about some topics, many of them copies, with a few very common words."""
+    topics = [[f"w{rng.randrange(words)}" for _ in range(40)] for _ in range(12)]
+    docs = []
+    for doc_id in range(count):
+        topic = rng.choice(topics)
+        text = " ".join(rng.choice(["the", "of", rng.choice(topic), rng.choice(topic)]) for _ in range(rng.randrange(1, 60)))
+        docs.append((doc_id, text if doc_id % 7 else "The same copy. of w1 w2 w3!"))
+    items = [(i, " ".join(rng.sample(rng.choice(topics), 9) + ["the", "OF", "unseen"])) for i in range(25)]
+    return docs, items
+
+
+def frames(spark, docs, items):
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+
+
+def found(frame):
+    key = lambda row: (row[0] is not None, row[0] or 0, row[1])
+    return sorted((tuple(row) for row in frame.collect()), key=key)
+
+
+@pytest.mark.parametrize(("shard", "block", "turn", "seeds"), [(2048, 32, 1 << 20, 6), (40, 4, 300, 1), (7, 1, 1 << 20, 3)])
+def test_equals_scoring_everything(spark, monkeypatch, shard, block, turn, seeds):
+    for name, value in (("SHARD_DOCS", shard), ("BLOCK_DOCS", block), ("QUERY_BYTES", turn), ("SEED_TERMS", seeds)):
+        monkeypatch.setattr(blocked_search, name, value)
+    docs, items = corpus(random.Random(shard), 600)
+    ours = found(ranked_search(*frames(spark, docs, items), top=20))
+    assert ours == sorted(plain_search(docs, items, 20))
+
+
+def test_nulls_ties_and_odd_texts(spark):
+    docs = [(5, "alpha beta"), (3, "ALPHA Beta"), (3, "alpha beta"), (None, "alpha beta"), (9, None), (1, ""), (2, "!? ..")]
+    docs += [(7, "Über_straße 語 alpha"), (8, "alpha " * 200_000), (11, "über"), (12, "Über"), (-4, "gamma")]
+    items = [(1, "Alpha, alpha; BETA?"), (2, None), (3, ""), (4, "Über straße 語"), (4, "gamma"), (None, "gamma"), (6, "nowhere")]
+    frame = ranked_search(*frames(spark, docs, items))
+    assert frame.columns == ["item_id", "rank", "doc_id", "score"]
+    key = lambda row: tuple(str(value) for value in row)
+    assert sorted(map(tuple, frame.collect()), key=key) == sorted(plain_search(docs, items), key=key)
+
+
+@pytest.mark.parametrize(("docs", "items"), [([], []), ([(1, "a")], []), ([], [(1, "a")]), ([(1, None)], [(1, "a")])])
+def test_empty_tables(spark, docs, items):
+    frame = ranked_search(*frames(spark, docs, items))
+    assert frame.collect() == [] and frame.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_clashing_names(spark):
+    names = ["id", "row", "n", "terms", "counts", "sketch", "query", "score", "rank", "item", "number", "item_id"]
+    docs, items = corpus(random.Random(2), 60)
+    wide = spark.createDataFrame(
+        [(*row, *([7] * len(names))) for row in docs], "doc_id long, text string, " + ", ".join(f"{n} long" for n in names)
+    )
+    asked = spark.createDataFrame([(*row, 1, 2) for row in items], "item_id long, text string, doc_id long, query long")
+    assert found(ranked_search(wide, asked, top=5)) == sorted(plain_search(docs, items, 5))
+
+
+def made(docs, items):
+    queries = Queries([text for _, text in items])
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs]), pa.array([t for _, t in docs])], ["id", "text"])
+    (counts,) = counted(queries.number)(iter([batch]))
+    lists = counts.column(2).to_pylist()
+    frequencies = Counter(term for terms in lists for term in terms)
+    queries.weigh(sum(n > 0 for n in counts.column(1).to_pylist()), sum(counts.column(1).to_pylist()), frequencies)
+    return queries, Vectors(counts, queries)
+
+
+def test_summaries_bound_their_blocks():
+    docs, items = corpus(random.Random(4), 500)
+    queries, vectors = made(docs, items)
+    shard = Shard(vectors, queries)
+    blocks = 0
+    for term in range(len(queries.number)):
+        posted = shard.posted[shard.starts[term] : shard.starts[term + 1]]
+        parts = blocks_of(posted, shard.projected) if len(posted) else []
+        assert sorted(np.concatenate(parts).tolist() if parts else []) == sorted(posted.tolist())
+        for block in parts:
+            blocks += 1
+            touched = shard.summarise(block)
+            for query in range(len(items)):
+                bound = shard.summary[queries.of(query)].sum()
+                assert bound >= vectors.scores(block, queries.of(query), shard.mask).max()
+            shard.summary[touched] = 0
+    assert blocks > len(queries.number)
+
+
+def test_blocks_are_skipped_without_loss():
+    docs, items = corpus(random.Random(6), 2000, words=2000)
+    queries, vectors = made(docs, items)
+    full = [vectors.scores(np.flatnonzero(np.diff(vectors.starts)), queries.of(q), np.zeros(len(queries.number), bool)) for q in range(len(items))]
+    least = np.array([max(1, np.sort(scores)[-10]) for scores in full])
+    shard, best = Shard(vectors, queries), Best(len(items), 10, least)
+    shard.search(best, [doc for doc, _ in docs], list(range(len(docs))))
+    for query, scores in enumerate(full):
+        best.cut(query)
+        assert [-row[0] for row in best.held[query]] == sorted(scores[scores > 0].tolist(), reverse=True)[:10]
+    assert 0 < shard.scored < sum((scores > 0).sum() for scores in full) / 2
+
+
+def test_terms():
+    assert terms_of("A-b_c 1é 语!\x85") == ["a".encode(), b"b", b"c", "1é 语".encode(), "\x85".encode()]
+    for text in ("Ab-\x7f÷Z9", "ÀÉ kelvin K", "a b"):
+        assert [term.decode() for term in terms_of(text)] == plain_terms(text)
