@@ -290,6 +290,58 @@ SELECT unnest(['taxi_trips', 'yellow_taxi_stream']) AS table_name, count(*) AS r
 UNION ALL
 SELECT 'hourly_aggregates', count(DISTINCT date_trunc('hour', pickup_datetime)) FROM trips"""
 
+FARE_RANGE = f"""WITH {TRIPS}
+SELECT CAST(hour(pickup_datetime) AS INTEGER) AS "hour",
+  CAST(date_trunc('hour', pickup_datetime) AS TIMESTAMP) AS window_start,
+  CAST(date_trunc('hour', pickup_datetime) AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,
+  max(fare_amount) - min(fare_amount) AS fare_range,
+  max(dropoff_datetime) AS last_dropoff,
+  count(*) FILTER (store_and_fwd_flag = 'Y') AS flagged_trips,
+  CASE WHEN min(fare_amount) < 0 THEN 'refunds' END AS refunds
+FROM trips GROUP BY 1, 2, 3"""
+
+ATOMIC = f"""WITH {TRIPS}, {FLAWED_TRIPS},
+span AS (SELECT min(ts) AS low, (max(ts) - min(ts)) / {SLICES} AS step FROM events),
+cuts AS (
+  SELECT [date_trunc('hour', low + step * part) + INTERVAL 5 MINUTE FOR part IN range(1, {SLICES})] AS bounds
+  FROM span
+),
+placed AS (
+  SELECT reason, len(list_filter(bounds, lambda b: ts >= b)) AS slice
+  FROM flawed JOIN events USING (event_id), cuts
+),
+seen AS (
+  SELECT stage, table_name, (table_name = 'rejects') = (reason IS NOT NULL) AS counted
+  FROM placed
+  JOIN (VALUES ('failed', 0), ('repeated', 1), ('finished', 2)) stages(stage, last) ON slice <= last,
+  (SELECT unnest(['taxi_trips', 'yellow_taxi_stream', 'rejects']) AS table_name)
+)
+SELECT stage, table_name, count(*) AS row_count FROM seen WHERE counted GROUP BY stage, table_name"""
+
+MERGED = f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired()}
+SELECT CAST(hour(window_start) AS INTEGER) AS "hour",
+  CAST(window_start AS TIMESTAMP) AS window_start,
+  CAST(window_end AS TIMESTAMP) AS window_end,
+  {six_digits('total / n')} AS average_fare, n AS trip_count
+FROM emitted
+QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY slice DESC) = 1"""
+
+HOURLY_LOOKUP = """WITH groups AS (
+  SELECT date_trunc('hour', ts) AS window_start, hour(ts) AS h, strftime(ts, '%Y-%m') AS month, count(*) AS trips
+  FROM events GROUP BY 1, 2, 3
+)
+SELECT 'hour ' || h AS wanted, count(*) AS row_count, CAST(sum(trips) AS BIGINT) AS trips,
+  count(DISTINCT month) AS files_read
+FROM groups WHERE h IN (0, 8, 17) GROUP BY h
+UNION ALL
+SELECT 'day', count(*), CAST(sum(trips) AS BIGINT),
+  (SELECT count(DISTINCT h) FROM groups WHERE month = '2024-01')
+FROM groups WHERE window_start >= TIMESTAMP '2024-01-12 06:00:00' AND window_start < TIMESTAMP '2024-01-13 06:00:00'"""
+
+INDEXED_LOOKUP = f"""WITH {TRIPS}
+SELECT pickup_datetime, dropoff_datetime, fare_amount, true AS few_files FROM trips
+WHERE pickup_datetime BETWEEN TIMESTAMP '2024-01-12 06:00:00' AND TIMESTAMP '2024-01-12 12:00:00'"""
+
 ORACLE: dict[str, str] = {
     "parse_trips": f"WITH {TRIPS}, {FLAWED_TRIPS} SELECT {FIELDS}, {DURATION} "
     "FROM flawed WHERE reason IS NULL",
@@ -338,5 +390,13 @@ ORACLE: dict[str, str] = {
     "table_ids": "SELECT count(*) AS row_count, count(*) AS distinct_ids, count(*) AS write_times FROM events",
     "created_tables": CREATED,
     "applied_window_udf": HOURLY_PICKUP,
+    "applied_window_late": late("10 SECOND"),
+    "applied_window_stream": FARE_RANGE,
     "whole_pipeline": PIPELINE,
+    "atomic_batches": ATOMIC,
+    "dense_keys": "SELECT count(*) AS row_count, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, "
+    "count(*) AS last_id, CAST(4 AS BIGINT) AS batches FROM events",
+    "merged_latest": MERGED,
+    "hourly_lookup": HOURLY_LOOKUP,
+    "indexed_lookup": INDEXED_LOOKUP,
 }

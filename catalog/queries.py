@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.trips import (
+    closing_line,
     event_lines,
     event_trips,
     events,
@@ -17,6 +22,7 @@ from catalog.trips import (
     slice_bounds,
     slices,
 )
+from catalog.windows import FARE_RANGE
 from meterline.functions.clock import epoch_millis
 from meterline.functions.codes import payment_type_name, rate_code_name, vendor_name
 from meterline.operators.decode import decode
@@ -25,10 +31,12 @@ from meterline.operators.hourly import hourly_fares, latest, overall_fare
 from meterline.operators.load import describe_ddl, load_trips
 from meterline.operators.parse import classify, parse_trips, reject_counts, rejects, trips
 from meterline.operators.publish import publish_lines
-from meterline.operators.window_apply import apply_window
+from meterline.operators.window_apply import MEAN_FARE, apply_window
 from meterline.plans.pipeline import (
     Outputs,
     await_all,
+    fired_sink,
+    start_applied,
     start_hourly,
     start_late_hourly,
     start_pipeline,
@@ -37,9 +45,14 @@ from meterline.plans.pipeline import (
 from meterline.plans.tables import load_table, publish_table
 from meterline.schemas import CSV_HEADER, CSV_TRIP, DECODED, HOURLY, LINE_FIELDS, TRIP
 from meterline.session import scratch_dir
+from meterline.sinks.access import indexed, lookup
+from meterline.sinks.commits import read_committed
+from meterline.sinks.keys import keyed, ledger, with_dense_ids
+from meterline.sinks.latest import kept_rows, merge_new
 from meterline.sinks.tables import (
     AUDIT_COLUMNS,
     TABLES,
+    by_day,
     create_tables,
     hourly_sink,
     read_table,
@@ -56,6 +69,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 INGEST_LAG = "INTERVAL '90' MINUTE"
 # Event ids with this remainder of 20 arrive one slice late in the lateness query.
 TARDY = 7
+# The lookups' day; trips before EARLY come in a batch of their own.
+LOOKED_UP = datetime(2024, 1, 12, 6)
+EARLY = datetime(2024, 1, 20)
 # A watermark delay longer than a slice, so that no row of the slice before is late.
 DELAY_DAYS = 11
 
@@ -425,6 +441,172 @@ def applied_window_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(apply_window(parsed_events(spark, sf_dir), "pickup_datetime"))
 
 
+def applied_window_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The caller's mean of fares on a stream whose rows come a slice late: all emissions."""
+    root = scratch_dir(spark, "applied")
+    landing, table, checkpoint = (f"{root}/{part}" for part in ("landing", "events", "state"))
+
+    def run() -> None:
+        stream = message_stream(spark, landing)
+        start_applied(
+            stream, MEAN_FARE, lambda frame, batch: write_batch(frame, table, batch), checkpoint, interval=None
+        ).awaitTermination()
+
+    replay(tardy_slices(spark, sf_dir, event_lines), landing, run)
+    return rounded(spark.read.parquet(table).drop("batch_id", "run_id"))
+
+
+def applied_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another function of a caller's over the same replay, no row too late: the last emission of each window."""
+    root = scratch_dir(spark, "applied")
+    landing, table, checkpoint = (f"{root}/{part}" for part in ("landing", "events", "state"))
+
+    def lines():
+        yield from tardy_slices(spark, sf_dir, event_lines)
+        yield closing_line(events(spark, sf_dir), timedelta(days=DELAY_DAYS + 1))
+
+    def run() -> None:
+        start_applied(
+            message_stream(spark, landing),
+            FARE_RANGE,
+            lambda frame, batch: write_batch(frame, table, batch),
+            checkpoint,
+            interval=None,
+            disorder_seconds=DELAY_DAYS * 86_400,
+        ).awaitTermination()
+
+    replay(lines(), landing, run)
+    emitted = spark.read.parquet(table)
+    columns = [name for name in emitted.columns if name not in ("hour", "window_start", "batch_id", "run_id")]
+    last = emitted.groupBy("hour", "window_start").agg(F.max_by(F.struct(*columns), "batch_id").alias("last"))
+    return last.select("hour", "window_start", "last.*").drop("kind")
+
+
+def failing(sink: Callable, at: int) -> Callable:
+    """The sink, failing when it is given batch ``at``."""
+
+    def write(frame: DataFrame, batch_id: int) -> None:
+        if batch_id == at:
+            raise OSError("the disk is full")
+        sink(frame, batch_id)
+
+    return write
+
+
+def atomic_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Committed rows of the tables after a batch that failed between two of them, after its repetition, and in the end."""
+    source = events(spark, sf_dir)
+    root = scratch_dir(spark, "atomic")
+    outputs = Outputs.below(root, commits=True)
+    broken = replace(outputs, decoded=failing(outputs.decoded, 1))
+    kinds = {"taxi_trips": TRIP, "yellow_taxi_stream": DECODED, "rejects": T.StructType([T.StructField("reason", T.StringType())])}
+    seen = f"{root}/seen"
+
+    def run(targets: Outputs) -> None:
+        start_trips(message_stream(spark, f"{root}/landing"), targets, f"{root}/state", interval=None).awaitTermination()
+
+    def note(stage: str) -> None:
+        for name, kind in kinds.items():
+            rows = read_committed(spark, f"{root}/{name}", kind, outputs.commits)
+            counts = rows.agg(F.count("*").alias("row_count"))
+            counts.select(F.lit(stage).alias("stage"), F.lit(name).alias("table_name"), "row_count").write.mode("append").parquet(seen)
+
+    parts = slices(source, slice_bounds(source), F.col("ts"))
+    for number, part in enumerate(parts):
+        message_files(flawed_lines(part), f"{root}/landing")
+        if number == 1:
+            try:
+                run(broken)
+            except StreamingQueryException:
+                note("failed")
+        run(outputs)
+        if number:
+            note("repeated" if number == 1 else "finished")
+    return spark.read.parquet(seen)
+
+
+def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a table that two runs of two batches each fill, the last one written twice."""
+    source = events(spark, sf_dir)
+    root = scratch_dir(spark, "keys")
+    table = f"{root}/taxi_trips"
+    outputs = replace(Outputs.below(root), raw=keyed(table, trip_sink(table)))
+    for run in (0, 1):
+        for batch in (0, 1):
+            message_files(event_lines(source.filter(F.col("event_id") % 4 == 2 * run + batch).repartition(3)), f"{root}/landing{run}")
+            stream = message_stream(spark, f"{root}/landing{run}")
+            start_trips(stream, outputs, f"{root}/state{run}", interval=None).awaitTermination()
+    last = ledger(spark, table).orderBy(F.desc("first_id")).first()
+    again = parse_trips(event_lines(source.filter(F.col("event_id") % 4 == 3).repartition(5))).drop("timestamp")
+    write_batch(
+        by_day(with_dense_ids(again, table, last["batch_id"], last["run_id"])), table, last["batch_id"], last["run_id"]
+    )
+    keys = spark.read.parquet(table)
+    return keys.agg(
+        F.count("*").alias("row_count"),
+        F.countDistinct("id").alias("distinct_ids"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.countDistinct("run_id", "batch_id").alias("batches"),
+    )
+
+
+def late_log(spark: SparkSession, sf_dir: str, root: str, after: Callable[[], None]) -> str:
+    """The change log of a replay whose rows come a slice late; ``after`` runs when a slice is in."""
+    table = f"{root}/hourly_aggregates"
+    sink = fired_sink(hourly_sink(table), hourly_sink(f"{root}/late_drops"))
+
+    def run() -> None:
+        start_late_hourly(message_stream(spark, f"{root}/landing"), sink, f"{root}/state", interval=None).awaitTermination()
+        after()
+
+    replay(tardy_slices(spark, sf_dir, event_lines), f"{root}/landing", run)
+    return table
+
+
+def merged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept table of latest rows, merged from the log after each slice."""
+    root = scratch_dir(spark, "merged")
+    table = late_log(spark, sf_dir, root, lambda: merge_new(spark, f"{root}/hourly_aggregates"))
+    return rounded(kept_rows(spark, table).drop("written_at", "batch_id"))
+
+
+def hourly_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some hours of the day, and the windows of a day, from the kept table: rows, trips and files read."""
+    root = scratch_dir(spark, "lookup")
+    table = f"{root}/hourly_aggregates"
+    parsed = parsed_events(spark, sf_dir)
+    for batch, part in enumerate((F.col("pickup_datetime") < EARLY, F.col("pickup_datetime") >= EARLY)):
+        hourly_sink(table)(hourly_fares(parsed.filter(part), "pickup_datetime"), batch)
+        merge_new(spark, table)
+    found = None
+    wanted = [(f"hour {hour}", {"hour": hour}) for hour in (0, 8, 17)]
+    wanted.append(("day", {"start": LOOKED_UP, "end": LOOKED_UP + timedelta(days=1)}))
+    for name, keys in wanted:
+        rows = kept_rows(spark, table, **keys)
+        files = len(rows.inputFiles())
+        row = rows.agg(F.count("*").alias("row_count"), F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trips"))
+        row = row.select(F.lit(name).alias("wanted"), "row_count", "trips", F.lit(files).cast("long").alias("files_read"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+def indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips of six hours, from the files that an index of pickup times names."""
+    root = scratch_dir(spark, "indexed")
+    table = f"{root}/taxi_trips"
+    times = T.StructType([TRIP["pickup_datetime"], TRIP["fare_amount"]])
+    sink = indexed(table, times, trip_sink(table))
+    source = events(spark, sf_dir)
+    for batch, part in enumerate(slices(source, slice_bounds(source), F.col("ts"))):
+        sink(parse_trips(event_lines(part)).drop("timestamp"), batch)
+    found = lookup(spark, table, TRIP, pickup_datetime=(LOOKED_UP, LOOKED_UP + timedelta(hours=6)))
+    opened = found.rows.select(F.input_file_name().alias("file")).distinct().count()
+    rows = found.rows.select("pickup_datetime", "dropoff_datetime", "fare_amount")
+    few = found.files_read * 8 <= found.files and opened <= found.files_read
+    return rows.withColumn("few_files", F.lit(few))
+
+
 QUERIES: dict[str, Query] = {
     "parse_trips": parse_trips_query,
     "reject_reasons": reject_reasons,
@@ -459,5 +641,12 @@ QUERIES: dict[str, Query] = {
     "table_ids": table_ids,
     "created_tables": created_tables,
     "applied_window_udf": applied_window_udf,
+    "applied_window_late": applied_window_late,
+    "applied_window_stream": applied_window_stream,
     "whole_pipeline": whole_pipeline,
+    "atomic_batches": atomic_batches,
+    "dense_keys": dense_keys,
+    "merged_latest": merged_latest,
+    "hourly_lookup": hourly_lookup,
+    "indexed_lookup": indexed_lookup,
 }

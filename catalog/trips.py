@@ -145,6 +145,12 @@ def slices(rows: DataFrame, bounds: list[datetime], column: Column) -> Iterator[
         yield part
 
 
+def closing_line(rows: DataFrame, after: timedelta) -> DataFrame:
+    """A blank line so long after the last event that all windows are over."""
+    last = rows.agg(F.max("ts").cast("timestamp").alias("last"))
+    return last.select(F.lit("").alias("value"), (F.col("last") + F.lit(after)).alias("timestamp"))
+
+
 def replay(
     parts: Iterator[DataFrame], landing: str, run: Callable[[], None]
 ) -> None:

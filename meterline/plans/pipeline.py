@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterline.operators.decode import decode
 from meterline.operators.parse import classify, rejects, trips
+from meterline.operators.window_apply import WindowFunction
 from meterline.schemas import TRIP
 from meterline.session import ROCKSDB, stream_settings
+from meterline.sinks.commits import together
 from meterline.sinks.jdbc import (
     DECODED_TRIPS,
     HOURLY_FARES,
@@ -21,6 +23,7 @@ from meterline.sinks.jdbc import (
     refuse_wide_flags,
 )
 from meterline.sinks.tables import hourly_sink, reject_sink, trip_sink
+from meterline.streaming.applied import apply_window_stream
 from meterline.streaming.clock import DISORDER_SECONDS, LATENESS_SECONDS
 from meterline.streaming.hourly import STATE_PARTITIONS, checkpointed, hourly_updates
 from meterline.streaming.lateness import late_hourly
@@ -32,7 +35,8 @@ Sink = Callable[[DataFrame, int], None]
 class Outputs:
     """Where each branch goes: a ``foreachBatch`` function per table.
 
-    ``narrow_flags`` rejects trips whose flag is too wide for a database column.
+    ``narrow_flags`` rejects trips whose flag is too wide for a database column. With a
+    commit table in ``commits`` the tables of a batch appear together (``sinks.commits``).
     """
 
     raw: Sink
@@ -41,10 +45,14 @@ class Outputs:
     hourly: Sink
     dropped: Sink
     narrow_flags: bool = False
+    commits: str | None = None
 
     @classmethod
-    def below(cls, root: str, rebalance: bool = True) -> Outputs:
-        """Parquet tables in folders below ``root``; ``rebalance`` gives the days few files."""
+    def below(cls, root: str, rebalance: bool = True, commits: bool = False) -> Outputs:
+        """Parquet tables in folders below ``root``; ``rebalance`` gives the days few files.
+
+        ``commits`` keeps a commit table there, for ``read_committed``.
+        """
         root = root.rstrip("/")
         return cls(
             raw=trip_sink(f"{root}/taxi_trips", rebalance=rebalance),
@@ -52,6 +60,7 @@ class Outputs:
             rejected=reject_sink(f"{root}/rejects"),
             hourly=hourly_sink(f"{root}/hourly_aggregates"),
             dropped=hourly_sink(f"{root}/late_drops"),
+            commits=f"{root}/commits" if commits else None,
         )
 
     @classmethod
@@ -95,7 +104,7 @@ def start_trips(
         finally:
             parsed.unpersist()
 
-    writer = lines.writeStream.foreachBatch(fan_out)
+    writer = lines.writeStream.foreachBatch(together(outputs.commits, fan_out))
     return checkpointed(writer, name, checkpoint, interval).start()
 
 
@@ -151,6 +160,29 @@ def start_late_hourly(
         return checkpointed(writer, name, checkpoint, interval).start()
 
 
+def start_applied(
+    lines: DataFrame,
+    function: WindowFunction,
+    sink: Sink,
+    checkpoint: str,
+    event_time: str = "timestamp",
+    interval: str | None = "60 seconds",
+    disorder_seconds: int = DISORDER_SECONDS,
+    lateness_seconds: int = LATENESS_SECONDS,
+    state_partitions: int = STATE_PARTITIONS,
+    name: str = "applied-window",
+) -> StreamingQuery:
+    """A caller's window function over the stream, with the emissions of ``start_late_hourly``."""
+    events = apply_window_stream(lines, function, event_time, disorder_seconds, lateness_seconds)
+    writer = events.writeStream.outputMode("update").foreachBatch(sink)
+    with stream_settings(
+        lines.sparkSession,
+        spark__sql__shuffle__partitions=str(state_partitions),
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+    ):
+        return checkpointed(writer, name, checkpoint, interval).start()
+
+
 def fired_sink(hourly: Sink, dropped: Sink) -> Sink:
     """Fired rows to the hourly table, counts of rows that came too late to another.
 
@@ -186,7 +218,7 @@ def start_pipeline(
     rows change it; for running rows start ``start_hourly`` instead. ``prefix``
     tells the queries of several pipelines in a session apart.
     """
-    sink = fired_sink(outputs.hourly, outputs.dropped)
+    sink = together(outputs.commits, fired_sink(outputs.hourly, outputs.dropped))
     trips_query = start_trips(
         lines, outputs, f"{checkpoint}/trips", interval, name=f"{prefix}trips"
     )

@@ -79,6 +79,29 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, wherever Spark reads from."""
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths a pattern with ``*`` stands for."""
+    system, place = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in system.globStatus(place) or ()]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all below it."""
+    system, place = _file_system(spark, path)
+    return system.delete(place, True)
+
+
 @contextmanager
 def stream_settings(spark: SparkSession, **settings: str) -> Iterator[None]:
     """Settings in force while a query starts; Spark copies them at ``start()``."""

@@ -59,13 +59,18 @@ def run_of(frame: DataFrame) -> str:
     return frame.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or NO_QUERY
 
 
+def batch_path(path: str, run: str, batch_id: int) -> str:
+    """The partition of a run's batch."""
+    return f"{path.rstrip('/')}/{RUN}={run}/{BATCH}={batch_id}"
+
+
 def write_batch(frame: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
     """One micro-batch of a run as its own partition. Writing it again replaces it.
 
     Trip rows are split further by day. Outside of a streaming query, name the
     ``run`` if several write to the table.
     """
-    target = f"{path.rstrip('/')}/{RUN}={run or run_of(frame)}/{BATCH}={batch_id}"
+    target = batch_path(path, run or run_of(frame), batch_id)
     if DAY in frame.columns:
         frame.write.mode("overwrite").partitionBy(DAY).parquet(target)
     else:
@@ -109,14 +114,20 @@ def reject_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table's own columns plus its partition columns, and when aggregates were written."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, within: list[str] | None = None
+) -> DataFrame:
+    """The table's own columns plus its partition columns, and when aggregates were written.
+
+    ``within`` names the folders or files of the table to read, if not all.
+    """
     parts = [T.StructField(RUN, T.StringType(), True), T.StructField(BATCH, T.LongType(), True)]
     if "pickup_datetime" in schema.fieldNames():
         parts.append(T.StructField(DAY, T.DateType(), True))
     else:
         parts.insert(0, T.StructField(WRITTEN, T.TimestampType(), True))
-    return spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
+    reader = spark.read.schema(T.StructType([*schema.fields, *parts]))
+    return reader.parquet(path) if within is None else reader.option("basePath", path).parquet(*within)
 
 
 def replace_table(frame: DataFrame, path: str) -> None:

@@ -1,0 +1,277 @@
+"""Atomic batches, dense keys, the kept latest rows, and the file index."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meterline.operators.hourly import latest
+from meterline.plans.pipeline import Outputs, await_all, start_pipeline, start_trips
+from meterline.schemas import DECODED, HOURLY, TRIP
+from meterline.sinks import latest as kept
+from meterline.sinks.access import index_batch, indexed, lookup
+from meterline.sinks.commits import commit, is_committed, only_committed, read_committed
+from meterline.sinks.keys import claimed, keyed, ledger, with_dense_ids
+from meterline.sinks.latest import current_months, drop_replaced, kept_rows, merge_new, merges
+from meterline.sinks.tables import batch_path, read_table, trip_sink, write_batch
+from test_streaming import at, feed, message  # noqa: F401
+
+
+def failing(sink, times):
+    """The sink, failing the first ``times`` that it is called."""
+    left = [times]
+
+    def write(frame, batch_id):
+        if left[0]:
+            left[0] -= 1
+            raise RuntimeError("disk full")
+        sink(frame, batch_id)
+
+    return write
+
+
+# Commits.
+
+
+@pytest.mark.parametrize("broken", ["raw", "decoded", "rejected"])
+def test_a_failed_batch_is_not_seen_in_any_table(spark, feed, tmp_path, broken):  # noqa: F811
+    root = str(tmp_path / "out")
+    good, state = Outputs.below(root, commits=True), str(tmp_path / "state")
+    bad = replace(good, **{broken: failing(getattr(good, broken), 1)})
+
+    def seen():
+        return [
+            sorted(r.fare_amount for r in read_committed(spark, f"{root}/{name}", schema, good.commits).collect())
+            for name, schema in (("taxi_trips", TRIP), ("yellow_taxi_stream", DECODED))
+        ]
+
+    feed.add([message(at("00:10:00"), 1.0), ("junk", at("00:11:00"))])
+    start_trips(feed.stream(), good, state, interval=None).awaitTermination()
+    assert seen() == [[1.0], [1.0]]
+    feed.add([message(at("00:12:00"), 2.0)])
+    with pytest.raises(StreamingQueryException, match="disk full"):
+        start_trips(feed.stream(), bad, state, interval=None).awaitTermination()
+    assert seen() == [[1.0], [1.0]]
+    start_trips(feed.stream(), bad, state, interval=None).awaitTermination()
+    assert seen() == [[1.0, 2.0], [1.0, 2.0]]
+
+
+def test_a_committed_batch_is_not_written_again(spark, feed, tmp_path):  # noqa: F811
+    """A query that lost its own record of a batch repeats it; the tables stay as they are."""
+    root = str(tmp_path / "out")
+    outputs = Outputs.below(root, commits=True)
+    feed.add([message(at("00:10:00"), 1.0)])
+    query = start_trips(feed.stream(), outputs, str(tmp_path / "state"), interval=None)
+    query.awaitTermination()
+    run = str(query.id)
+    assert is_committed(spark, outputs.commits, 0, run) and not is_committed(spark, outputs.commits, 1, run)
+    for file in (tmp_path / "state" / "commits").iterdir():
+        file.unlink()
+    start_trips(feed.stream(), replace(outputs, raw=failing(outputs.raw, 1)), str(tmp_path / "state"), interval=None).awaitTermination()
+    assert read_committed(spark, f"{root}/taxi_trips", TRIP, outputs.commits).count() == 1
+
+
+def test_commits_of_runs_and_batches_stay_apart(spark, tmp_path):
+    table, commits = str(tmp_path / "t"), str(tmp_path / "c")
+    rows = spark.range(3)
+    for run, batch in (("a", 0), ("a", 1), ("b", 0)):
+        write_batch(rows, table, batch, run)
+    stored = spark.read.parquet(table)
+    assert only_committed(stored, commits).count() == 0
+    commit(spark, commits, 0, "a")
+    commit(spark, commits, 0, "a")
+    found = only_committed(stored, commits)
+    assert {(r.run_id, r.batch_id) for r in found.collect()} == {("a", 0)} and found.count() == 3
+    assert found.columns == stored.columns
+
+
+def test_hourly_and_dropped_rows_are_committed_too(spark, feed, tmp_path):  # noqa: F811
+    outputs = Outputs.below(str(tmp_path / "out"), commits=True)
+    for time in ("00:10:00", "01:10:00", "02:10:00", "00:20:00"):
+        feed.add([message(at(time))])
+    await_all(start_pipeline(feed.stream(), outputs, str(tmp_path / "state"), interval=None))
+    for name, count in (("hourly_aggregates", 2), ("late_drops", 1)):
+        path = f"{tmp_path}/out/{name}"
+        assert read_committed(spark, path, HOURLY, outputs.commits).count() == count == read_table(spark, path, HOURLY).count()
+
+
+# Keys.
+
+
+def rows_of(spark, count, start=0, parts=4):
+    return spark.range(start, start + count, 1, parts).withColumnRenamed("id", "value")
+
+
+def test_keys_follow_on_over_batches_and_runs(spark, tmp_path):
+    path, found = str(tmp_path / "t"), []
+    for run, batch, count, parts in (("a", 0, 10, 4), ("a", 1, 7, 30), ("b", 0, 0, 2), ("b", 1, 1000, 3)):
+        keys = with_dense_ids(rows_of(spark, count, 100 * batch, parts), path, batch, run)
+        assert keys.columns == ["value", "id"]
+        found += [row.id for row in keys.collect()]
+    assert found and sorted(found) == list(range(1, 1018))
+    assert ledger(spark, path).count() == 4
+
+
+def test_a_repeated_batch_gets_its_keys_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in (0, 1):
+        with_dense_ids(rows_of(spark, 5), path, batch, "a")
+    again = with_dense_ids(rows_of(spark, 5, parts=1), path, 0, "a")
+    assert sorted(row.id for row in again.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(ValueError, match="later keys are taken"):
+        with_dense_ids(rows_of(spark, 6), path, 0, "a")
+    # The last batch may grow: no key after it is taken.
+    grown = with_dense_ids(rows_of(spark, 8), path, 1, "a")
+    assert sorted(row.id for row in grown.collect()) == list(range(6, 14))
+    assert claimed(spark, path, 2, "a", 1) == 14
+
+
+def test_keys_of_a_stream_survive_a_failure(spark, feed, tmp_path):  # noqa: F811
+    root = str(tmp_path / "out")
+    table = f"{root}/taxi_trips"
+    outputs = Outputs.below(root)
+    outputs = replace(outputs, raw=keyed(table, trip_sink(table)), decoded=failing(outputs.decoded, 1))
+    for minute in range(3):
+        feed.add([message(at(f"00:1{minute}:0{second}")) for second in range(4)])
+    state = str(tmp_path / "state")
+    with pytest.raises(StreamingQueryException):
+        start_trips(feed.stream(), outputs, state, interval=None).awaitTermination()
+    start_trips(feed.stream(), outputs, state, interval=None).awaitTermination()
+    assert sorted(row.id for row in spark.read.parquet(table).collect()) == list(range(1, 13))
+
+
+def test_numbering_has_no_sort_of_all_rows(spark, tmp_path):
+    plan = with_dense_ids(rows_of(spark, 50), str(tmp_path / "t"), 0, "a")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "SinglePartition" not in plan and "hashpartitioning" not in plan
+
+
+# The kept latest rows.
+
+START = datetime(2025, 1, 31, 22)
+
+
+def emission(spark, path, batch, *rows, run="a"):
+    """Rows (hours after START, hour, mean, count) as a batch of the log."""
+    made = [(hour, START + timedelta(hours=n), START + timedelta(hours=n + 1), mean, count) for n, hour, mean, count in rows]
+    frame = spark.createDataFrame(made, HOURLY).withColumn("written_at", F.lit(START + timedelta(days=batch)))
+    write_batch(frame, path, batch, run)
+
+
+def same(spark, path):
+    columns = HOURLY.fieldNames()
+    ours = sorted(tuple(r) for r in kept_rows(spark, path).select(columns).collect())
+    theirs = sorted(tuple(r) for r in latest(read_table(spark, path, HOURLY)).select(columns).collect())
+    return ours == theirs and len(ours)
+
+
+def test_merges_equal_the_latest_rows_of_the_log(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    assert kept_rows(spark, path).count() == 0 and merge_new(spark, path) == 0
+    emission(spark, path, 0, (0, 5, 1.0, 1), (1, 5, 2.0, 2), (1, 6, 3.0, 3))
+    assert merge_new(spark, path) == 1 and same(spark, path) == 3
+    emission(spark, path, 1, (1, 5, 2.5, 4), (3, 5, 9.0, 1))
+    emission(spark, path, 2, (3, 5, 9.5, 2), (4, 7, 1.0, 1))
+    assert merge_new(spark, path) == 2 and same(spark, path) == 5
+    assert merge_new(spark, path) == 0
+    # A second run counts its batches anew; the time of writing decides.
+    emission(spark, path, 0, (0, 5, 7.0, 1), run="b")
+    assert merge_new(spark, path) == 1 and same(spark, path) == 5
+    assert merges(spark, path).count() == 3
+
+
+def test_a_merge_reads_new_batches_and_writes_touched_months(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    emission(spark, path, 0, (0, 5, 1.0, 1), (3, 5, 2.0, 2))
+    merge_new(spark, path)
+    assert current_months(spark, path) == {"2025-01": 0, "2025-02": 0}
+    # The old batch is gone from the log: a merge that read it again would fail or lose its rows.
+    for file in (tmp_path / "hourly" / "run_id=a" / "batch_id=0").glob("part-*"):
+        file.unlink()
+    emission(spark, path, 1, (5, 5, 3.0, 1))
+    merge_new(spark, path)
+    assert current_months(spark, path) == {"2025-01": 0, "2025-02": 1}
+    assert sorted(r.average_fare for r in kept_rows(spark, path).collect()) == [1.0, 2.0, 3.0]
+    assert drop_replaced(spark, path) == 1 and drop_replaced(spark, path) == 0
+    assert sorted(r.average_fare for r in kept_rows(spark, path).collect()) == [1.0, 2.0, 3.0]
+
+
+def test_a_merge_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "hourly")
+    emission(spark, path, 0, (0, 5, 1.0, 1))
+    merge_new(spark, path)
+    emission(spark, path, 1, (0, 5, 4.0, 2), (1, 5, 5.0, 1))
+    with monkeypatch.context() as patched:
+        patched.setattr(kept, "_record", failing(None, 1))
+        with pytest.raises(TypeError):
+            merge_new(spark, path)
+    assert [r.average_fare for r in kept_rows(spark, path).collect()] == [1.0]
+    assert merge_new(spark, path) == 1 and same(spark, path) == 2
+
+
+def test_only_committed_batches_are_merged(spark, tmp_path):
+    path, commits = str(tmp_path / "hourly"), str(tmp_path / "commits")
+    emission(spark, path, 0, (0, 5, 1.0, 1))
+    emission(spark, path, 1, (0, 5, 2.0, 2))
+    commit(spark, commits, 0, "a")
+    assert merge_new(spark, path, commits) == 1 and [r.trip_count for r in kept_rows(spark, path).collect()] == [1]
+    commit(spark, commits, 1, "a")
+    assert merge_new(spark, path, commits) == 1 and [r.trip_count for r in kept_rows(spark, path).collect()] == [2]
+
+
+def test_a_lookup_opens_the_files_of_its_hour_and_months(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    emission(spark, path, 0, *((n, hour, float(n), 1) for n in range(6) for hour in (5, 6, 7)))
+    merge_new(spark, path)
+    one = kept_rows(spark, path, hour=6)
+    assert len(one.inputFiles()) == 2 and one.count() == 6 and {r.hour for r in one.collect()} == {6}
+    span = kept_rows(spark, path, start=datetime(2025, 2, 1, 1), end=datetime(2025, 2, 1, 3))
+    assert all("window_month=2025-02" in file for file in span.inputFiles())
+    assert sorted({r.window_start.hour for r in span.collect()}) == [1, 2]
+    assert kept_rows(spark, path, hour=6, end=datetime(2025, 2, 1)).count() == 2
+    assert kept_rows(spark, path, hour=9).count() == 0
+    assert kept_rows(spark, path, start=datetime(2026, 1, 1)).count() == 0
+
+
+# The file index.
+
+
+def test_a_lookup_by_the_index_opens_matching_files_only(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), T.StructType([T.StructField("value", T.LongType()), T.StructField("name", T.StringType())])
+
+    def frame(start):
+        return spark.range(start, start + 100, 1, 4).select(F.col("id").alias("value"), F.lit(f"n{start}").alias("name"))
+
+    sink = indexed(path, schema, lambda rows, batch: write_batch(rows, path, batch))
+    for batch in range(3):
+        sink(frame(1000 * batch), batch)
+    found = lookup(spark, path, schema, value=(1030, 1060))
+    assert (found.files_read, found.files) == (2, 12)
+    assert sorted(r.value for r in found.rows.collect()) == list(range(1030, 1061))
+    assert lookup(spark, path, schema, value=(None, 10)).files_read == 1
+    assert lookup(spark, path, schema, value=(2090, None), name=("n2000", "n2000")).rows.count() == 10
+    nothing = lookup(spark, path, schema, value=(500, 600))
+    assert nothing.files_read == 0 and nothing.rows.count() == 0 and nothing.rows.columns == found.rows.columns
+    # A batch that is written again has its new files in the index, and no old ones.
+    sink(frame(5000), 1)
+    assert lookup(spark, path, schema, value=(1030, 1060)).files_read == 0
+    assert lookup(spark, path, schema, value=(5000, 5099)).rows.count() == 100
+    commits = str(tmp_path / "commits")
+    commit(spark, commits, 0, "direct")
+    assert lookup(spark, path, schema, commits, value=(5000, 5099)).files_read == 0
+    assert lookup(spark, path, schema, commits, value=(0, 9000)).files == 4
+
+
+def test_empty_batches_and_nulls_are_indexed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(None,), (3,)], "value long")
+    write_batch(rows.filter("value > 9"), path, 0)
+    write_batch(rows, path, 1)
+    for batch in (0, 1):
+        index_batch(spark, path, rows.schema, batch, "direct")
+    assert [r.value for r in lookup(spark, path, rows.schema, value=(0, 5)).rows.collect()] == [3]
+    assert batch_path("/t/", "r", 1) == "/t/run_id=r/batch_id=1"
