@@ -342,6 +342,30 @@ INDEXED_LOOKUP = f"""WITH {TRIPS}
 SELECT pickup_datetime, dropoff_datetime, fare_amount, true AS few_files FROM trips
 WHERE pickup_datetime BETWEEN TIMESTAMP '2024-01-12 06:00:00' AND TIMESTAMP '2024-01-12 12:00:00'"""
 
+PROGRESS = f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired(good="reason IS NULL")},
+reasons AS (SELECT unnest(['header', 'blank', 'arity', 'number', 'datetime']) AS reason)
+SELECT query_name, counter, CAST(total AS BIGINT) AS total FROM (
+  SELECT 'trips' AS query_name, 'lines' AS counter, count(*) AS total FROM flawed
+  UNION ALL SELECT 'trips', reasons.reason, count(flawed.event_id)
+    FROM reasons LEFT JOIN flawed ON flawed.reason = reasons.reason GROUP BY reasons.reason
+  UNION ALL SELECT 'windows', kinds.kind, count(emitted.kind)
+    FROM (SELECT unnest(['ontime', 'refire']) AS kind) kinds LEFT JOIN emitted ON emitted.kind = kinds.kind
+    GROUP BY kinds.kind
+  UNION ALL SELECT 'windows', 'dropped_trips', coalesce(sum(n), 0) FROM lost
+)"""
+
+# A window is held until five minutes after its end are over.
+WINDOWS_HELD = f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired()},
+last AS (SELECT max(watermark) AS watermark FROM newest)
+SELECT CAST(hour(window_start) AS INTEGER) AS "hour",
+  CAST(window_start AS TIMESTAMP) AS window_start,
+  CAST(window_end AS TIMESTAMP) AS window_end,
+  {six_digits('avg(fare_amount)')} AS average_fare, count(*) AS trip_count,
+  bool_or(window_end <= watermark) AS fired
+FROM kept, last
+WHERE watermark < window_start + INTERVAL 65 MINUTE
+GROUP BY window_start, window_end"""
+
 ORACLE: dict[str, str] = {
     "parse_trips": f"WITH {TRIPS}, {FLAWED_TRIPS} SELECT {FIELDS}, {DURATION} "
     "FROM flawed WHERE reason IS NULL",
@@ -393,6 +417,10 @@ ORACLE: dict[str, str] = {
     "applied_window_late": late("10 SECOND"),
     "applied_window_stream": FARE_RANGE,
     "whole_pipeline": PIPELINE,
+    "resumed_replay": RAW,
+    "progress_counts": PROGRESS,
+    "moved_windows": late("10 SECOND"),
+    "windows_held": WINDOWS_HELD,
     "atomic_batches": ATOMIC,
     "dense_keys": "SELECT count(*) AS row_count, count(*) AS distinct_ids, CAST(1 AS BIGINT) AS first_id, "
     "count(*) AS last_id, CAST(4 AS BIGINT) AS batches FROM events",

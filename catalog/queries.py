@@ -42,7 +42,7 @@ from meterline.plans.pipeline import (
     start_pipeline,
     start_trips,
 )
-from meterline.plans.tables import load_table, publish_table
+from meterline.plans.tables import load_table, publish_table, start_replay
 from meterline.schemas import CSV_HEADER, CSV_TRIP, DECODED, HOURLY, LINE_FIELDS, TRIP
 from meterline.session import scratch_dir
 from meterline.sinks.access import indexed, lookup
@@ -60,8 +60,10 @@ from meterline.sinks.tables import (
     trip_sink,
     write_batch,
 )
-from meterline.sinks.topic import line_files, message_files
+from meterline.sinks.topic import line_batches, line_files, message_files
 from meterline.sources.files import line_file, message_stream
+from meterline.streaming.moved import moved_state, open_windows
+from meterline.streaming.progress import ProgressTable, counted, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -607,6 +609,79 @@ def indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("few_files", F.lit(few))
 
 
+def resumed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a stored table, published by a query that failed after a batch was written and went on."""
+    root = scratch_dir(spark, "replay")
+    event_trips(events(spark, sf_dir)).repartition(8).write.parquet(f"{root}/table")
+    write, left = line_batches(f"{root}/lines"), [1]
+
+    def once_failing(lines: DataFrame, batch_id: int) -> None:
+        write(lines, batch_id)
+        if batch_id == 2 and left:
+            raise OSError(f"the connection is gone, {left.pop()}")
+
+    for _ in range(2):
+        try:
+            start_replay(
+                spark, f"{root}/table", LINE_FIELDS, once_failing, f"{root}/state", files_per_batch=2
+            ).awaitTermination()
+        except StreamingQueryException:
+            pass
+    lines = spark.read.text(f"{root}/lines").select("value")
+    return parse_trips(lines)
+
+
+def progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queries of the whole pipeline reported of themselves over a replay, added up."""
+    root = scratch_dir(spark, "progress")
+    outputs = Outputs.below(root)
+    table = ProgressTable(spark, f"{root}/progress")
+    spark.streams.addListener(table)
+
+    def run() -> None:
+        stream = message_stream(spark, f"{root}/landing")
+        start_trips(stream, outputs, f"{root}/trips", interval=None, name="trips", watch=True).awaitTermination()
+        start_late_hourly(
+            stream, fired_sink(outputs.hourly, outputs.dropped), f"{root}/hourly", interval=None, name="windows", watch=True
+        ).awaitTermination()
+
+    try:
+        replay(tardy_slices(spark, sf_dir, flawed_lines), f"{root}/landing", run)
+        # Events come to listeners some time after a query has ended.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(table)
+    table.flush()
+    return counted(read_progress(spark, f"{root}/progress"))
+
+
+def moved_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All emissions of a stream that stops with 4 state partitions and goes on with 16."""
+    root = scratch_dir(spark, "moved")
+    table, moved = f"{root}/events", None
+    for number, lines in enumerate(tardy_slices(spark, sf_dir, event_lines)):
+        part = int(number >= 2)
+        if number == 2:
+            moved = moved_state(spark, f"{root}/state0")
+        message_files(lines, f"{root}/landing{part}")
+        start_late_hourly(
+            message_stream(spark, f"{root}/landing{part}"),
+            lambda frame, batch: write_batch(frame, table, batch),
+            f"{root}/state{part}",
+            interval=None,
+            state_partitions=16 if part else 4,
+            moved=moved,
+        ).awaitTermination()
+    return rounded(spark.read.parquet(table).drop("batch_id", "run_id"))
+
+
+def windows_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the stream of a replay holds when all rows are in."""
+    root = scratch_dir(spark, "held")
+    late_log(spark, sf_dir, root, lambda: None)
+    return rounded(open_windows(spark, f"{root}/state"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_trips": parse_trips_query,
     "reject_reasons": reject_reasons,
@@ -644,6 +719,10 @@ QUERIES: dict[str, Query] = {
     "applied_window_late": applied_window_late,
     "applied_window_stream": applied_window_stream,
     "whole_pipeline": whole_pipeline,
+    "resumed_replay": resumed_replay,
+    "progress_counts": progress_counts,
+    "moved_windows": moved_windows,
+    "windows_held": windows_held,
     "atomic_batches": atomic_batches,
     "dense_keys": dense_keys,
     "merged_latest": merged_latest,

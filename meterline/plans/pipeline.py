@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterline.operators.decode import decode
-from meterline.operators.parse import classify, rejects, trips
+from meterline.operators.parse import classify, rejects, trips, watch_reasons
 from meterline.operators.window_apply import WindowFunction
 from meterline.schemas import TRIP
 from meterline.session import ROCKSDB, stream_settings
@@ -27,6 +27,8 @@ from meterline.streaming.applied import apply_window_stream
 from meterline.streaming.clock import DISORDER_SECONDS, LATENESS_SECONDS
 from meterline.streaming.hourly import STATE_PARTITIONS, checkpointed, hourly_updates
 from meterline.streaming.lateness import late_hourly
+from meterline.streaming.moved import MovedState
+from meterline.streaming.progress import watch_windows
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -83,15 +85,17 @@ def start_trips(
     checkpoint: str,
     interval: str | None = "60 seconds",
     name: str = "trips",
+    watch: bool = False,
 ) -> StreamingQuery:
     """Raw, decoded and rejected rows; late rows included, as no watermark applies.
 
     The batch is parsed once and kept for the three writes, the text of good lines
     left out. Bound the batches of the source, or the first one is the whole backlog.
+    With ``watch`` the query reports its lines by reason (``streaming.progress``).
     """
 
     def fan_out(batch: DataFrame, batch_id: int) -> None:
-        parsed = classify(batch)
+        parsed = batch if watch else classify(batch)
         if outputs.narrow_flags:
             parsed = refuse_wide_flags(parsed)
         parsed = parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
@@ -104,7 +108,8 @@ def start_trips(
         finally:
             parsed.unpersist()
 
-    writer = lines.writeStream.foreachBatch(together(outputs.commits, fan_out))
+    rows = watch_reasons(classify(lines), "lines") if watch else lines
+    writer = rows.writeStream.foreachBatch(together(outputs.commits, fan_out))
     return checkpointed(writer, name, checkpoint, interval).start()
 
 
@@ -143,14 +148,20 @@ def start_late_hourly(
     lateness_seconds: int = LATENESS_SECONDS,
     state_partitions: int = STATE_PARTITIONS,
     name: str = "late-hourly-fares",
+    watch: bool = False,
+    moved: MovedState | None = None,
 ) -> StreamingQuery:
     """Hourly rows as they fire: on time, again for late rows, and drops.
 
     The watermark follows the newest row of all partitions. Where one may lag behind
     the others, by several topic partitions or a backlog read in bounded batches, set
-    ``disorder_seconds`` to the longest lag, or its rows come as drops.
+    ``disorder_seconds`` to the longest lag, or its rows come as drops. With ``watch``
+    the query reports its emissions by kind (``streaming.progress``). ``moved`` is the
+    state of a stopped query whose input ``lines`` go on with (``streaming.moved``).
     """
-    events = late_hourly(lines, event_time, disorder_seconds, lateness_seconds)
+    events = late_hourly(lines, event_time, disorder_seconds, lateness_seconds, moved=moved)
+    if watch:
+        events = watch_windows(events)
     writer = events.writeStream.outputMode("update").foreachBatch(sink)
     with stream_settings(
         lines.sparkSession,

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from meterline.sinks.tables import batch_path, run_of
+
 
 def kafka_write_options(
     servers: str, topic: str, client: dict[str, str] | None = None
@@ -30,6 +34,15 @@ def line_files(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("append").text(path)
 
 
+def line_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for lines as text files; a batch written again replaces itself."""
+
+    def write(lines: DataFrame, batch_id: int) -> None:
+        lines.select("value").write.mode("overwrite").text(batch_path(path, run_of(lines), batch_id))
+
+    return write
+
+
 def console(frame: DataFrame, name: str, mode: str = "append") -> DataStreamWriter:
     """A named debug print of a stream; the caller starts it."""
     return (

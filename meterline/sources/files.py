@@ -52,7 +52,18 @@ def message_stream(
     Files are taken in order of age. Set a limit per batch only when their age
     follows their record times, or the watermark drops the older ones.
     """
-    reader = spark.readStream.schema(MESSAGE)
+    return table_stream(spark, path, MESSAGE, files_per_batch, bytes_per_batch)
+
+
+def table_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
+) -> DataFrame:
+    """A Parquet table as a stream of its files, so many or so much of them in a batch."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:

@@ -31,6 +31,7 @@ from meterline.streaming.clock import (
     WINDOW_SECONDS,
     timed_trips,
 )
+from meterline.streaming.moved import MovedState
 
 ship_by_value(__name__)
 
@@ -70,9 +71,11 @@ def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class FareWindows(StatefulProcessor):
     """Totals of one (hour, window) with its two timers: window end, and end of lateness."""
 
-    def __init__(self, window_ms: int, lateness_ms: int) -> None:
+    def __init__(self, window_ms: int, lateness_ms: int, floor_ms: int = 0) -> None:
         self.window_ms = window_ms
         self.lateness_ms = lateness_ms
+        #: The watermark of the query this one goes on for.
+        self.floor_ms = floor_ms
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -92,7 +95,7 @@ class FareWindows(StatefulProcessor):
         for row in rows:
             added += row.fare_sum
             arrived += row.trip_count
-        now = timerValues.getCurrentWatermarkInMs()
+        now = max(timerValues.getCurrentWatermarkInMs(), self.floor_ms)
         end = key[1] + self.window_ms
         if now >= end + self.lateness_ms:
             yield self._row(key, added, arrived, "drop")
@@ -108,10 +111,18 @@ class FareWindows(StatefulProcessor):
             yield self._row(key, fare_sum, trip_count, "refire")
         self.totals.update((fare_sum, trip_count, fired or due))
         if held is None:
-            # A timer is due when the watermark is past it, hence the millisecond less.
-            if not due:
-                self.handle.registerTimer(end - 1)
-            self.handle.registerTimer(end + self.lateness_ms - 1)
+            self._register(end, due)
+
+    def _register(self, end: int, fired: bool) -> None:
+        """A timer is due when the watermark is past it, hence the millisecond less."""
+        if not fired:
+            self.handle.registerTimer(end - 1)
+        self.handle.registerTimer(end + self.lateness_ms - 1)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """A window of the query this one goes on for."""
+        self.totals.update((initialState.fare_sum, initialState.trip_count, initialState.fired))
+        self._register(key[1] + self.window_ms, initialState.fired)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.totals.exists():
@@ -143,6 +154,7 @@ def late_hourly(
     disorder_seconds: int = DISORDER_SECONDS,
     lateness_seconds: int = LATENESS_SECONDS,
     combine: int = COMBINE,
+    moved: MovedState | None = None,
 ) -> DataFrame:
     """The fired rows of the hourly aggregate with their ``kind``.
 
@@ -161,10 +173,11 @@ def late_hourly(
         window_totals(thin, combine)
         .groupBy(*GROUP)
         .transformWithState(
-            statefulProcessor=FareWindows(size, lateness_seconds * 1000),
+            statefulProcessor=FareWindows(size, lateness_seconds * 1000, moved.watermark_ms if moved else 0),
             outputStructType=EVENT_SCHEMA,
             outputMode="Update",
             timeMode="EventTime",
+            initialState=moved.windows.groupBy(*GROUP) if moved else None,
         )
     )
     start = F.timestamp_millis("window_ms")
