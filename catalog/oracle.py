@@ -366,6 +366,23 @@ FROM kept, last
 WHERE watermark < window_start + INTERVAL 65 MINUTE
 GROUP BY window_start, window_end"""
 
+# The sum as one whole number of 2^-96, and then as a double from its last digits up.
+HOURLY_EXACT = f"""WITH {TRIPS},
+sums AS (
+  SELECT date_trunc('hour', pickup_datetime) AS w, count(*) AS n,
+    sum(CAST(fare_amount * pow(2, 96) AS HUGEINT)) AS total
+  FROM trips GROUP BY 1
+),
+parts AS (SELECT *, abs(total) AS size, pow(2, 48)::HUGEINT AS unit FROM sums)
+SELECT CAST(hour(w) AS INTEGER) AS "hour", CAST(w AS TIMESTAMP) AS window_start,
+  CAST(w AS TIMESTAMP) + INTERVAL 1 HOUR AS window_end,
+  CASE WHEN total < 0 THEN -1.0 ELSE 1.0 END::DOUBLE * (
+    (size % unit)::DOUBLE * pow(2, -96) + ((size // unit) % unit)::DOUBLE * pow(2, -48)
+    + (size // unit // unit)::DOUBLE
+  ) / n AS average_fare,
+  n AS trip_count
+FROM parts"""
+
 ORACLE: dict[str, str] = {
     "parse_trips": f"WITH {TRIPS}, {FLAWED_TRIPS} SELECT {FIELDS}, {DURATION} "
     "FROM flawed WHERE reason IS NULL",
@@ -386,6 +403,7 @@ ORACLE: dict[str, str] = {
     "decoded_trips": DECODED,
     "hourly_fares_pickup": HOURLY_PICKUP,
     "hourly_fares_ingest": HOURLY_INGEST,
+    "hourly_fares_exact": HOURLY_EXACT,
     "hourly_fares_stream": HOURLY_INGEST,
     "hourly_fares_late": late("10 SECOND"),
     "hourly_fares_delayed": late(DELAY),

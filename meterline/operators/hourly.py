@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.clock import hour_of_day
+from meterline.functions.exact import exact_mean, exact_sums
 from meterline.schemas import HOURLY
 from meterline.session import require_utc
 
 WINDOW = "1 hour"
 
 
-def hourly_fares(trips: DataFrame, event_time: str = "timestamp") -> DataFrame:
+def hourly_fares(trips: DataFrame, event_time: str = "timestamp", exact: bool = False) -> DataFrame:
     """One row per hour of day of the pickup and window of ``event_time``.
 
     Two clocks meet here. The window follows ``event_time``, by default the
@@ -23,6 +24,9 @@ def hourly_fares(trips: DataFrame, event_time: str = "timestamp") -> DataFrame:
     Partial aggregation keeps the shuffle at one row per group and task, so
     neither the few hours nor a crowded window makes a slow task. On a stream,
     set the watermark first (``meterline.streaming``).
+
+    The last digits of a mean depend on the order in which tasks add up, unless it is
+    ``exact``: then it has the same bits however the rows are dealt.
     """
     if isinstance(trips.schema[event_time].dataType, T.TimestampType):
         require_utc(trips.sparkSession)
@@ -30,14 +34,15 @@ def hourly_fares(trips: DataFrame, event_time: str = "timestamp") -> DataFrame:
         hour_of_day(F.col("pickup_datetime")).alias("hour"),
         F.window(event_time, WINDOW).alias("window"),
     ).agg(
-        F.avg("fare_amount").alias("average_fare"),
+        (exact_sums(F.col("fare_amount")) if exact else F.avg("fare_amount")).alias("average_fare"),
         F.count("*").alias("trip_count"),
     )
+    mean = F.col("average_fare")
     return grouped.select(
         "hour",
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-        "average_fare",
+        (exact_mean(mean) if exact else mean).alias("average_fare"),
         "trip_count",
     )
 
