@@ -133,7 +133,7 @@ RAW = f"WITH {TRIPS} SELECT {FIELDS}, {DURATION} FROM trips"
 
 
 
-def fired(disorder: str = "10 SECOND", good: str = "true") -> str:
+def fired(disorder: str = "10 SECOND", good: str = "true", lateness: str = "5 MINUTE") -> str:
     """The emission rule of the lateness operator, as CTEs after ``flawed``.
 
     It follows from each row's slice of arrival and the newest record time of the
@@ -160,7 +160,7 @@ newest AS (
 seen AS (
   SELECT a.*, window_start + INTERVAL 1 HOUR AS window_end,
     coalesce(n.watermark >= window_start + INTERVAL 1 HOUR, false) AS due,
-    coalesce(n.watermark >= window_start + INTERVAL 65 MINUTE, false) AS gone
+    coalesce(n.watermark >= window_start + INTERVAL 1 HOUR + INTERVAL {lateness}, false) AS gone
   FROM arrived a LEFT JOIN newest n ON n.slice = a.slice - 1
   WHERE good
 ),
@@ -383,6 +383,21 @@ SELECT CAST(hour(w) AS INTEGER) AS "hour", CAST(w AS TIMESTAMP) AS window_start,
   n AS trip_count
 FROM parts"""
 
+REFIRES = f"""WITH {TRIPS}, {FLAWED_TRIPS}, {fired(lateness=DELAY)},
+counted AS (
+  SELECT *, sum(fare_amount) OVER so_far AS total, count(*) OVER so_far AS n FROM kept
+  WINDOW so_far AS (PARTITION BY window_start ORDER BY slice, moment, fare_amount ROWS UNBOUNDED PRECEDING)
+)
+SELECT CAST(hour(window_start) AS INTEGER) AS "hour",
+  CAST(window_start AS TIMESTAMP) AS window_start,
+  CAST(window_end AS TIMESTAMP) AS window_end,
+  {six_digits('total / n')} AS average_fare, n AS trip_count, kind
+FROM (
+  SELECT kind, window_start, window_end, total, n FROM ontime
+  UNION ALL SELECT 'refire', window_start, window_end, total, n FROM counted WHERE due
+  UNION ALL SELECT kind, window_start, window_end, total, n FROM lost
+)"""
+
 ORACLE: dict[str, str] = {
     "parse_trips": f"WITH {TRIPS}, {FLAWED_TRIPS} SELECT {FIELDS}, {DURATION} "
     "FROM flawed WHERE reason IS NULL",
@@ -407,6 +422,7 @@ ORACLE: dict[str, str] = {
     "hourly_fares_stream": HOURLY_INGEST,
     "hourly_fares_late": late("10 SECOND"),
     "hourly_fares_delayed": late(DELAY),
+    "hourly_refires": REFIRES,
     "hourly_latest": LATEST,
     "publish_lines": f"WITH {TRIPS} SELECT {line()} AS line FROM trips",
     "publish_roundtrip": RAW,

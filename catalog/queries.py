@@ -40,6 +40,7 @@ from meterline.plans.pipeline import (
     start_hourly,
     start_late_hourly,
     start_pipeline,
+    start_refires,
     start_trips,
 )
 from meterline.plans.tables import load_table, publish_table, start_replay
@@ -688,6 +689,20 @@ def windows_held(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(open_windows(spark, f"{root}/state"))
 
 
+def hourly_refires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every row that comes a slice late, besides those on time."""
+    root = scratch_dir(spark, "refires")
+
+    def run() -> None:
+        stream = message_stream(spark, f"{root}/landing")
+        start_refires(
+            stream, f"{root}/events", f"{root}/state", interval=None, lateness_seconds=DELAY_DAYS * 86_400
+        ).awaitTermination()
+
+    replay(tardy_slices(spark, sf_dir, event_lines), f"{root}/landing", run)
+    return rounded(spark.read.parquet(f"{root}/events").drop("batch_id", "run_id"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_trips": parse_trips_query,
     "reject_reasons": reject_reasons,
@@ -705,6 +720,7 @@ QUERIES: dict[str, Query] = {
     "hourly_fares_stream": hourly_fares_stream,
     "hourly_fares_late": fired_rows("late"),
     "hourly_fares_delayed": fired_rows("delayed", disorder_seconds=DELAY_DAYS * 86_400),
+    "hourly_refires": hourly_refires,
     "hourly_latest": hourly_latest,
     "publish_lines": publish_lines_query,
     "publish_roundtrip": publish_roundtrip,

@@ -29,6 +29,7 @@ from meterline.streaming.hourly import STATE_PARTITIONS, checkpointed, hourly_up
 from meterline.streaming.lateness import late_hourly
 from meterline.streaming.moved import MovedState
 from meterline.streaming.progress import watch_windows
+from meterline.streaming.refires import refire_sink
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -171,6 +172,21 @@ def start_late_hourly(
         return checkpointed(writer, name, checkpoint, interval).start()
 
 
+def start_refires(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    event_time: str = "timestamp",
+    interval: str | None = "60 seconds",
+    disorder_seconds: int = DISORDER_SECONDS,
+    lateness_seconds: int = LATENESS_SECONDS,
+    name: str = "refired-fares",
+) -> StreamingQuery:
+    """Hourly rows to the table at ``path``, one for every late row; open totals lie in the checkpoint folder."""
+    sink = refire_sink(path, f"{checkpoint}/open-windows", event_time, disorder_seconds, lateness_seconds)
+    return checkpointed(lines.writeStream.foreachBatch(sink), name, checkpoint, interval).start()
+
+
 def start_applied(
     lines: DataFrame,
     function: WindowFunction,
