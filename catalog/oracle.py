@@ -422,6 +422,7 @@ ORACLE: dict[str, str] = {
     "hourly_fares_stream": HOURLY_INGEST,
     "hourly_fares_late": late("10 SECOND"),
     "hourly_fares_delayed": late(DELAY),
+    "hourly_fares_idle": late("10 SECOND"),
     "hourly_refires": REFIRES,
     "hourly_latest": LATEST,
     "publish_lines": f"WITH {TRIPS} SELECT {line()} AS line FROM trips",

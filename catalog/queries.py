@@ -689,6 +689,26 @@ def windows_held(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(open_windows(spark, f"{root}/state"))
 
 
+def hourly_fares_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay from two sources, one of which brings half of the first slice and nothing more.
+
+    Windows fire as they do from one source: an idle one does not hold the clock back.
+    """
+    root = scratch_dir(spark, "idle")
+    table, odd = f"{root}/events", F.unix_micros("timestamp") % 2 == 1
+    for number, lines in enumerate(tardy_slices(spark, sf_dir, event_lines)):
+        if number:
+            message_files(lines, f"{root}/busy")
+        else:
+            message_files(lines.filter(odd), f"{root}/idle")
+            message_files(lines.filter(~odd), f"{root}/busy")
+        both = message_stream(spark, f"{root}/busy").unionByName(message_stream(spark, f"{root}/idle"))
+        start_late_hourly(
+            both, lambda frame, batch: write_batch(frame, table, batch), f"{root}/state", interval=None
+        ).awaitTermination()
+    return rounded(spark.read.parquet(table).drop("batch_id", "run_id"))
+
+
 def hourly_refires(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for every row that comes a slice late, besides those on time."""
     root = scratch_dir(spark, "refires")
@@ -720,6 +740,7 @@ QUERIES: dict[str, Query] = {
     "hourly_fares_stream": hourly_fares_stream,
     "hourly_fares_late": fired_rows("late"),
     "hourly_fares_delayed": fired_rows("delayed", disorder_seconds=DELAY_DAYS * 86_400),
+    "hourly_fares_idle": hourly_fares_idle,
     "hourly_refires": hourly_refires,
     "hourly_latest": hourly_latest,
     "publish_lines": publish_lines_query,
