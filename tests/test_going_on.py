@@ -7,7 +7,6 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from meterline.functions.text import line_text
 from meterline.operators.parse import parse_trips
 from meterline.operators.publish import publish_lines
 from meterline.plans.pipeline import start_late_hourly
@@ -37,8 +36,7 @@ def emissions(spark, table):
     return sorted(tuple(row[name] for name in names) for row in spark.read.parquet(table).collect())
 
 
-@pytest.mark.parametrize("partitions", [3, 13])
-def test_a_query_goes_on_with_other_partitions(spark, tmp_path, partitions):
+def test_a_query_goes_on_with_fewer_partitions(spark, tmp_path):
     whole, old, new = (Feed(spark, tmp_path / name) for name in ("whole", "old", "new"))
     for number, times in enumerate((*BEFORE, *AFTER)):
         messages = [message(at(time), fare=float(number + i)) for i, time in enumerate(times)]
@@ -48,7 +46,7 @@ def test_a_query_goes_on_with_other_partitions(spark, tmp_path, partitions):
     run(spark, whole, expected, str(tmp_path / "whole-state"))
     run(spark, old, found, str(tmp_path / "old-state"), state_partitions=5)
     moved = moved_state(spark, str(tmp_path / "old-state"))
-    run(spark, new, found, str(tmp_path / "new-state"), state_partitions=partitions, moved=moved)
+    run(spark, new, found, str(tmp_path / "new-state"), state_partitions=3, moved=moved)
     assert emissions(spark, found) == emissions(spark, expected)
     assert {row[0] for row in emissions(spark, found)} == {"ontime", "refire", "drop"}
 
@@ -96,7 +94,7 @@ def test_a_replay_goes_on_where_it_failed(spark, tmp_path):
     assert published() == sorted(r.value for r in publish_lines(spark.read.parquet(path)).collect())
     table_of(spark, tmp_path, [message(at("00:11:00"), 99.0)])
     replay()
-    assert len(published()) == 31 and line_text(LINE_FIELDS) is not None
+    assert len(published()) == 31
 
 
 # Progress.
