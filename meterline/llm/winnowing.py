@@ -24,7 +24,7 @@ Likeness is the share of common hashes among all distinct hashes of two fingerpr
 The bounds are SAMPLED rows a range, all that reaches the driver. As row numbers are part of
 the key, a third of all rows under one id, or of one text, is cut like any other rows.
 
-Defined results: a null text is empty; a text without any GRAM-gram has the hash of the whole
+Defined results: ids are integers. A null text is empty; a text without any GRAM-gram has the hash of the whole
 text as its only choice, an empty one none. Texts with fewer than WINDOW hashes are one
 window. Two empty fingerprints have likeness 1, an empty and another one 0. Rows of equal
 id stand in order of their texts' hashes; null ids come first. A single document is its
