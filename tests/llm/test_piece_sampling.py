@@ -1,14 +1,28 @@
 from __future__ import annotations
 
 import math
-import random
 from collections import Counter
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm.piece_sampling import MODEL, Lattices, decode_pieces, encode_pieces, load, sample_pieces, sampled, with_inclusion
+from meterline.llm import piece_sampling
+from meterline.llm.piece_sampling import (
+    MODEL,
+    SPACE,
+    Decoder,
+    Lattices,
+    decode_pieces,
+    encode_pieces,
+    groups,
+    load,
+    sample_pieces,
+    sampled,
+)
 
 PATH = public_tokenizers.path(MODEL)
 TEXTS = ["", " ", "a", "  two  spaces ", "naïve 日本 \n line\ttab", "hello world", "x​y", "ﬁ ＡＢＣ é 🙂", "thing " * 300, "a" * 3000]
@@ -19,62 +33,130 @@ def lattices():
     return Lattices(PATH, 1.0)
 
 
-def paths(nodes, place=0):
-    if place == len(nodes):
-        yield (), 0.0
-        return
-    for end, ids, logp, _ in nodes[place]:
-        for rest, more in paths(nodes, end):
-            yield ids + rest, logp + more
+def draw(lattices, texts, samples, seeds=None):
+    """(ids, log-probability, inclusion) of each text's samples, in order."""
+    found = [[] for _ in texts]
+    seeds = np.arange(1, len(texts) + 1) if seeds is None else np.array(seeds)
+    for some, ids, logs, inclusion in sampled(lattices, texts, seeds.astype(np.uint64), samples):
+        for i, *row in zip(some.tolist(), ids.to_pylist(), logs.tolist(), inclusion.tolist()):
+            found[i].append((tuple(row[0]), *row[1:]))
+    return found
 
 
-def path_count(nodes):
-    ways = [0] * len(nodes) + [1]
-    for place in range(len(nodes) - 1, -1, -1):
-        ways[place] = sum(ways[end] for end, _, _, _ in nodes[place])
-    return ways[0]
+@lru_cache(maxsize=1)
+def weights():
+    model = load(PATH)
+    size = model.get_piece_size()
+    plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    byte = {int(model.id_to_piece(i)[3:5], 16): i for i in range(size) if model.is_byte(i)}
+    return {model.id_to_piece(i): (i, 1 / (1 + rank)) for rank, i in enumerate(plain, 1)}, byte, 1 / size
+
+
+def every_path(text):
+    """All segmentations with their probabilities, by listing them."""
+    pieces, byte, byte_weight = weights()
+    seen = SPACE + text.replace(" ", SPACE) if text else ""
+
+    def onward(start):
+        if start == len(seen):
+            yield (), 1.0
+            return
+        for end in range(start + 1, len(seen) + 1):
+            if seen[start:end] in pieces:
+                i, weight = pieces[seen[start:end]]
+                ways = [((i,), weight)]
+            elif end == start + 1:
+                raw = seen[start].encode()
+                ways = [(tuple(byte[b] for b in raw), byte_weight ** len(raw))]
+            else:
+                continue
+            for ids, weight in ways:
+                for rest, more in onward(end):
+                    yield ids + rest, weight * more
+
+    found = dict(onward(0))
+    total = sum(found.values())
+    return {ids: weight / total for ids, weight in found.items()}
 
 
 def test_samples_are_distinct_and_decode_to_the_text(lattices):
     model = load(PATH)
-    for text in TEXTS:
-        own = [lattices[chunk] for chunk in lattices.chunks(text)]
-        found = sampled(own, 4, random.Random(1))
-        assert len({tuple(ids) for ids, _, _ in found}) == len(found) == min(4, math.prod(map(path_count, own)))
-        assert all(model.decode(ids) == text for ids, _, _ in found)
-        assert [x[2] for x in found] == sorted((x[2] for x in found), reverse=True)
-
-
-def test_distribution_is_that_of_drawing_without_replacement(lattices):
-    chunks = lattices.chunks("thing on")
-    whole = {}
-    for one, p in paths(lattices[chunks[0]]):
-        for two, q in paths(lattices[chunks[1]]):
-            whole[one + two] = p + q
-    assert math.isclose(sum(map(math.exp, whole.values())), 1)
-    rng, count = random.Random(2), 4000
-    first, second, inclusion = Counter(), Counter(), Counter()
-    for _ in range(count):
-        found = sampled([lattices[chunk] for chunk in chunks], 3, rng)
-        first[tuple(found[0][0])] += 1
-        second[tuple(found[1][0])] += 1
-        for ids, logp, _ in found:
-            assert math.isclose(logp, whole[tuple(ids)], abs_tol=1e-9)
+    for text, found in zip(TEXTS, draw(lattices, TEXTS, 4)):
+        ways = len(every_path(text)) if len(text) < 10 else 4
+        assert len({ids for ids, _, _ in found}) == len(found) == min(4, ways)
+        assert all(model.decode(list(ids)) == text for ids, _, _ in found)
+
+
+def test_probabilities_are_those_of_all_paths(lattices):
+    for text in ["", " ", "a", "  b ", "thing on", "x​y", "é🙂 日"]:
+        whole = every_path(text)
+        for ids, logp, _ in draw(lattices, [text], 6)[0]:
+            assert math.isclose(math.exp(logp), whole[ids], rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("text", ["thing on", "things", "é of"])
+def test_distribution_is_that_of_drawing_without_replacement(lattices, text):
+    whole, count = every_path(text), 6000
+    first, second, third, inclusion = Counter(), Counter(), Counter(), Counter()
+    for found in draw(lattices, [text] * count, 3):
+        for seen, (ids, _, _) in zip((first, second, third), found):
+            seen[ids] += 1
+    for found in draw(lattices, [text] * count, 2):
         # Each path drawn, over its inclusion score, counts itself once on average.
-        for ids, _, score in with_inclusion(found, 2):
-            inclusion[tuple(ids)] += 1 / score
-    for ids, logp in sorted(whole.items(), key=lambda x: -x[1])[:4]:
-        p = math.exp(logp)
-        p2 = sum(math.exp(q) * p / (1 - math.exp(q)) for other, q in whole.items() if other != ids)
-        assert abs(first[ids] / count - p) < 0.035 and abs(second[ids] / count - p2) < 0.035
+        for ids, _, score in found:
+            inclusion[ids] += 1 / score
+    top = sorted(whole.items(), key=lambda x: -x[1])[:30]
+    for ids, p in top[:4]:
+        p2 = sum(q * p / (1 - q) for other, q in whole.items() if other != ids)
+        assert abs(first[ids] / count - p) < 0.03 and abs(second[ids] / count - p2) < 0.03
         assert p < 0.02 or abs(inclusion[ids] / count - 1) < 0.1
+        if len(whole) <= 200:
+            p3 = sum(
+                q / 1 * r / (1 - q) * p / (1 - q - r)
+                for one, q in whole.items()
+                for two, r in whole.items()
+                if len({one, two, ids}) == 3
+            )
+            assert abs(third[ids] / count - p3) < 0.03
 
 
 def test_all_segmentations_when_there_are_few(lattices):
-    nodes = [lattices[chunk] for chunk in lattices.chunks("ab")]
-    every = sum(1 for _ in paths(nodes[0]))
-    found = with_inclusion(sampled(nodes, 51, random.Random(3)), 50)
-    assert len(found) == every and all(score == 1 for _, _, score in found)
+    for text in ["ab", "a b", "the"]:
+        whole = every_path(text)
+        found = draw(lattices, [text], len(whole) + 5)[0]
+        assert {ids for ids, _, _ in found} == set(whole) and len(found) == len(whole)
+        assert all(score == 1 for _, _, score in found)
+        most = draw(lattices, [text], len(whole) - 1)[0]
+        assert len(most) == len(whole) - 1 and all(score <= 1 for _, _, score in most)
+
+
+def test_samples_do_not_depend_on_the_batch(lattices):
+    alone = [draw(Lattices(PATH, 1.0), [text], 3, [i])[0] for i, text in enumerate(TEXTS[:4])]
+    together = draw(lattices, [*TEXTS[:4], *TEXTS[4:]], 3, range(len(TEXTS)))
+    assert together[:4] == alone
+    turned = draw(lattices, TEXTS[::-1], 3, range(len(TEXTS))[::-1])
+    assert turned[::-1] == together
+
+
+def test_lattices_are_made_anew_past_their_bound(lattices, monkeypatch):
+    whole = draw(lattices, TEXTS, 2)
+    monkeypatch.setattr(piece_sampling, "PLACES_KEPT", 10)
+    small = Lattices(PATH, 1.0)
+    assert draw(small, TEXTS, 2) == draw(small, TEXTS, 2) == whole
+    assert [(first, len(run)) for first, run in groups(pa.array(["ab", "abc", "", "a" * 9, "b"]), 5)] == [(0, 3), (3, 1), (4, 1)]
+
+
+def test_decoder_equals_the_library():
+    model = load(PATH)
+    rng = np.random.default_rng(5)
+    decoder = Decoder(model)
+    assert decoder.joins
+    size = model.get_piece_size()
+    lists = [rng.integers(0, limit, n).tolist() for n in (0, 1, 2, 9) for limit in (size, 300) for _ in range(100)]
+    lists += [model.encode(text) for text in TEXTS]
+    expected = [model.decode(ids) if ids else "" for ids in lists]
+    assert decoder(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == expected
+    assert decoder(pa.array([None, [264]], pa.list_(pa.int32()))).to_pylist() == ["", model.decode([264])]
 
 
 def test_rows(spark):
@@ -109,3 +191,14 @@ def test_registered_over_all_documents(spark, tmp_path):
         f"{tmp_path}/documents.parquet"
     )
     assert {row["doc_id"] for row in op6_sample_pieces(spark, str(tmp_path)).collect()} == {1, 2, None}
+
+
+def test_further_columns_of_any_name(spark):
+    names = ["_value", "_made", "value", "_ids", "seed", "_seed", "_text", "made"]
+    frame = spark.createDataFrame([(1, "some text")], "doc_id long, text string").withColumns({name: F.lit("x") for name in names})
+    back = decode_pieces(encode_pieces(frame), to="back")
+    assert back.columns == ["doc_id", "text", *names, "ids", "back"]
+    row = back.first()
+    assert row["back"] == "some text" and all(row[name] == "x" for name in names)
+    found = sample_pieces(frame, ["doc_id", "seed", "_text"]).collect()
+    assert [(row["doc_id"], row["seed"], row["_text"], row["sample"]) for row in found] == [(1, "x", "x", 0), (1, "x", "x", 1)]
