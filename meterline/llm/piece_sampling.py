@@ -52,9 +52,9 @@ SAMPLES = 2
 SHARPNESS = 1.0
 SPACE = "▁"
 #: Texts are searched together up to so many characters, over the number of samples.
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 4_500_000
 #: Lattices are made anew when those kept have more places.
-PLACES_KEPT = 4_000_000
+PLACES_KEPT = 2_000_000
 #: Chunks whose lattices are made at a time.
 BUILT = 4_096
 #: Sums over a text are of integers, so that they do not depend on the texts beside it.
@@ -94,7 +94,7 @@ def roomy(kept: np.ndarray, size: int) -> np.ndarray:
     """The array, or a copy with room to grow if it is smaller than ``size``."""
     if len(kept) >= size:
         return kept
-    grown = np.empty(size + size // 2, kept.dtype)
+    grown = np.empty(size + size // 4, kept.dtype)
     grown[: len(kept)] = kept
     return grown
 
