@@ -52,11 +52,13 @@ SAMPLES = 2
 SHARPNESS = 1.0
 SPACE = "▁"
 #: Texts are searched together up to so many characters, over the number of samples.
-GROUP_CHARS = 4_500_000
+GROUP_CHARS = 3_000_000
 #: Lattices are made anew when those kept have more places.
-PLACES_KEPT = 2_000_000
+PLACES_KEPT = 1_200_000
 #: Chunks whose lattices are made at a time.
 BUILT = 4_096
+#: Ids decoded at a time, or a single longer list.
+DECODED = 500_000
 #: Sums over a text are of integers, so that they do not depend on the texts beside it.
 FIXED = 2.0**32
 UNICODE = 0x110000
@@ -618,7 +620,8 @@ class Decoder:
     def joined(self, lists: pa.ListArray) -> list[str | None]:
         """None where the library has to decode."""
         ends = lists.offsets.to_numpy()
-        ids = lists.values.to_numpy()
+        ids = lists.values.to_numpy()[ends[0] : ends[-1]]
+        ends = ends - ends[0]
         own = pa.ListArray.from_arrays(pa.array(ends), self.spelt.take(pa.array(ids)))
         texts = pc.binary_join(own, b"").to_numpy(zero_copy_only=False).tolist()
         some = ends[1:] > ends[:-1]
@@ -638,7 +641,12 @@ class Decoder:
         lists = pa.concat_arrays([pc.fill_null(lists, [])]) if lists.null_count else lists
         size = self.model.get_piece_size()
         known = not len(lists.values) or 0 <= pc.min(lists.values).as_py() and pc.max(lists.values).as_py() < size
-        found = self.joined(lists) if self.joins and known else [None] * len(lists)
+        found: list[str | None] = [] if self.joins and known else [None] * len(lists)
+        ends = lists.offsets.to_numpy()
+        while len(found) < len(lists):
+            first = len(found)
+            last = int(np.searchsorted(ends, ends[first] + DECODED, side="right")) - 1
+            found += self.joined(lists.slice(first, max(last, first + 1) - first))
         for i, text in enumerate(found):
             if text is None:
                 ids = lists[i].as_py()

@@ -146,7 +146,9 @@ def test_lattices_are_made_anew_past_their_bound(lattices, monkeypatch):
     assert [(first, len(run)) for first, run in groups(pa.array(["ab", "abc", "", "a" * 9, "b"]), 5)] == [(0, 3), (3, 1), (4, 1)]
 
 
-def test_decoder_equals_the_library():
+@pytest.mark.parametrize("at_once", [1, 40, 500_000])
+def test_decoder_equals_the_library(monkeypatch, at_once):
+    monkeypatch.setattr(piece_sampling, "DECODED", at_once)
     model = load(PATH)
     rng = np.random.default_rng(5)
     decoder = Decoder(model)
