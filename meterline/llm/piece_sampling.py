@@ -18,7 +18,7 @@ is among the first k.
 No piece has a space after another character, so the lattice of a text is a chain of
 chunks. The search branches at chunks: an open part is a path up to a chunk and all
 ways through that chunk but those taken already. The lattices of distinct chunks are laid out
-flat and kept by the worker, up to a bound; the chunks of many texts are walked in lock-step. The noise is
+flat and kept by the task, up to a bound; the chunks of many texts are walked in lock-step. The noise is
 seeded by the row's key and the place in its text, whatever the batch.
 
 Defined results: a null or empty text has one empty segmentation. Texts with fewer
@@ -40,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -536,7 +536,7 @@ def groups(texts: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
 
 @lru_cache(maxsize=1)
 def kept_lattices(path: str, sharpness: float) -> Lattices:
-    """Lattices of a Python worker, kept for its later tasks."""
+    """The model's pieces in a Python worker, kept for its later tasks."""
     return Lattices(path, sharpness)
 
 
@@ -557,6 +557,8 @@ def sample_rows(path: str, samples: int, sharpness: float):
                         [*(column.take(rows) for column in kept), numbers, ids, pa.array(logs), pa.array(inclusion)],
                         [*batch.schema.names[:-2], "sample", "ids", "log_probability", "inclusion"],
                     )
+        lattices.clear()
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -592,7 +594,7 @@ class Encoder:
         self.model = model
 
     def __call__(self, texts: pa.Array) -> pa.Array:
-        return pa.array([self.model.encode(text, num_threads=1) for text in texts.to_pylist()], pa.list_(pa.int32()))
+        return pa.array([self.model.encode(text or "", num_threads=1) for text in texts.to_pylist()], pa.list_(pa.int32()))
 
 
 class Decoder:
@@ -654,31 +656,32 @@ class Decoder:
         return pa.array(found, pa.string())
 
 
-def per_worker(path: str, kind: type, made_name: str):
-    """A batch's first column through ``kind(model)`` as a new column of the rest."""
+def per_worker(path: str, kind: type, at: int, made_name: str):
+    """All columns, and that of number ``at`` through ``kind(model)`` as a new one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = kind(load(path))
         for batch in batches:
-            made = apply(batch.column(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], made], [*batch.schema.names[1:], made_name])
+            made = apply(batch.column(at))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, made_name])
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
-def mapped(docs: DataFrame, value: Column, name: str, result: T.DataType, kind: type, model: str | None) -> DataFrame:
+def mapped(docs: DataFrame, value: str, name: str, result: T.DataType, kind: type, model: str | None) -> DataFrame:
     made = unused(name, [*docs.columns, name])
-    rows = docs.select(value.alias(unused("value", docs.columns)), *docs.columns)
+    at = [column.lower() for column in docs.columns].index(value.lower())
     schema = T.StructType([*docs.schema.fields, T.StructField(made, result)])
-    out = rows.mapInArrow(per_worker(model or public_tokenizers.path(MODEL), kind, made), schema)
+    out = docs.mapInArrow(per_worker(model or public_tokenizers.path(MODEL), kind, at, made), schema)
     return out.drop(name).withColumnRenamed(made, name)
 
 
 def encode_pieces(docs: DataFrame, text_col: str = "text", to: str = "ids", model: str | None = None) -> DataFrame:
     """All columns with the model's own encoding of the text in column ``to``."""
-    return mapped(docs, text_or_empty(text_col), to, T.ArrayType(T.IntegerType()), Encoder, model)
+    return mapped(docs, text_col, to, T.ArrayType(T.IntegerType()), Encoder, model)
 
 
 def decode_pieces(docs: DataFrame, ids_col: str = "ids", to: str = "text", model: str | None = None) -> DataFrame:
     """All columns with the text of the ids in column ``to``; null ids give an empty text."""
-    return mapped(docs, F.col(ids_col), to, T.StringType(), Decoder, model)
+    return mapped(docs, ids_col, to, T.StringType(), Decoder, model)
