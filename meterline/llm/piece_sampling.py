@@ -540,11 +540,12 @@ def kept_lattices(path: str, sharpness: float) -> Lattices:
     return Lattices(path, sharpness)
 
 
-def sample_rows(path: str, samples: int, sharpness: float):
-    """(row columns.., sample, ids, log_probability, inclusion); the last columns of the input are seed and text."""
+def sample_rows(path: str, samples: int, sharpness: float, decoded: str | None = None):
+    """(row columns.., sample, ids, log_probability, inclusion, decoded); the last columns of the input are seed and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = kept_lattices(path, sharpness)
+        decode = decoded and Decoder(load(path))
         for batch in batches:
             *kept, seeds, texts = batch.columns
             seeds = seeds.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -553,10 +554,11 @@ def sample_rows(path: str, samples: int, sharpness: float):
                 for number, (some, ids, logs, inclusion) in enumerate(found):
                     rows = pa.array(some + first)
                     numbers = pa.array(np.full(len(some), number, np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [*(column.take(rows) for column in kept), numbers, ids, pa.array(logs), pa.array(inclusion)],
-                        [*batch.schema.names[:-2], "sample", "ids", "log_probability", "inclusion"],
-                    )
+                    columns = [*(column.take(rows) for column in kept), numbers, ids, pa.array(logs), pa.array(inclusion)]
+                    names = [*batch.schema.names[:-2], "sample", "ids", "log_probability", "inclusion"]
+                    if decode:
+                        columns, names = [*columns, decode(ids)], [*names, decoded]
+                    yield pa.RecordBatch.from_arrays(columns, names)
         lattices.clear()
         pa.default_memory_pool().release_unused()
 
@@ -578,15 +580,21 @@ def sample_pieces(
     samples: int = SAMPLES,
     sharpness: float = SHARPNESS,
     seed: int = 42,
+    decoded: str | None = None,
 ) -> DataFrame:
-    """The key columns with each sample's number, ids, log-probability and inclusion score."""
+    """The key columns with each sample's number, ids, log-probability and inclusion score.
+
+    ``decoded`` names a further column with the text of the sample's ids, as ``decode_pieces`` makes it.
+    """
     path = model or public_tokenizers.path(MODEL)
     key = F.concat_ws(" ", *(F.coalesce(F.col(name).cast("string"), F.lit("null")) for name in keys))
     draws = F.xxhash64(key, F.lit(seed))
     rows = docs.select(*keys, draws.alias(unused("seed", keys)), text_or_empty(text_col).alias(unused("text", keys)))
     fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in keys]
     schema = ", ".join([*fields, "sample int, ids array<int>, log_probability double, inclusion double"])
-    return rows.mapInArrow(sample_rows(path, samples, sharpness), schema)
+    if decoded:
+        schema += f", `{decoded}` string"
+    return rows.mapInArrow(sample_rows(path, samples, sharpness, decoded), schema)
 
 
 class Encoder:

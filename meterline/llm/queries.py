@@ -14,7 +14,7 @@ from meterline.llm.line_dedup import dedup_lines
 from meterline.llm.lm_score import score_text
 from meterline.llm.merkle import COLUMNS, folded, leaf, merkle_manifest, proof_digest
 from meterline.llm.packing import pack
-from meterline.llm.piece_sampling import decode_pieces, sample_pieces
+from meterline.llm.piece_sampling import sample_pieces
 from meterline.llm.quality_rules import quality_rules
 from meterline.llm.simhash import simhash_neighbours
 from meterline.llm.warc import read_bundles, write_bundles
@@ -48,7 +48,7 @@ def op5_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    samples = decode_pieces(sample_pieces(docs, ["doc_id"]), to="decoded")
+    samples = sample_pieces(docs, ["doc_id"], decoded="decoded")
     return samples.select(
         "doc_id",
         "sample",

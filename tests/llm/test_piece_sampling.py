@@ -174,6 +174,8 @@ def test_rows(spark):
     assert sorted(map(str, found.collect())) == sorted(map(str, found.collect()))
     texts = {row["text"] for row in decode_pieces(found).collect()}
     assert texts == {"hello there world", "", "some words", "again again"}
+    both = sample_pieces(frame, ["conv_id", "turn"], samples=3, decoded="decoded")
+    assert sorted(map(str, both.collect())) == sorted(map(str, decode_pieces(found, to="decoded").collect()))
     assert sample_pieces(spark.createDataFrame([], schema), ["conv_id"]).collect() == []
 
 
