@@ -35,6 +35,26 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def apart(frame: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with other names for columns called like one of ``names`` (in any case) or with dots, and these by the old."""
+    own = {name.lower() for name in names}
+    taken = own | {name.lower() for name in frame.columns}
+    others: dict[str, str] = {}
+    for name in frame.columns:
+        if name.lower() in own or "." in name or "`" in name:
+            others[name] = next(x for i in range(len(taken) + 1) if (x := f"other_{len(others)}_{i}") not in taken)
+            taken.add(others[name])
+    return (frame.withColumnsRenamed(others) if others else frame), others
+
+
+def named_back(frame: DataFrame, others: dict[str, str]) -> DataFrame:
+    return frame.withColumnsRenamed({new: old for old, new in others.items()}) if others else frame
+
+
+#: The names that ``with_lookup`` adds to the columns of its rows.
+LOOKUP_NAMES = ["_found", "_hot", "_cold", "_key", "_is_hot"]
+
+
 def with_lookup(
     rows: DataFrame, found: DataFrame, key: str, weight: str, spread: Column, total: int
 ) -> DataFrame:

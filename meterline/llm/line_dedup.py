@@ -20,7 +20,7 @@ through to the exact count, and change no result.
 Defined results: a null or empty text is one empty line. Keys under ``min_chars``
 code points are never dropped. Each row is a document, also when its id repeats or
 is null. An empty table gives an empty result. Columns named like the result's are
-replaced, others kept. Lines and texts of any length are handled whole.
+replaced, others kept, whatever their names. Lines and texts of any length are handled whole.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.common import stored, text_or_empty, with_lookup
+from meterline.llm.common import apart, named_back, stored, text_or_empty, with_lookup
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -266,6 +266,8 @@ def dedup_lines(
     With ``keep_first`` the first line of the smallest id that has it stays, with
     ``keep_copy`` the shared lines of copies in one of them.
     """
+    docs, others = apart(docs, ["_id", "_text_hash", "_drop", "_first"])
+    id_col, text_col = others.get(id_col, id_col), others.get(text_col, text_col)
     suspects, confirmed = repeated_lines(docs, id_col, text_col, min_docs, min_chars, sizes=keep_copy)
     confirmed = confirmed.withColumn("h", F.xxhash64("key")).withColumnRenamed("key", "line")
     rows = suspects.withColumn("h", F.xxhash64("key"))
@@ -279,7 +281,7 @@ def dedup_lines(
             F.collect_set("key").alias("_drop"), F.collect_set(F.when(mine, F.col("key"))).alias("_first")
         )
     hits = hits.withColumnsRenamed({"id": "_id", "text_hash": "_text_hash"})
-    columns = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
+    columns = [name for name in docs.columns if name.lower() not in ("n_lines", "n_dropped")]
     plain = docs.select(columns)
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_text_hash"))
     joined = plain.join(hits, same, "left").select(*columns, "_drop", "_first")
@@ -287,4 +289,5 @@ def dedup_lines(
         T.StructField(name, T.StringType() if name == text_col else plain.schema[name].dataType) for name in columns
     ]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return joined.mapInArrow(without_lines(columns.index(text_col), keep_first, keep_copy), schema)
+    cleaned = joined.mapInArrow(without_lines(columns.index(text_col), keep_first, keep_copy), schema)
+    return named_back(cleaned, others)

@@ -9,8 +9,9 @@ Windows of words are compared by their 64-bit hashes within one document.
 
 Defined results: a null text has no words and fails. Null and empty hosts are no
 hosts: their documents have the base verdict only, and do not enter the prior. An
-empty table gives an empty result. Repeated rows are measured alike. Columns named
-like the measures are replaced.
+empty table gives an empty result. Repeated rows are measured alike. Texts of any length
+are measured whole, in one row's memory. A host whose shrunk rate equals the limit is
+kept. Columns named like the result's are replaced, others kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import BLANKS, stored, text_or_empty, with_lookup
+from meterline.llm.common import BLANKS, LOOKUP_NAMES, apart, named_back, stored, text_or_empty, with_lookup
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -27,6 +28,11 @@ MAX_REPEAT_PERCENT = 20
 HOST_LIMIT = 0.5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RULES = ["short", "repeated"]
+VERDICTS = ["base_failed", "kept"]
+OWN_NAMES = [
+    "_words", "_lines", "_windows", "_sorted", "_starts", "_short", "_repeated", "_host", "_host_key", "_rejected",
+    "_rows", *LOOKUP_NAMES,
+]
 
 
 def words_of(text: Column) -> Column:
@@ -123,6 +129,8 @@ def quality_rules(
 
     The table is measured once; of the measured rows only ``columns`` are stored.
     """
+    docs, others = apart(docs, OWN_NAMES)
+    text_col, host_col = others.get(text_col, text_col), others.get(host_col, host_col)
     measured = with_measures(docs, text_col)
     measured = measured.withColumns(
         {
@@ -131,7 +139,8 @@ def quality_rules(
             "_host": F.col(host_col),
         }
     )
-    keep = [name for name in (columns or docs.columns) if name not in MEASURES]
+    wanted = [others.get(name, name) for name in columns or ()] or docs.columns
+    keep = [name for name in wanted if name.lower() not in MEASURES + VERDICTS]
     measured = stored(measured.select(*keep, "_short", "_repeated", "_host", *MEASURES), "measures")
     verdicts = host_verdicts(measured, "_host", host_limit).filter("host_rejected")
     verdicts = verdicts.groupBy(F.xxhash64("host").alias("_host_key")).agg(
@@ -142,6 +151,5 @@ def quality_rules(
     judged = with_lookup(measured, verdicts, "_host_key", "_rows", spread, measured.count())
     judged = judged.withColumn("base_failed", F.col("_short") | F.col("_repeated"))
     rejected = F.coalesce(F.array_contains("_rejected", F.col("_host")), F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~rejected).select(
-        *keep, *MEASURES, "base_failed", "kept"
-    )
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~rejected).select(*keep, *MEASURES, *VERDICTS)
+    return named_back(judged, others)

@@ -15,7 +15,9 @@ cannot be larger.
 
 Defined results: a null or empty text has fingerprint zero. A null id is never the
 smallest of its component; a component of null ids only has a null one. Repeated
-rows are returned as often as they come. An empty table gives an empty result.
+rows are returned as often as they come; of equal ids the smallest hash of the text
+is first. Texts of any length are read whole, in pieces. Further columns, whatever their
+names, are ignored or, by ``one_of_each``, kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import stored, text_or_empty, with_lookup
+from meterline.llm.common import apart, named_back, stored, text_or_empty, with_lookup
 from meterline.llm.components import components
 
 SHINGLE = 3
@@ -195,6 +197,8 @@ def one_of_each(
     radius: int = RADIUS,
 ) -> DataFrame:
     """The row of each group of near-duplicates with the smallest id, all its columns."""
+    docs, others = apart(docs, ["_id", "_text_hash"])
+    id_col, text_col = others.get(id_col, id_col), others.get(text_col, text_col)
     prints, groups = grouped(docs, id_col, text_col, shingle, radius)
     rows = with_lookup(prints, groups.drop("component_id"), "fp", "n", F.xxhash64("id", "text_hash"), prints.count())
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
@@ -203,5 +207,5 @@ def one_of_each(
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_text_hash"))
     kept = docs.join(winners, same, "left_semi")
     if prints.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates([id_col, text_col])  # rows that repeat id and text
+        return named_back(kept, others)
+    return named_back(kept.dropDuplicates([id_col, text_col]), others)  # rows that repeat id and text
