@@ -1,8 +1,8 @@
 """A quality classifier trained by co-training on two views of a document.
 
-The text view has the content alone: shares of hashed byte trigrams and how
-concentrated they are. The metadata view has what is known about the page: source,
-language, length, lines, and shares of kinds of characters. Each view trains a
+The text view has the content alone: shares of hashed byte trigrams, how concentrated
+they are, and shares of kinds of bytes. The metadata view has what is known about the
+page beside its content: host and path of its source, language and length. Each view trains a
 logistic regression, calibrated on labelled rows kept apart. In each round both views
 score all unlabelled documents, and each labels those it is surest of for the other
 one; documents with the same text and metadata count as one. At the end a small
@@ -17,7 +17,8 @@ Defined results: a null text counts as empty, a null source or language as a val
 its own. Labels that are null, or of a null id, are ignored; of several labels of a
 document the mean counts, and a half is good. Without labels of both kinds nothing can
 be learnt, and every document is kept with score 1. Repeated rows get the same score.
-An empty table gives an empty result. Columns ``score`` and ``kept`` are replaced.
+Texts of any length are read whole, in pieces. An empty table gives an empty result.
+Columns ``score`` and ``kept`` are replaced, others kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.common import stored
+from meterline.llm.common import apart, named_back, stored
 
 LABELLED = 4000
 POOL = 4000
@@ -64,17 +65,18 @@ def text_view(data: bytes) -> np.ndarray:
     words = data.split()
     unlike = len(set(words)) / max(len(words), 1)
     doubled = sum(map(bytes.__eq__, words, words[1:])) / max(len(words), 1)
-    return np.concatenate([np.sqrt(shares), [spread, distinct, unlike, doubled]]).astype(np.float32)
+    kinds = np.bincount(BYTE_KIND[np.frombuffer(data, np.uint8)], minlength=KINDS) / max(len(data), 1)
+    lines = np.log1p(len(data) / (data.count(b"\n") + 1)) / 10
+    return np.concatenate([np.sqrt(shares), np.sqrt(kinds), [spread, distinct, unlike, doubled, lines]]).astype(np.float32)
 
 
-def meta_view(data: bytes, source: str | None, lang: str | None) -> np.ndarray:
-    kinds = np.bincount(BYTE_KIND[np.frombuffer(data, np.uint8)], minlength=KINDS) / max(len(data), 1)
-    lines = data.count(b"\n") + 1
-    named = np.zeros(2 * META_BINS, np.float32)
-    named[zlib.crc32(repr(source).encode()) % META_BINS] = 1
-    named[META_BINS + zlib.crc32(repr(lang).encode()) % META_BINS] = 1
-    sizes = [np.log1p(len(data)) / 10, np.log1p(lines) / 10, np.log1p(len(data) / lines) / 10]
-    return np.concatenate([named, sizes, np.sqrt(kinds)]).astype(np.float32)
+def meta_view(size: int, source: str | None, lang: str | None) -> np.ndarray:
+    """Bins of host, path and language, the first for null, the depth of the path and the length in bytes."""
+    host, _, path = ("" if source is None else source.split("://")[-1]).partition("/")
+    named = np.zeros(3 * META_BINS, np.float32)
+    for at, value in enumerate((None if source is None else host, path, lang)):
+        named[at * META_BINS + (0 if value is None else 1 + zlib.crc32(value.encode()) % (META_BINS - 1))] = 1
+    return np.concatenate([named, [np.log1p(path.count("/")), np.log1p(size) / 10]]).astype(np.float32)
 
 
 def byte_kinds() -> np.ndarray:
@@ -204,7 +206,7 @@ def features_of(batch: pa.RecordBatch, text_at: int, source_at: int, lang_at: in
     for text, source, lang in zip(*(batch.column(i) for i in (text_at, source_at, lang_at))):
         data = (text.as_py() or "").encode()
         content.append(text_view(data))
-        meta.append(meta_view(data, source.as_py(), lang.as_py()))
+        meta.append(meta_view(len(data), source.as_py(), lang.as_py()))
     return [np.array(content), np.array(meta)]
 
 
@@ -339,8 +341,11 @@ def quality_scores(
     pool: int = POOL,
 ) -> DataFrame:
     """All columns with the ``score`` of each document, the probability that it is good, and ``kept``."""
-    docs = docs.drop("score", "kept")
+    docs, others = apart(docs.drop("score", "kept"), [])
+    id_col, text_col = others.get(id_col, id_col), others.get(text_col, text_col)
+    labels = labels.withColumnRenamed(next((old for old, new in others.items() if new == id_col), id_col), id_col)
+    meta_cols = tuple(others.get(name, name) for name in meta_cols)
     model = fit_sample(docs, labels, id_col, label_col, text_col, meta_cols, labelled, pool)
     places = [docs.columns.index(name) for name in (text_col, *meta_cols)]
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())])
-    return docs.mapInArrow(scored(model, *places), schema)
+    return named_back(docs.mapInArrow(scored(model, *places), schema), others)

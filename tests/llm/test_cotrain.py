@@ -8,7 +8,7 @@ from textdata import docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterline.llm import cotrain
-from meterline.llm.cotrain import quality_scores, surest, text_view
+from meterline.llm.cotrain import co_train, meta_view, quality_scores, sigmoid, surest, text_view
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -38,6 +38,32 @@ def test_held_out_accuracy(spark, docs, rows):
     assert len(found) == 1200 and right / len(held) >= 0.96 and lost <= 3
 
 
+def test_each_view_alone_on_held_out_rows():
+    """The text view reads texts only, the other one all but the text; each finds what its own side shows."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(1600):
+        good = i % 3 > 0
+        source = f"https://{'abc'[i % 3 if rng.random() < 0.9 else rng.randrange(3)]}.org/p{rng.randrange(3)}/x"
+        rows.append(((prose(rng, rng.randrange(30, 90)) if good else bad(rng)).encode(), source, "en", float(good)))
+    y = np.array([row[3] for row in rows])
+    views = [np.array([text_view(row[0]) for row in rows]), np.array([meta_view(300, row[1], row[2]) for row in rows])]
+    none = [np.zeros((0, x.shape[1] + 1), np.float32) for x in views]
+    model = co_train([x[:800] for x in views], y[:800], none)
+    right = [((sigmoid(v.calibrated(x[800:])) > 0.5) == (y[800:] > 0.5)).mean() for v, x in zip(model.views, views)]
+    both = ((model.score([x[800:] for x in views]) > 0.5) == (y[800:] > 0.5)).mean()
+    assert right[0] >= 0.96 and right[1] >= 0.85 and both >= 0.96
+
+
+def test_the_metadata_view_tells_host_path_language_and_length():
+    base = meta_view(10, "https://a.org/x/y", "en")
+    assert (base == meta_view(10, "http://a.org/x/y", "en")).all()
+    for other in ((10, "https://b.org/x/y", "en"), (10, "https://a.org/z", "en"), (10, "https://a.org/x/y", "fr"), (99, "https://a.org/x/y", "en")):
+        assert (base != meta_view(*other)).any()
+    assert meta_view(0, None, None).shape == meta_view(0, "", "").shape == base.shape
+    assert (meta_view(0, None, None) != meta_view(0, "", "")).any()
+
+
 def test_the_views_of_the_sample_are_bounded(spark, docs, rows, monkeypatch):
     seen = {}
     real = cotrain.co_train
