@@ -73,6 +73,28 @@ def test_shuffled_backfill_gets_a_file_per_day_and_rejects_few(spark, tmp_path):
     assert files("taxi_trips") == 30 and files("rejects") == 1
 
 
+def test_long_backfill_gets_a_file_per_month(spark, tmp_path):
+    """The rows and columns of the layout by day, in a thirtieth of the files."""
+    days = F.make_dt_interval((F.col("id") % 365).cast("int"))
+    trips = parse_trips(spark.range(0, 1095, 1, 16).select("id", F.lit(SAMPLE[0]).alias("value")))
+    trips = trips.withColumn("pickup_datetime", F.col("pickup_datetime") + days).drop("id")
+    by_month = Outputs.below(f"{tmp_path}/month", months=True)
+    by_month.raw(trips, 0)
+    by_month.raw(trips.limit(0), 1)
+    by_month.decoded(decode(trips), 0)
+    trip_sink(f"{tmp_path}/day/taxi_trips")(trips, 0)
+    for name in ("taxi_trips", "yellow_taxi_stream"):
+        found = [(where, f) for where, _, fs in os.walk(f"{tmp_path}/month/{name}") for f in fs if f.endswith(".parquet")]
+        assert len({where for where, _ in found if "pickup_month=" in where}) == 12
+        assert len([where for where, _ in found if "batch_id=0" in where]) == 12
+    laid, daily = (read_table(spark, f"{tmp_path}/{span}/taxi_trips", TRIP) for span in ("month", "day"))
+    assert sorted(laid.columns) == sorted([*daily.columns, "pickup_month"])
+    columns = [*TRIP.fieldNames(), "pickup_date"]
+    assert sorted(laid.select(columns).collect()) == sorted(daily.select(columns).collect())
+    assert laid.filter("pickup_date = DATE'2025-02-11'").count() == 3
+    assert laid.filter("pickup_month <> trunc(pickup_date, 'month')").count() == 0
+
+
 def test_layout_prunes_days(spark, sample, tmp_path):
     path = str(tmp_path / "taxi_trips")
     trip_sink(path)(sample, 0)
